@@ -9,22 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskframe.functions.text import replace_any_case
-
 DAY = 86_400
-_TIME = r"^ *([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\.[0-9]{1,7})?)? *$"
+HALF_DAY = DAY // 2
+_TIME = r"^ *([0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,7})?)?) *$"
+# A closing h, AM or PM together with every earlier occurrence of the same mark.
+_SUFFIX = r"(?i)h(?=.*h$)|h$|am(?=.*am$)|am$|pm(?=.*pm$)|pm$"
+_EPOCH = "1970-01-01 "
 
 
 def seconds_of_day(c: Column) -> Column:
     """``h:mm`` or ``h:mm:ss`` in 24-hour form; null when it is not a time."""
-
-    def part(group):
-        return F.regexp_extract(c, _TIME, group)
-
-    hour, minute = part(1).try_cast("int"), part(2).try_cast("int")
-    second = F.coalesce(part(3).try_cast("int"), F.lit(0))
-    valid = (hour < 24) & (minute < 60) & (second < 60)
-    return F.when(valid, hour * 3600 + minute * 60 + second)
+    stamp = F.concat(F.lit(_EPOCH), F.regexp_extract(c, _TIME, 1)).try_cast("timestamp_ntz")
+    start = F.lit(_EPOCH + "00:00:00").cast("timestamp_ntz")
+    whole = F.when(c.rlike(_TIME), stamp)
+    return F.timestamp_diff("SECOND", start, whole).cast("int")
 
 
 def add_hours(seconds: Column, hours: int) -> Column:
@@ -32,42 +30,26 @@ def add_hours(seconds: Column, hours: int) -> Column:
     return F.pmod(seconds + F.lit(hours * 3600), F.lit(DAY))
 
 
-def unify_hour_suffix(c: Column) -> Column:
-    """Rewrite a trailing ``h``: morning times gain AM, later ones lose the mark.
-
-    Times after hh:59:00 in the last minute of each half day match neither
-    range and keep the suffix, so they end up unparsed.
-    """
-    bare = replace_any_case(c, "h")
-    at = seconds_of_day(bare)
-    rewritten = (
-        F.when(at.between(0, 11 * 3600 + 59 * 60), F.concat(bare, F.lit("AM")))
-        .when(at.between(12 * 3600, 23 * 3600 + 59 * 60), bare)
-        .otherwise(c)
-    )
-    return F.when(c.ilike("%h"), rewritten).otherwise(c)
-
-
 def parse_clock(c: Column, twelve_am: str = "reference") -> Column:
     """Cleaned clock text (AM/PM, trailing ``h`` or 24 h) to seconds of day.
 
-    ``twelve_am='reference'`` leaves 12:30 AM at half past noon, as the
-    compatible rule does; ``'midnight'`` gives 00:30.
+    A trailing ``h`` marks a 24-hour time, but the last minute of each half day
+    beyond hh:59:00 is out of its range and gives null.  PM adds twelve hours,
+    wrapping, unless the text starts with 12.  ``twelve_am='reference'`` leaves
+    12:30 AM at half past noon, as the compatible rule does; ``'midnight'``
+    gives 00:30.
     """
     if twelve_am not in ("reference", "midnight"):
         raise ValueError("twelve_am must be 'reference' or 'midnight'")
-    text = unify_hour_suffix(c)
-    morning = seconds_of_day(replace_any_case(text, "AM"))
+    bare = F.regexp_replace(c, _SUFFIX, "")
+    seconds = seconds_of_day(bare)
+    pm = c.ilike("%PM") & (F.left(bare, F.lit(2)) != "12")
     if twelve_am == "midnight":
-        morning = F.when(morning >= DAY // 2, morning - DAY // 2).otherwise(morning)
-    bare = replace_any_case(text, "PM")
-    evening = seconds_of_day(bare)
-    evening = F.when(F.left(bare, F.lit(2)) == "12", evening).otherwise(add_hours(evening, 12))
-    return (
-        F.when(text.ilike("%AM"), morning)
-        .when(text.ilike("%PM"), evening)
-        .otherwise(seconds_of_day(text))
-    )
+        shift = F.when(pm, HALF_DAY).when(c.ilike("%AM") & bare.startswith("12"), HALF_DAY)
+    else:
+        shift = F.when(pm, HALF_DAY)
+    in_range = ~c.ilike("%h") | (F.pmod(seconds, F.lit(HALF_DAY)) <= HALF_DAY - 60)
+    return F.when(in_range, F.pmod(seconds + shift.otherwise(0), F.lit(DAY)))
 
 
 # Day-part names.
@@ -76,13 +58,7 @@ DAYPARTS = ("madrugada", "manha", "vespertino", "noturno")
 
 def daypart(seconds: Column, names: tuple[str, str, str, str] = DAYPARTS) -> Column:
     """Six-hour bucket of a time of day; null stays null."""
-    night, morning, afternoon, evening = names
-    return (
-        F.when(seconds < 6 * 3600, F.lit(night))
-        .when(seconds < 12 * 3600, F.lit(morning))
-        .when(seconds < 18 * 3600, F.lit(afternoon))
-        .when(seconds < DAY, F.lit(evening))
-    )
+    return F.get(F.array(*[F.lit(n) for n in names]), F.floor(seconds / (6 * 3600)).cast("int"))
 
 
 def parse_day(c: Column, strict: bool = True) -> Column:
@@ -109,4 +85,4 @@ def month_label(day: Column) -> Column:
 
 def weekday_label(day: Column, names: tuple[str, ...] = WEEKDAYS) -> Column:
     """Weekday name from the weekday number, independent of any locale."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.weekday(day) + 1)
+    return F.get(F.array(*[F.lit(n) for n in names]), F.weekday(day))

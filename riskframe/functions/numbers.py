@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGER = r"^ *[+-]?[0-9]+ *$"
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_INTEGER = r"^ *([+-]?[0-9]+) *$"
+_DECIMAL = r"^ *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
+
+# Each parser mentions its input once: Catalyst may inline a derived column into
+# every place that uses it, and repeated mentions multiply along a chain.
 
 
 def parse_int(c: Column) -> Column:
     """Integer with optional sign and outer blanks; anything else is null."""
-    return F.when(c.rlike(_INTEGER), F.trim(c).try_cast("int"))
+    return F.regexp_extract(c, _INTEGER, 1).try_cast("int")
 
 
 def parse_double(c: Column) -> Column:
     """Plain decimal number; null for words, ``NaN`` and type suffixes."""
-    text = F.trim(c)
-    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    return F.regexp_extract(c, _DECIMAL, 1).try_cast("double")
 
 
 def decimal_point(c: Column) -> Column:
@@ -35,7 +37,7 @@ def parse_km(c: Column, scale: int = 0, blank: str = "zero") -> Column:
         raise ValueError("blank must be 'zero' or 'null'")
     text = F.trim(c)
     if blank == "zero":
-        text = F.when(text.isNull() | (text == ""), F.lit("0")).otherwise(text)
+        text = F.coalesce(F.nullif(text, F.lit("")), F.lit("0"))
     return parse_double(decimal_point(text)).try_cast(f"decimal(10,{scale})")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NBSP, TAB, CR, LF = " ", "\t", "\r", "\n"
+NBSP, TAB, CR, LF = "\u00a0", "\t", "\r", "\n"
 _INVISIBLE = NBSP + TAB + CR + LF
 
 
