@@ -6,7 +6,7 @@ without depending on a TIME type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY = 86_400
@@ -30,6 +30,22 @@ def add_hours(seconds: Column, hours: int) -> Column:
     return F.pmod(seconds + F.lit(hours * 3600), F.lit(DAY))
 
 
+def _bare(c: Column) -> Column:
+    return F.regexp_replace(c, _SUFFIX, "")
+
+
+def _resolve(c: Column, bare: Column, seconds: Column, twelve_am: str) -> Column:
+    """Apply the meaning of the suffix to the bare time."""
+    if twelve_am not in ("reference", "midnight"):
+        raise ValueError("twelve_am must be 'reference' or 'midnight'")
+    pm = c.ilike("%PM") & (F.left(bare, F.lit(2)) != "12")
+    shift = F.when(pm, HALF_DAY)
+    if twelve_am == "midnight":
+        shift = shift.when(c.ilike("%AM") & bare.startswith("12"), HALF_DAY)
+    in_range = ~c.ilike("%h") | (F.pmod(seconds, F.lit(HALF_DAY)) <= HALF_DAY - 60)
+    return F.when(in_range, F.pmod(seconds + shift.otherwise(0), F.lit(DAY)))
+
+
 def parse_clock(c: Column, twelve_am: str = "reference") -> Column:
     """Cleaned clock text (AM/PM, trailing ``h`` or 24 h) to seconds of day.
 
@@ -39,17 +55,18 @@ def parse_clock(c: Column, twelve_am: str = "reference") -> Column:
     12:30 AM at half past noon, as the compatible rule does; ``'midnight'``
     gives 00:30.
     """
-    if twelve_am not in ("reference", "midnight"):
-        raise ValueError("twelve_am must be 'reference' or 'midnight'")
-    bare = F.regexp_replace(c, _SUFFIX, "")
-    seconds = seconds_of_day(bare)
-    pm = c.ilike("%PM") & (F.left(bare, F.lit(2)) != "12")
-    if twelve_am == "midnight":
-        shift = F.when(pm, HALF_DAY).when(c.ilike("%AM") & bare.startswith("12"), HALF_DAY)
-    else:
-        shift = F.when(pm, HALF_DAY)
-    in_range = ~c.ilike("%h") | (F.pmod(seconds, F.lit(HALF_DAY)) <= HALF_DAY - 60)
-    return F.when(in_range, F.pmod(seconds + shift.otherwise(0), F.lit(DAY)))
+    bare = _bare(c)
+    return _resolve(c, bare, seconds_of_day(bare), twelve_am)
+
+
+def add_clock(df: DataFrame, source: str, out: str, twelve_am: str = "reference") -> DataFrame:
+    """``parse_clock`` in steps, so each text operation runs once per row."""
+    bare, at = f"_{out}_bare", f"_{out}_at"
+    stepped = df.withColumn(bare, _bare(F.col(source)))
+    stepped = stepped.withColumn(at, seconds_of_day(F.col(bare)))
+    return stepped.withColumn(
+        out, _resolve(F.col(source), F.col(bare), F.col(at), twelve_am)
+    ).drop(bare, at)
 
 
 # Day-part names.

@@ -8,7 +8,8 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskframe.functions.numbers import parse_int
+from riskframe.functions.numbers import at_least_one
+from riskframe.functions.text import contains_any
 
 
 def _blank(c: Column) -> Column:
@@ -17,14 +18,14 @@ def _blank(c: Column) -> Column:
 
 def presence_flag(c: Column) -> Column:
     """Count text to ``''`` (blank), ``'1'`` (one or more) or ``'0'`` (all else)."""
-    return F.when(_blank(c), F.lit("")).when(parse_int(c) >= 1, F.lit("1")).otherwise(F.lit("0"))
+    return F.when(_blank(c), F.lit("")).when(at_least_one(c), F.lit("1")).otherwise(F.lit("0"))
 
 
 def any_at_least_one(*counts: Column) -> Column:
     """Same three states over several counts: blank only if every one is blank."""
     return (
         F.when(reduce(and_, [_blank(c) for c in counts]), F.lit(""))
-        .when(reduce(or_, [parse_int(c) >= 1 for c in counts]), F.lit("1"))
+        .when(reduce(or_, [at_least_one(c) for c in counts]), F.lit("1"))
         .otherwise(F.lit("0"))
     )
 
@@ -56,7 +57,7 @@ def classify(rules: list[tuple[Column, str]], default: str | None = None) -> Col
 
 def classify_contains(c: Column, rules: list[tuple[str, str]], default: str | None = None) -> Column:
     """Label by the first fragment found, in any letter case."""
-    return classify([(c.ilike(f"%{frag}%"), label) for frag, label in rules], default)
+    return classify([(contains_any(c, frag), label) for frag, label in rules], default)
 
 
 def apply_cutoff(score: Column, cut: float | Column, strict: bool = True) -> Column:

@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGER = r"^ *([+-]?[0-9]+) *$"
-_DECIMAL = r"^ *([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?) *$"
+_INTEGER = r"^ *[+-]?[0-9]+ *$"
+# Positive whole numbers that surely fit 32 bits, and those that may not.
+_POSITIVE = r"^ *\+?0*[1-9][0-9]{0,8} *$"
+_POSITIVE_LONG = r"^ *\+?0*[1-9][0-9]{9} *$"
+_DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
 
-# Each parser mentions its input once: Catalyst may inline a derived column into
-# every place that uses it, and repeated mentions multiply along a chain.
+# A lenient cast raises and catches an error for every bad value, which is slow
+# on dirty columns; the patterns keep bad values away from it.
 
 
 def parse_int(c: Column) -> Column:
     """Integer with optional sign and outer blanks; anything else is null."""
-    return F.regexp_extract(c, _INTEGER, 1).try_cast("int")
+    return F.when(c.rlike(_INTEGER), c.try_cast("int"))
+
+
+def at_least_one(c: Column) -> Column:
+    """Whether a count text is a whole number of one or more; null stays null."""
+    return c.rlike(_POSITIVE) | (c.rlike(_POSITIVE_LONG) & F.coalesce(parse_int(c) >= 1, F.lit(False)))
 
 
 def parse_double(c: Column) -> Column:
     """Plain decimal number; null for words, ``NaN`` and type suffixes."""
-    return F.regexp_extract(c, _DECIMAL, 1).try_cast("double")
+    return F.when(c.rlike(_DECIMAL), c.try_cast("double"))
 
 
 def decimal_point(c: Column) -> Column:

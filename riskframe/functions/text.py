@@ -41,9 +41,12 @@ def has(c: Column, token: str) -> Column:
     return F.instr(c, token) > 0
 
 
-def like_any_case(c: Column, pattern: str) -> Column:
-    """LIKE that ignores case and respects accents."""
-    return c.ilike(pattern)
+def contains_any(c: Column, *fragments: str) -> Column:
+    """Whether any fragment occurs, ignoring case and respecting accents.
+
+    One pattern search, instead of lowering the text once per fragment.
+    """
+    return c.rlike("(?iu)" + "|".join(f"\\Q{f}\\E" for f in fragments))
 
 
 def replace_any_case(c: Column, token: str, by: str = "") -> Column:

@@ -40,12 +40,8 @@ def distinct_records(raw: DataFrame) -> DataFrame:
 def add_time(df: DataFrame, twelve_am: str = "reference", strict_dates: bool = True) -> DataFrame:
     """Reference date and seconds of day from their texts."""
     cleaned = df.withColumn("Horario", text.strip_invisible(F.col("Horario")))
-    return cleaned.withColumns(
-        {
-            "DataRef": clock.parse_day(F.col("Data"), strict_dates),
-            "HorarioPadrao": clock.parse_clock(F.col("Horario"), twelve_am),
-        }
-    )
+    dated = cleaned.withColumn("DataRef", clock.parse_day(F.col("Data"), strict_dates))
+    return clock.add_clock(dated, "Horario", "HorarioPadrao", twelve_am)
 
 
 def on_roads(df: DataFrame, roads=cs.ROADS) -> DataFrame:
@@ -55,11 +51,11 @@ def on_roads(df: DataFrame, roads=cs.ROADS) -> DataFrame:
 def occurrence_class(kind: Column) -> Column:
     """Any victim counted wins; then the wording; then 'with victim'."""
     injured = [
-        numbers.parse_int(F.col(c)) > 0
+        numbers.at_least_one(F.col(c))
         for c in ("Levemente_feridos", "Moderadamente_feridos", "Gravemente_feridos", "Mortos")
     ]
     rules = [(cond, cs.WITH_VICTIM) for cond in injured]
-    rules += [(kind.ilike(f"%{t}%"), cs.WITHOUT_VICTIM) for t in cs.NO_VICTIM_TEXTS]
+    rules.append((text.contains_any(kind, *cs.NO_VICTIM_TEXTS), cs.WITHOUT_VICTIM))
     return flags.classify(rules, cs.WITH_VICTIM)
 
 
