@@ -38,7 +38,7 @@ def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[fl
     row = df.agg(
         F.percentile_approx(F.col(value).cast("double"), probs, SKETCH_ACCURACY).alias("edges")
     ).first()
-    return sorted(set(row.edges or []))
+    return sorted({e for e in row.edges or [] if math.isfinite(e)})
 
 
 def running_totals(
@@ -56,10 +56,13 @@ def running_totals(
     """
     rows = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
     edges = range_edges(rows, value, ranges)
-    splits = [-math.inf, *edges, math.inf]
-    ranged = Bucketizer(
-        splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep"
-    ).transform(rows)
+    if edges:
+        splits = [-math.inf, *edges, math.inf]
+        ranged = Bucketizer(
+            splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep"
+        ).transform(rows)
+    else:
+        ranged = rows.withColumn("_range", F.lit(0.0))
     cells = ranged.groupBy("_range", value).agg(
         *[F.expr(e).cast("double").alias(n) for n, e in measures.items()]
     )
@@ -151,8 +154,8 @@ def exact_quantiles(
     return {c: [found.get((c, p)) for p in probs] for c in columns}
 
 
-def _within(t: _Target, low: float, high: float):
-    c = F.col(t.column)
+def _within(column: str, low: float, high: float):
+    c = F.col(column)
     cond = c.isNotNull()
     if low > -math.inf:
         cond &= c >= low
@@ -163,23 +166,35 @@ def _within(t: _Target, low: float, high: float):
 
 def _narrow(data: DataFrame, targets: list[_Target]) -> None:
     """Propose a tighter bracket for each target, then count it."""
-    sketches = []
-    for i, t in enumerate(targets):
+    # Targets with one bracket share one sketch.
+    wanted: dict[tuple, list[float]] = {}
+    for t in targets:
         local_low = (t.low_rank - t.below) / t.inside - t.slack
         local_high = (t.high_rank + 1 - t.below) / t.inside + t.slack
-        wanted = [min(max(local_low, 0.0), 1.0), min(max(local_high, 0.0), 1.0)]
-        inside = F.when(_within(t, t.low, t.high), F.col(t.column))
-        sketches.append(F.percentile_approx(inside, wanted, SKETCH_ACCURACY).alias(f"s{i}"))
-    proposal = data.agg(*sketches).first()
+        wanted.setdefault((t.column, t.low, t.high), []).extend(
+            min(max(p, 0.0), 1.0) for p in (local_low, local_high)
+        )
+    sketches = [
+        F.percentile_approx(
+            F.when(_within(*bracket), F.col(bracket[0])), probs, SKETCH_ACCURACY
+        ).alias(f"s{i}")
+        for i, (bracket, probs) in enumerate(wanted.items())
+    ]
+    row = data.agg(*sketches).first()
+    found = {bracket: iter(row[f"s{i}"]) for i, bracket in enumerate(wanted)}
+    proposal = []
+    for t in targets:
+        values = found[(t.column, t.low, t.high)]
+        proposal.append((next(values), next(values)))
     counts = []
     for i, t in enumerate(targets):
-        low, high = proposal[f"s{i}"]
+        low, high = proposal[i]
         c = F.col(t.column)
         counts.append(F.count_if(c < low).alias(f"b{i}"))
         counts.append(F.count_if((c >= low) & (c <= high)).alias(f"i{i}"))
     counted = data.agg(*counts).first()
     for i, t in enumerate(targets):
-        low, high = proposal[f"s{i}"]
+        low, high = proposal[i]
         below, inside = counted[f"b{i}"], counted[f"i{i}"]
         if not (below <= t.low_rank and t.high_rank < below + inside):
             t.slack *= 4
@@ -195,7 +210,7 @@ def _gather(data: DataFrame, targets: list[_Target]) -> dict[int, tuple[float, f
     if not targets:
         return {}
     picks = [
-        F.when(_within(t, t.low, t.high), F.col(t.column)).alias(str(i))
+        F.when(_within(t.column, t.low, t.high), F.col(t.column)).alias(str(i))
         for i, t in enumerate(targets)
     ]
     # Targets that still cover their whole column share one set of cells.
