@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INTEGER = r"^ *[+-]?[0-9]+ *$"
-# Positive whole numbers that surely fit 32 bits, and those that may not.
-_POSITIVE = r"^ *\+?0*[1-9][0-9]{0,8} *$"
-_POSITIVE_LONG = r"^ *\+?0*[1-9][0-9]{9} *$"
+# Whole numbers from 1 to 2147483647.
+_POSITIVE = (
+    r"^ *\+?0*([1-9][0-9]{0,8}|1[0-9]{9}|20[0-9]{8}|21[0-3][0-9]{7}|214[0-6][0-9]{6}"
+    r"|2147[0-3][0-9]{5}|21474[0-7][0-9]{4}|214748[0-2][0-9]{3}|2147483[0-5][0-9]{2}"
+    r"|21474836[0-3][0-9]|214748364[0-7]) *$"
+)
 _DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
 
 # A lenient cast raises and catches an error for every bad value, which is slow
@@ -22,7 +25,7 @@ def parse_int(c: Column) -> Column:
 
 def at_least_one(c: Column) -> Column:
     """Whether a count text is a whole number of one or more; null stays null."""
-    return c.rlike(_POSITIVE) | (c.rlike(_POSITIVE_LONG) & F.coalesce(parse_int(c) >= 1, F.lit(False)))
+    return c.rlike(_POSITIVE)
 
 
 def parse_double(c: Column) -> Column:

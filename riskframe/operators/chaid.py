@@ -83,6 +83,7 @@ def fit_chaid(
     min_split: int = 20,
     min_bucket: int = 7,
     min_prob: float = 0.01,
+    counts: tuple[str, str] | None = None,
 ) -> ChaidTree:
     """Grow a tree level by level.
 
@@ -90,15 +91,18 @@ def fit_chaid(
     each predictor's categories merge pairwise while the least different pair
     is not significant; the predictor with the smallest Bonferroni-adjusted p
     splits the node, provided each child keeps ``min_bucket`` rows and the
-    ``min_prob`` share of all rows.
+    ``min_prob`` share of all rows.  ``counts`` names the row and event count
+    columns of a table that is grouped already, used instead of ``y``.
     """
     variables = tuple(variables)
-    complete = df.where(F.col(y).isNotNull()).dropna("any", subset=list(variables))
-    patterns = durable(
-        complete.groupBy(*variables).agg(
-            F.count("*").alias("_n"), F.sum(F.col(y).cast("double")).cast("long").alias("_n1")
-        )
-    )
+    complete = df.dropna("any", subset=list(variables))
+    if counts:
+        n, n1 = (F.sum(c) for c in counts)
+    else:
+        complete = complete.where(F.col(y).isNotNull())
+        n, n1 = F.count("*"), F.sum(F.col(y).cast("double"))
+    grouped = complete.groupBy(*variables)
+    patterns = durable(grouped.agg(n.cast("long").alias("_n"), n1.cast("long").alias("_n1")))
     total = patterns.agg(F.sum("_n").alias("n"), F.sum("_n1").alias("n1")).first()
     if not total.n:
         raise ValueError("no complete rows to grow a tree on")

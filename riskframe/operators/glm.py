@@ -15,6 +15,7 @@ from riskframe.session import durable
 from riskframe.spec import FeatureSpec
 
 INTERCEPT = "(Intercept)"
+PATTERN_COUNTS = ("_n", "_n1")
 
 
 @dataclass(frozen=True)
@@ -94,16 +95,19 @@ def fit_logit(
     collapse: bool = True,
     max_iter: int = 25,
     tol: float = 1e-8,
+    counts: tuple[str, str] | None = None,
 ) -> LogitFit:
     """Binomial regression with logit link.
 
     ``collapse`` groups equal covariate patterns first (events out of trials),
     which pays off for counts and categories; switch it off for continuous
-    predictors, where nearly every row is its own pattern.
+    predictors, where nearly every row is its own pattern.  ``counts`` names the
+    row and event count columns of a table that is grouped already.
     """
-    if collapse:
-        source = covariate_patterns(df, spec)
-        label, weight = F.col("_n1") / F.col("_n"), F.col("_n")
+    if counts or collapse:
+        source = df if counts else covariate_patterns(df, spec)
+        n, n1 = counts or PATTERN_COUNTS
+        label, weight = F.col(n1) / F.col(n), F.col(n)
     else:
         source = df.where(F.col(spec.target).isNotNull())
         label, weight = F.col(spec.target), F.lit(1)

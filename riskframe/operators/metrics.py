@@ -9,17 +9,25 @@ from riskframe.functions.numbers import ratio
 from riskframe.operators.ranking import running_totals
 
 
-def score_curve(df: DataFrame, y: str, p: str) -> DataFrame:
+def score_curve(
+    df: DataFrame, y: str, p: str, counts: tuple[str, str] | None = None
+) -> DataFrame:
     """Per distinct score, from the highest down: rows, events and running sums.
 
-    Rows without score or target are left out.
+    Rows without score or target are left out.  ``counts`` names the row and
+    event count columns of an already grouped table, used instead of ``y``.
     """
-    rows = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).select(
-        F.col(p).cast("double").alias("score"), F.col(y).cast("double").alias("_y")
-    )
-    return running_totals(
-        rows, "score", {"n": "count(*)", "n1": "sum(_y)"}, descending=True
-    ).withColumns(
+    score = F.col(p).cast("double").alias("score")
+    if counts:
+        n, n1 = (F.col(c).cast("double") for c in counts)
+        rows = df.where(F.col(p).isNotNull()).select(score, n.alias("_n"), n1.alias("_n1"))
+        measures = {"n": "sum(_n)", "n1": "sum(_n1)"}
+    else:
+        rows = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).select(
+            score, F.col(y).cast("double").alias("_y")
+        )
+        measures = {"n": "count(*)", "n1": "sum(_y)"}
+    return running_totals(rows, "score", measures, descending=True).withColumns(
         {
             "n0": F.col("n") - F.col("n1"),
             "n0_run": F.col("n_run") - F.col("n1_run"),
@@ -40,13 +48,13 @@ def _auc(flip: bool) -> Column:
     return F.greatest(value, 1 - value) if flip else value
 
 
-def ks(df: DataFrame, y: str, p: str, groups: int | None = None) -> DataFrame:
+def ks(df: DataFrame, y: str, p: str, groups: int | None = None, counts=None) -> DataFrame:
     """Largest gap between the cumulative event and non-event shares, one row.
 
     ``groups`` reads the gap only at that many equal-size score groups.  A group
     edge inside a tied score takes the tied rows' events in proportion.
     """
-    curve = score_curve(df, y, p)
+    curve = score_curve(df, y, p, counts)
     if groups is None:
         return curve.agg(F.max(_gap()).alias("ks"))
     start, n_all = F.col("n_run") - F.col("n"), F.col("n_all")
@@ -63,14 +71,16 @@ def ks(df: DataFrame, y: str, p: str, groups: int | None = None) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, y: str, p: str, auto_direction: bool = False) -> DataFrame:
+def auc(
+    df: DataFrame, y: str, p: str, auto_direction: bool = False, counts=None
+) -> DataFrame:
     """Area under the ROC curve, one row; optionally flipped to at least one half."""
-    return score_curve(df, y, p).agg(_auc(auto_direction).alias("auc"))
+    return score_curve(df, y, p, counts).agg(_auc(auto_direction).alias("auc"))
 
 
-def discrimination(df: DataFrame, y: str, p: str) -> DataFrame:
+def discrimination(df: DataFrame, y: str, p: str, counts=None) -> DataFrame:
     """Rows, events, KS and AUC from one curve, one row."""
-    return score_curve(df, y, p).agg(
+    return score_curve(df, y, p, counts).agg(
         F.max("n_all").cast("long").alias("n"),
         F.max("n1_all").cast("long").alias("events"),
         F.max(_gap()).alias("ks"),
@@ -78,12 +88,12 @@ def discrimination(df: DataFrame, y: str, p: str) -> DataFrame:
     )
 
 
-def roc_points(df: DataFrame, y: str, p: str) -> DataFrame:
+def roc_points(df: DataFrame, y: str, p: str, counts=None) -> DataFrame:
     """One point per distinct score (rows at or above it are positive) plus the origin.
 
     The cutoff of the origin is infinite: nobody is positive.
     """
-    curve = score_curve(df, y, p)
+    curve = score_curve(df, y, p, counts)
     # The row of the highest score also yields the origin.
     top = F.col("n_run") == F.col("n")
     kinds = F.when(top, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
@@ -125,13 +135,13 @@ def _criterion(metric: str) -> Column:
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def best_cutoff(df: DataFrame, y: str, p: str, *metrics: str) -> DataFrame:
+def best_cutoff(df: DataFrame, y: str, p: str, *metrics: str, counts=None) -> DataFrame:
     """Best cutoff per metric with its sensitivity and specificity.
 
     Candidates are the distinct scores and infinity; among equals the highest
     cutoff is taken.
     """
-    points = roc_points(df, y, p)
+    points = roc_points(df, y, p, counts)
     picks = [
         F.max(F.struct(_criterion(m).alias("value"), "cutoff", "sensitivity", "specificity")).alias(m)
         for m in metrics
@@ -181,7 +191,9 @@ def class_metrics(cells: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, y: str, p: str, cut: float, name: str, strict: bool = True) -> DataFrame:
+def evaluate(
+    df: DataFrame, y: str, p: str, cut: float, name: str, strict: bool = True, counts=None
+) -> DataFrame:
     """One comparison row for a scored sample: discrimination and class metrics.
 
     The cells are read off the score curve, so the sample is grouped once.
@@ -192,7 +204,7 @@ def evaluate(df: DataFrame, y: str, p: str, cut: float, name: str, strict: bool
     def cell(counts, cond):
         return F.sum(F.when(cond, F.col(counts)).otherwise(0.0)).cast("long")
 
-    scored = score_curve(df, y, p).agg(
+    scored = score_curve(df, y, p, counts).agg(
         F.max(_gap()).alias("ks"),
         _auc(False).alias("auc"),
         cell("n1", hit).alias("tp"),
@@ -200,7 +212,11 @@ def evaluate(df: DataFrame, y: str, p: str, cut: float, name: str, strict: bool
         cell("n1", ~hit).alias("fn"),
         cell("n0", ~hit).alias("tn"),
     )
-    left_out = df.agg(F.count_if(F.col(y).isNull() | F.col(p).isNull()).alias("unscored"))
+    if counts:
+        missing = F.coalesce(F.sum(F.when(F.col(p).isNull(), F.col(counts[0]))), F.lit(0))
+        left_out = df.agg(missing.cast("long").alias("unscored"))
+    else:
+        left_out = df.agg(F.count_if(F.col(y).isNull() | F.col(p).isNull()).alias("unscored"))
     both = scored.unionByName(left_out, allowMissingColumns=True)
     merged = both.agg(
         F.lit(name).alias("sample"),

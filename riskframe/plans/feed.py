@@ -7,8 +7,7 @@ rules can be written in any SQL engine (see ``FIXTURES.md``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskframe.plans.crash_schema import RAW_COLUMNS
 
@@ -31,110 +30,74 @@ COUNT_MODULI = {
 }
 
 
-def _pick(selector: Column, *choices) -> Column:
+def _pick(selector: str, *choices: str) -> str:
     """The choice at position ``selector``; the last one beyond the list."""
-    out = None
-    for position, choice in enumerate(choices[:-1]):
-        cond = selector == position
-        out = F.when(cond, choice) if out is None else out.when(cond, choice)
-    return out.otherwise(choices[-1])
+    whens = " ".join(f"WHEN {i} THEN {choice}" for i, choice in enumerate(choices[:-1]))
+    return f"CASE {selector} {whens} ELSE {choices[-1]} END"
 
 
-def crash_feed(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    ts = F.col("ts")
-    hour, minute = F.hour(ts), F.minute(ts)
-    hh, mm = F.lpad(hour.cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0")
-    h12 = F.when(hour % 12 == 0, 12).otherwise(hour % 12).cast("string")
-    k = (e % 601).cast("string")
-    text = F.lit
+_HOUR = "hour(ts)"
+_HH = f"lpad(string({_HOUR}), 2, '0')"
+_MM = "lpad(string(minute(ts)), 2, '0')"
+_H12 = f"string(if({_HOUR} % 12 = 0, 12, {_HOUR} % 12))"
+_K = "string(event_id % 601)"
 
-    clock = _pick(
-        e % 7,
-        F.concat(h12, text(":"), mm, text(":00 "), F.when(hour < 12, "AM").otherwise("PM")),
-        F.concat(hh, text(":"), mm),
-        F.concat(hour.cast("string"), text(":"), mm),
-        F.concat(hh, text(":"), mm, text("h")),
-        F.concat(F.chr(F.lit(9)), hh, text(":"), mm, text(":00"), F.chr(F.lit(160))),
-        F.concat(hh, text(":"), mm, text(":30h")),
-        text("N/A"),
-    )
-    number = F.concat(
-        F.when(e % 3 == 0, " ").otherwise(""),
-        (e % 997).cast("string"),
-        F.when(e % 7 == 0, F.concat(text("-"), (e % 4).cast("string")))
-        .when(e % 11 == 0, ".5")
-        .otherwise(""),
-        _pick(e % 5, F.chr(F.lit(160)), F.chr(F.lit(9)), F.chr(F.lit(13)), text("")),
-    )
-    km = _pick(
-        e % 8,
-        text(""),
-        F.lit(None).cast("string"),
-        F.concat(k, text(",5")),
-        F.concat(k, text("+250")),
-        F.concat(text("  "), k, text(" ")),
-        text("1.234,5"),
-        F.concat(k, text(".49")),
-        text("abc"),
-    )
-    columns = {
-        "Concessionaria": F.concat(text("C"), (F.col("user_id") % 5).cast("string")),
-        "Data": F.concat_ws(
-            "/",
-            F.lpad(F.dayofmonth(ts).cast("string"), 2, "0"),
-            F.lpad(F.month(ts).cast("string"), 2, "0"),
-            F.lpad((F.year(ts) % 100).cast("string"), 2, "0"),
-        ),
-        "Horario": clock,
-        "No_DaOcorrencia": number,
-        "TipoDeOcorrencia": _pick(
-            e % 4,
-            text("Acidente sem vítima"),
-            text("3 - Acidente com Danos Materiais"),
-            text("ACIDENTE COM VITIMA"),
-            text("1 - Sem Vitima"),
-        ),
-        "Km": km,
-        "Trecho": _pick(
-            e % 6,
-            *map(
-                text,
-                (
-                    "SP-BR116",
-                    "BR-116/SP",
-                    "BR-116/SP EXP",
-                    "BR-116/SP MARG",
-                    "BR-381/SP",
-                    "BR-116/PR",
-                ),
-            ),
-        ),
-        "Sentido": _pick(
-            e % 6,
-            text("Norte"),
-            text("SUL"),
-            text("Pista Norte"),
-            text("N/A"),
-            text(""),
-            F.lit(None).cast("string"),
-        ),
-        "TipoDeAcidente": F.col("event_type"),
-    }
-    for name, modulus in COUNT_MODULI.items():
-        columns[name] = _pick(
-            e % modulus,
-            text(""),
-            F.lit(None).cast("string"),
-            text(" 1 "),
-            text("2"),
-            text("00"),
-            text("x"),
-            text("0"),
-        )
-    copies = F.array_repeat(F.lit(0), F.when(e % 10 == 0, 2).otherwise(1))
-    return (
-        events.select(*[expr.alias(name) for name, expr in columns.items()], copies.alias("_copies"))
-        .withColumn("_copy", F.explode("_copies"))
-        .select(*RAW_COLUMNS)
+_RULES = {
+    "Concessionaria": "'C' || string(user_id % 5)",
+    "Data": "lpad(string(day(ts)), 2, '0') || '/' || lpad(string(month(ts)), 2, '0') || '/' "
+    "|| lpad(string(year(ts) % 100), 2, '0')",
+    "Horario": _pick(
+        "event_id % 7",
+        f"{_H12} || ':' || {_MM} || ':00 ' || if({_HOUR} < 12, 'AM', 'PM')",
+        f"{_HH} || ':' || {_MM}",
+        f"string({_HOUR}) || ':' || {_MM}",
+        f"{_HH} || ':' || {_MM} || 'h'",
+        f"chr(9) || {_HH} || ':' || {_MM} || ':00' || chr(160)",
+        f"{_HH} || ':' || {_MM} || ':30h'",
+        "'N/A'",
+    ),
+    "No_DaOcorrencia": "if(event_id % 3 = 0, ' ', '') || string(event_id % 997) || "
+    "CASE WHEN event_id % 7 = 0 THEN '-' || string(event_id % 4) "
+    "WHEN event_id % 11 = 0 THEN '.5' ELSE '' END || "
+    + _pick("event_id % 5", "chr(160)", "chr(9)", "chr(13)", "''"),
+    "TipoDeOcorrencia": _pick(
+        "event_id % 4",
+        "'Acidente sem vítima'",
+        "'3 - Acidente com Danos Materiais'",
+        "'ACIDENTE COM VITIMA'",
+        "'1 - Sem Vitima'",
+    ),
+    "Km": _pick(
+        "event_id % 8",
+        "''",
+        "NULL",
+        f"{_K} || ',5'",
+        f"{_K} || '+250'",
+        f"'  ' || {_K} || ' '",
+        "'1.234,5'",
+        f"{_K} || '.49'",
+        "'abc'",
+    ),
+    "Trecho": _pick(
+        "event_id % 6",
+        "'SP-BR116'",
+        "'BR-116/SP'",
+        "'BR-116/SP EXP'",
+        "'BR-116/SP MARG'",
+        "'BR-381/SP'",
+        "'BR-116/PR'",
+    ),
+    "Sentido": _pick("event_id % 6", "'Norte'", "'SUL'", "'Pista Norte'", "'N/A'", "''", "NULL"),
+    "TipoDeAcidente": "event_type",
+} | {
+    name: _pick(f"event_id % {modulus}", "''", "NULL", "' 1 '", "'2'", "'00'", "'x'", "'0'")
+    for name, modulus in COUNT_MODULI.items()
+}
+
+
+def crash_feed(events: DataFrame) -> DataFrame:
+    once = events.selectExpr(
+        *[f"{_RULES[name]} AS {name}" for name in RAW_COLUMNS],
+        "array_repeat(0, if(event_id % 10 = 0, 2, 1)) AS _copies",
     )
+    return once.selectExpr(*RAW_COLUMNS, "explode(_copies) AS _copy").drop("_copy")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import chaid, glm
-from riskframe.operators.metrics import base_rate, best_cutoff, compare, evaluate
+from riskframe.operators.metrics import best_cutoff, compare, evaluate
 from riskframe.operators.split import exact_split
 from riskframe.session import durable
 from riskframe.spec import FeatureSpec
@@ -35,23 +35,37 @@ def run_study(
     """Split, fit logit and tree on the training part, choose cutoffs, compare on both parts."""
     table = durable(model_table)
     train, test = exact_split(table, spec.key, frac, seed)
-    y = spec.target
-    logit = glm.fit_logit(train, spec)
-    tree = chaid.fit_chaid(train, y, spec.predictors, max_height=max_height)
+    y, counts = spec.target, glm.PATTERN_COUNTS
+    # Scores depend on the predictors alone, so after these two aggregates
+    # everything runs on distinct predictor combinations and their counts.
+    grouped_train, grouped_test = (
+        durable(glm.covariate_patterns(part, spec)) for part in (train, test)
+    )
+    logit = glm.fit_logit(grouped_train, spec, counts=counts)
+    tree = chaid.fit_chaid(
+        grouped_train, y, spec.predictors, max_height=max_height, counts=counts
+    )
 
     def scored(df):
         return chaid.tree_score(logit.score(df), tree, p0="tree_p0", p1="tree_p1")
 
-    train, test = scored(train), scored(test)
+    on_train, on_test = (
+        durable(scored(part).select(*counts, "probability", "tree_p1"))
+        for part in (grouped_train, grouped_test)
+    )
     criteria = ("abs_d_sens_spec", "accuracy", "f1", "youden")
     # Four rows, kept so the cutoff in use and the report are the same numbers.
-    cutoffs = durable(best_cutoff(train, y, "probability", *criteria))
+    cutoffs = durable(best_cutoff(on_train, y, "probability", *criteria, counts=counts))
     logit_cut = cutoffs.where(F.col("metric") == criterion).first().cutoff
-    tree_cut = base_rate(train, y).first().base_rate
+    tree_cut = tree.root.n1 / tree.root.n
+
+    def row(part, score, cut, name, strict=True):
+        return evaluate(part, y, score, cut, name, strict, counts=counts)
+
     comparison = compare(
-        evaluate(train, y, "probability", logit_cut, "logit/train"),
-        evaluate(test, y, "probability", logit_cut, "logit/test"),
-        evaluate(train, y, "tree_p1", tree_cut, "chaid/train", strict=False),
-        evaluate(test, y, "tree_p1", tree_cut, "chaid/test", strict=False),
+        row(on_train, "probability", logit_cut, "logit/train"),
+        row(on_test, "probability", logit_cut, "logit/test"),
+        row(on_train, "tree_p1", tree_cut, "chaid/train", strict=False),
+        row(on_test, "tree_p1", tree_cut, "chaid/test", strict=False),
     )
-    return Study(logit, tree, cutoffs, comparison, train, test)
+    return Study(logit, tree, cutoffs, comparison, scored(train), scored(test))

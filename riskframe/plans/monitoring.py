@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.columns import align_levels, unlisted_levels
-from riskframe.operators.glm import LogitFit, fit_logit
+from riskframe.operators.glm import PATTERN_COUNTS, LogitFit, covariate_patterns, fit_logit
 from riskframe.operators.metrics import evaluate
 from riskframe.operators.profile import latest
 from riskframe.plans.crash_schema import MONITORING_SCHEMA
+from riskframe.session import durable
 from riskframe.sources.writers import append_record
 from riskframe.spec import FeatureSpec
 
@@ -56,9 +57,17 @@ def monitor(
     cut = baseline["cutoff"]
     facts = live.agg(F.count("*").alias("n"), F.max(load_id).alias("load")).first()
     aligned = align_levels(live, spec)
-    fit = fit_logit(aligned, spec, collapse=collapse)
+    if collapse:
+        # Fit and metrics share one table of predictor combinations and counts.
+        rows, counts = durable(covariate_patterns(aligned, spec)), PATTERN_COUNTS
+    else:
+        rows, counts = aligned, None
+    fit = fit_logit(rows, spec, collapse=False, counts=counts)
     threshold = float("inf") if cut is None else cut
-    measured = evaluate(fit.score(aligned), spec.target, "probability", threshold, "live").first()
+    measured = evaluate(
+        fit.score(rows), spec.target, "probability", threshold, "live", counts=counts
+    ).first()
+    n_scored = sum(measured[c] or 0 for c in ("tp", "fp", "fn", "tn"))
 
     def stored(value):
         return 0.0 if value is None and empty_metric == "zero" else value
@@ -74,4 +83,4 @@ def monitor(
     }
     if target_path:
         append_record(live.sparkSession, record, MONITORING_SCHEMA, target_path)
-    return MonitorRun(record, fit, measured.unscored, unlisted_levels(live, spec), baseline)
+    return MonitorRun(record, fit, facts.n - n_scored, unlisted_levels(live, spec), baseline)

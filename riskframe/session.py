@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", name: str = "riskframe", **conf) -> Sp
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        # Call-site capture costs several gateway calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
