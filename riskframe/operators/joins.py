@@ -33,7 +33,9 @@ def new_rows(
         wanted = batch.select(F.col(key).alias("_batch_key")).distinct()
         known = known.join(
             F.broadcast(wanted), F.col("_live_key").eqNullSafe(F.col("_batch_key")), "left_semi"
-        ).distinct()
+        )
+    # A live key repeated many times merges before it is shuffled.
+    known = known.distinct()
     return rows.join(known, F.col(key).eqNullSafe(F.col("_live_key")), "left_anti")
 
 

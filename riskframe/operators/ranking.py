@@ -51,10 +51,10 @@ def running_totals(
     """Per distinct value: each measure, its running total and its grand total.
 
     ``measures`` maps an output name to an aggregate expression that adds up
-    over rows.  Adds ``<name>_run`` (inclusive) and ``<name>_all``.  Null values
-    of the sort column are left out.
+    over rows.  Adds ``<name>_run`` (inclusive) and ``<name>_all``.  Missing
+    values of the sort column are left out.
     """
-    rows = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
+    rows = df.withColumn(value, _number(value)).where(F.col(value).isNotNull())
     edges = range_edges(rows, value, ranges)
     if edges:
         splits = [-math.inf, *edges, math.inf]
@@ -63,17 +63,17 @@ def running_totals(
         ).transform(rows)
     else:
         ranged = rows.withColumn("_range", F.lit(0.0))
-    cells = ranged.groupBy("_range", value).agg(
-        *[F.expr(e).cast("double").alias(n) for n, e in measures.items()]
-    )
+    added = [F.expr(e).cast("double").alias(n) for n, e in measures.items()]
+    cells = ranged.groupBy("_range", value).agg(*added)
 
     def ordered(c):
         return F.desc(c) if descending else F.asc(c)
 
     inside = Window.partitionBy("_range").orderBy(ordered(value))
     # One row per range, MAX_RANGES + 2 at most, so neither the unpartitioned
-    # window nor the broadcast grows with the data.
-    totals = cells.groupBy("_range").agg(*[F.sum(n).alias(n) for n in measures])
+    # window nor the broadcast grows with the data.  Taken from the rows, where
+    # they merge map-side, rather than from a second copy of the cells.
+    totals = ranged.groupBy("_range").agg(*added)
     over = Window.orderBy(ordered("_range"))
     before = over.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(ordered("_range")).rowsBetween(
@@ -94,23 +94,21 @@ def running_totals(
 
 
 @dataclass
-class _Target:
-    """One quantile being narrowed down: value bracket and zero-based ranks."""
+class _Rank:
+    """One order statistic being located: zero-based rank inside an open value interval."""
 
     column: str
-    prob: float
-    low_rank: int
-    high_rank: int
-    weight: float
-    low: float = -math.inf
-    high: float = math.inf
+    rank: int
+    inside: int
+    low: float | None = None
+    high: float | None = None
     below: int = 0
-    inside: int = 0
     slack: float = 2.0 / SKETCH_ACCURACY
+    value: float | None = None
 
     @property
-    def done(self):
-        return self.low == self.high
+    def interval(self):
+        return (self.column, self.low, self.high)
 
 
 def exact_quantiles(
@@ -118,119 +116,113 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact quantiles by linear interpolation between order statistics.
 
-    Position of probability p among n values is (n - 1) * p.  A sketch brackets
-    every wanted rank, one counting pass proves the bracket right, and the
-    bracket shrinks until at most ``gather_rows`` rows are inside; only those
-    are sorted.  A bracket that misses its rank is widened and tried again, so
-    the answer never depends on the sketch error.
+    Position of probability p among n values is (n - 1) * p.  A sketch proposes
+    an interval around every wanted rank, one counting pass proves it right,
+    and it shrinks until at most ``gather_rows`` rows are inside; only those are
+    sorted.  An interval that misses its rank is widened and tried again, so
+    the answer never depends on the sketch error.  A value repeated so often
+    that it spans an interval edge is recognised by its count.
     """
     columns = list(columns)
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    data = df.select(*[_number(c).alias(c) for c in columns])
     sizes = data.agg(*[F.count(c).alias(c) for c in columns]).first()
-    targets = []
+    spans = {}
     for c in columns:
         for p in probs:
-            if sizes[c]:
-                position = (sizes[c] - 1) * p
-                low = math.floor(position + 1e-9)
-                weight = max(position - low, 0.0)
-                high = low + 1 if weight > 1e-9 else low
-                targets.append(
-                    _Target(c, p, low, high, weight if high > low else 0.0, inside=sizes[c])
-                )
-    while True:
-        open_targets = [t for t in targets if not t.done and t.inside > gather_rows]
-        if not open_targets:
-            break
-        _narrow(data, open_targets)
-    values = _gather(data, [t for t in targets if not t.done])
-    found = {}
-    for i, t in enumerate(t for t in targets if not t.done):
-        low, high = values[i]
-        found[(t.column, t.prob)] = low + t.weight * (high - low)
-    for t in targets:
-        if t.done:
-            found[(t.column, t.prob)] = t.low
-    return {c: [found.get((c, p)) for p in probs] for c in columns}
-
-
-def _within(column: str, low: float, high: float):
+            position = (sizes[c] - 1) * p
+            low = math.floor(position + 1e-9)
+            weight = position - low if position - low > 1e-9 else 0.0
+            spans[(c, p)] = (low, low + 1 if weight else low, weight)
+    wanted = {(c, r) for (c, _), span in spans.items() if sizes[c] for r in span[:2]}
+    ranks = {key: _Rank(*key, inside=sizes[key[0]]) for key in sorted(wanted)}
+    while wide := [r for r in ranks.values() if r.value is None and r.inside > gather_rows]:
+        _narrow(data, wide)
+    _gather(data, [r for r in ranks.values() if r.value is None])
+
+    def quantile(c, p):
+        if not sizes[c]:
+            return None
+        low, high, weight = spans[(c, p)]
+        a, b = ranks[(c, low)].value, ranks[(c, high)].value
+        return a + weight * (b - a)
+
+    return {c: [quantile(c, p) for p in probs] for c in columns}
+
+
+def _number(column: str):
+    """The column as a double; not-a-number counts as missing."""
+    c = F.col(column).cast("double")
+    return F.when(~F.isnan(c), c)
+
+
+def _within(column: str, low: float | None, high: float | None):
     c = F.col(column)
     cond = c.isNotNull()
-    if low > -math.inf:
-        cond &= c >= low
-    if high < math.inf:
-        cond &= c <= high
+    if low is not None:
+        cond &= c > low
+    if high is not None:
+        cond &= c < high
     return cond
 
 
-def _narrow(data: DataFrame, targets: list[_Target]) -> None:
-    """Propose a tighter bracket for each target, then count it."""
-    # Targets with one bracket share one sketch.
-    wanted: dict[tuple, list[float]] = {}
-    for t in targets:
-        local_low = (t.low_rank - t.below) / t.inside - t.slack
-        local_high = (t.high_rank + 1 - t.below) / t.inside + t.slack
-        wanted.setdefault((t.column, t.low, t.high), []).extend(
-            min(max(p, 0.0), 1.0) for p in (local_low, local_high)
-        )
+def _narrow(data: DataFrame, ranks: list[_Rank]) -> None:
+    """Propose a tighter interval for each rank, then count it."""
+    # Ranks with one interval share one sketch.
+    probs: dict[tuple, list[float]] = {}
+    for r in ranks:
+        at = (r.rank - r.below) / r.inside
+        probs.setdefault(r.interval, []).extend([max(at - r.slack, 0.0), min(at + r.slack, 1.0)])
     sketches = [
-        F.percentile_approx(
-            F.when(_within(*bracket), F.col(bracket[0])), probs, SKETCH_ACCURACY
-        ).alias(f"s{i}")
-        for i, (bracket, probs) in enumerate(wanted.items())
+        F.percentile_approx(F.when(_within(*i), F.col(i[0])), ps, SKETCH_ACCURACY).alias(f"s{k}")
+        for k, (i, ps) in enumerate(probs.items())
     ]
     row = data.agg(*sketches).first()
-    found = {bracket: iter(row[f"s{i}"]) for i, bracket in enumerate(wanted)}
-    proposal = []
-    for t in targets:
-        values = found[(t.column, t.low, t.high)]
-        proposal.append((next(values), next(values)))
+    found = {i: iter(row[f"s{k}"]) for k, i in enumerate(probs)}
+    proposed = [(next(found[r.interval]), next(found[r.interval])) for r in ranks]
     counts = []
-    for i, t in enumerate(targets):
-        low, high = proposal[i]
-        c = F.col(t.column)
-        counts.append(F.count_if(c < low).alias(f"b{i}"))
-        counts.append(F.count_if((c >= low) & (c <= high)).alias(f"i{i}"))
+    for k, (r, (low, high)) in enumerate(zip(ranks, proposed)):
+        c = F.col(r.column)
+        tests = (c < low, c == low, c < high, c == high)
+        counts += [F.count_if(t).alias(f"{name}{k}") for name, t in zip("abde", tests)]
     counted = data.agg(*counts).first()
-    for i, t in enumerate(targets):
-        low, high = proposal[i]
-        below, inside = counted[f"b{i}"], counted[f"i{i}"]
-        if not (below <= t.low_rank and t.high_rank < below + inside):
-            t.slack *= 4
-        elif inside < t.inside or low == high:
-            t.low, t.high, t.below, t.inside = low, high, below, inside
+    for k, (r, (low, high)) in enumerate(zip(ranks, proposed)):
+        under_low, at_low, under_high, at_high = (counted[f"{name}{k}"] for name in "abde")
+        if not under_low <= r.rank < under_high + at_high:
+            r.slack *= 4
+        elif r.rank < under_low + at_low:
+            r.value = low
+        elif r.rank >= under_high:
+            r.value = high
         else:
-            # A few heavy values fill the bracket: it collapses when grouped.
-            t.inside = 0
-
-
-def _gather(data: DataFrame, targets: list[_Target]) -> dict[int, tuple[float, float]]:
-    """Values at the two ranks of each target, from its bracket's sorted cells."""
-    if not targets:
-        return {}
-    picks = [
-        F.when(_within(t.column, t.low, t.high), F.col(t.column)).alias(str(i))
-        for i, t in enumerate(targets)
-    ]
-    # Targets that still cover their whole column share one set of cells.
-    shared: dict[tuple, int] = {}
-    group = [shared.setdefault((t.column, t.low, t.high), i) for i, t in enumerate(targets)]
+            r.low, r.high = low, high
+            r.below = under_low + at_low
+            r.inside = under_high - r.below
+
+
+def _gather(data: DataFrame, ranks: list[_Rank]) -> None:
+    """Read the ranks off the sorted values of their intervals."""
+    if not ranks:
+        return
+    # Ranks that share an interval share its cells.
+    names = {i: str(k) for k, i in enumerate(dict.fromkeys(r.interval for r in ranks))}
+    picks = [F.when(_within(*i), F.col(i[0])).alias(name) for i, name in names.items()]
     cells = (
-        unpivot_doubles(data.select(*[picks[i] for i in sorted(set(group))]))
+        unpivot_doubles(data.select(*picks))
         .groupBy("variable", "level")
         .agg(F.count("*").alias("n"))
     )
+    # At most ``gather_rows`` rows stand behind each variable here.
     run = F.sum("n").over(Window.partitionBy("variable").orderBy("level"))
-    ranked = cells.withColumn("upto", run)
-    wanted = []
-    for i, t in enumerate(targets):
-        here = F.col("variable") == str(group[i])
-        for end, rank in (("l", t.low_rank), ("h", t.high_rank)):
-            hit = here & (F.col("upto") > rank - t.below)
-            wanted.append(F.min(F.when(hit, F.col("level"))).alias(f"{end}{i}"))
-    row = ranked.agg(*wanted).first()
-    return {i: (row[f"l{i}"], row[f"h{i}"]) for i in range(len(targets))}
+    reached = [
+        (F.col("variable") == names[r.interval]) & (F.col("upto") > r.rank - r.below) for r in ranks
+    ]
+    row = (
+        cells.withColumn("upto", run)
+        .agg(*[F.min(F.when(hit, F.col("level"))).alias(str(k)) for k, hit in enumerate(reached)])
+        .first()
+    )
+    for k, r in enumerate(ranks):
+        r.value = row[str(k)]
 
 
 def unpivot_doubles(df: DataFrame) -> DataFrame:

@@ -39,11 +39,13 @@ def stream_increments(
     key: str,
     checkpoint: str,
     load_prefix: str = "stream",
+    max_files: int = 1000,
 ) -> StreamingQuery:
     """Run every file not seen yet through ``load_increment``, then stop.
 
     Each micro-batch is keyed against the live table, so arrival order does not
-    matter and a replayed batch changes nothing.
+    matter and a replayed batch changes nothing.  A backlog is worked off in
+    batches of at most ``max_files`` files.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -51,6 +53,7 @@ def stream_increments(
 
     return (
         spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
         .parquet(source_path)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)

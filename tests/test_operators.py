@@ -136,6 +136,15 @@ def test_exact_quantiles_equal_numpy(spark, limit):
     np.testing.assert_allclose(got["k"], np.quantile(np.arange(5000) % 3, probs), atol=1e-12)
 
 
+def test_narrowing_survives_heavy_values(spark):
+    # Two heavy neighbours with the median between them, and a long thin tail.
+    values = [1.0] * 3000 + [2.0] * 3000 + [2 + i / 1000 for i in range(1, 1000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    probs = [0, 0.1, 2999.5 / 6998, 0.5, 0.9, 0.9999, 1]
+    got = exact_quantiles(df, ["x"], probs, gather_rows=20)["x"]
+    np.testing.assert_allclose(got, np.quantile(values, probs), atol=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}
