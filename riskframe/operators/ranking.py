@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_RANGES = 1024
+MAX_RANGES = 8192
 SKETCH_ACCURACY = 10_000
 
 
 def range_count(df: DataFrame) -> int:
-    """Value ranges to cut: a few per shuffle partition, bounded."""
-    return min(MAX_RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Value ranges to cut: several per shuffle partition, bounded."""
+    return min(MAX_RANGES, 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
@@ -36,7 +36,9 @@ def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[fl
         return []
     probs = [i / parts for i in range(1, parts)]
     row = df.agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, SKETCH_ACCURACY).alias("edges")
+        F.percentile_approx(
+            F.col(value).cast("double"), probs, max(SKETCH_ACCURACY, 4 * parts)
+        ).alias("edges")
     ).first()
     return sorted({e for e in row.edges or [] if math.isfinite(e)})
 
@@ -69,7 +71,11 @@ def running_totals(
     def ordered(c):
         return F.desc(c) if descending else F.asc(c)
 
-    inside = Window.partitionBy("_range").orderBy(ordered(value))
+    inside = (
+        Window.partitionBy("_range")
+        .orderBy(ordered(value))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     # One row per range, MAX_RANGES + 2 at most, so neither the unpartitioned
     # window nor the broadcast grows with the data.  Taken from the rows, where
     # they merge map-side, rather than from a second copy of the cells.

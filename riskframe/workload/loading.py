@@ -32,7 +32,10 @@ def src2(spark, sf_dir):
     name = f"orders_{uuid.uuid4().hex}"
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     rows.write.option("path", scratch_path(spark, name)).saveAsTable(name)
-    return readers.read_table(spark, name)
+    found = readers.read_table(spark, name)
+    # The files stay in the shared folder; only the catalogue entry goes.
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 @query(
