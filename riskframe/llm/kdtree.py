@@ -119,8 +119,9 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", v
         return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
 
     dim = F.size("x").alias("dim")
-    queries = vectors.where(is_query).select("vec_id", "x", dim, spread(1, blocks).alias("block"),
-                                             spread(2, shards).alias("home"))
+    # Read by both passes and joined to what is derived from it, hence checkpointed.
+    queries = durable(vectors.where(is_query).select("vec_id", "x", dim, spread(1, blocks).alias("block"),
+                                                     spread(2, shards).alias("home")))
     keys = ["shard", "block", "dim"]
     held = vectors.select(
         "vec_id", "x", dim, spread(0, shards).alias("shard"),

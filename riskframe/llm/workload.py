@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, kdtree
+from riskframe.llm import bpe, decontaminate, kdtree, partenum, quality, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
@@ -22,6 +30,57 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# A-Z to a-z and nothing else; words are runs of anything but ASCII white space.
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPACED_WORDS = (
+    "list_filter(regexp_split_to_array(" + LOWER + ", '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+)
+
+
+def shingle_sql(source: str, key: str, size: int) -> str:
+    """Distinct shingles (key, s) of a table's texts."""
+    return f"""
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {size}
+      THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM (SELECT {key}, {SPACED_WORDS.format("coalesce(text, '')")} AS w FROM {source} WHERE {key} IS NOT NULL)"""
+
+
+OP6_SQL = f"""
+WITH RECURSIVE s AS MATERIALIZED ({shingle_sql("documents", "doc_id", 4)}),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = d.doc_id
+"""
+
+OP8_SQL = f"""
+WITH d AS ({shingle_sql("documents", "doc_id", 5)}),
+i AS ({shingle_sql("benchmark", "item_id", 5)}),
+n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM d JOIN i USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_shingles
+HAVING count(*) >= 0.8 * n_shingles
+"""
+
+
 def op9_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return kdtree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -45,7 +104,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 QUERIES = {
+    "op1_quality_nbsvm": op1_quality_nbsvm,
+    "op2_toxicity_nearest": op2_toxicity_nearest,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
 }
-ORACLE_SQL = {"op9_kdtree_top_k": OP9_SQL}
+ORACLE_SQL = {"op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
