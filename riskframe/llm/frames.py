@@ -60,19 +60,12 @@ TABLE_SCHEMA = "block int, sums binary"
 def summed(parts: DataFrame, size: int) -> np.ndarray:
     """The sum of all tasks' tables of ``size`` entries: a fixed size, whatever the input's."""
 
-    def add(key, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for row in rows:
-            for piece in row["sums"]:
-                x = np.frombuffer(piece, np.float64)
-                total = x.copy() if total is None else total + x
-        yield pd.DataFrame({"block": [key[0]], "sums": [total.tobytes()]})
-
-    def whole(key, rows: pd.DataFrame) -> pd.DataFrame:
-        return next(add(key, iter([rows])))
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(piece, np.float64) for piece in rows["sums"])
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "sums": [total.tobytes()]})
 
     out = np.zeros(size)
-    for row in parts.groupBy("block").applyInPandas(whole, TABLE_SCHEMA).toLocalIterator():
+    for row in parts.groupBy("block").applyInPandas(add, TABLE_SCHEMA).toLocalIterator():
         at = row["block"] * BLOCK
         out[at : at + BLOCK] = np.frombuffer(bytes(row["sums"]), np.float64)
     return out

@@ -30,26 +30,47 @@ from riskframe.llm.frames import fold, labelled_sample, logistic, map_column, pl
 from riskframe.session import durable
 
 BITS = 18
+#: Buckets of a text's shape; these indicators are not scaled down with the text's length.
+SHAPES = 64
 PER_CLASS = 6000
 EPOCHS = 6
 COST = 1.0
 
 
+def shapes(t: words.Tokens, pairs_in_row: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Keys of a text's shape: how often a word repeats the one before, and how varied its words are.
+
+    Each share is told by its power of two, one indicator each.
+    """
+    n = np.diff(t.bounds)
+    repeats = np.bincount(row[1:][pairs_in_row], minlength=t.rows) if len(row) > 1 else np.zeros(t.rows, int)
+    distinct = np.unique(np.stack([row.astype(np.uint64), t.hashes], axis=1), axis=0)[:, 0].astype(np.int64)
+    varied = np.bincount(distinct, minlength=t.rows)
+    length = np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), 15)
+    power = lambda part: np.where(part > 0, np.minimum(np.log2(np.maximum(n, 1) / np.maximum(part, 1)), 14).astype(np.int64), 15)
+    rows = np.flatnonzero(n > 0)
+    return np.concatenate([rows << BITS | kind[rows] + at for at, kind in
+                           ((0, power(repeats)), (16, power(varied)), (32, length))])
+
+
 def indicators(column: pa.Array):
-    """(rows in chunk, row, bucket): distinct hashed words and word pairs of every text."""
+    """(rows in chunk, row, bucket): distinct hashed words and word pairs of every text, and its shape."""
     for t in words.tokens(column, words.WORDS_AND_MARKS):
         row = t.row_of()
         pair = words.mixed(t.hashes[:-1] * np.uint64(3) + t.hashes[1:]) if len(row) > 1 else t.hashes[:0]
         same = row[1:] == row[:-1]
         at = np.concatenate([row, row[1:][same]])
         hashed = np.concatenate([t.hashes, pair[same]]) >> np.uint64(64 - BITS)
-        keys = np.unique((at.astype(np.int64) << BITS) | hashed.astype(np.int64))
+        hashed = np.maximum(hashed.astype(np.int64), SHAPES)
+        keys = np.unique((at.astype(np.int64) << BITS) | hashed)
+        again = t.hashes[1:] == t.hashes[:-1] if len(row) > 1 else same
+        keys = np.sort(np.concatenate([keys, shapes(t, same & again, row)]))
         yield t.rows, keys >> BITS, keys & ((1 << BITS) - 1)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Decision: the constant plus the mean-square-normalised sum of the present weights."""
+    """Decision: the constant plus the weights present, those of words over the root of their number."""
 
     weights: np.ndarray
     constant: float
@@ -58,8 +79,8 @@ class Model:
 
     def decide(self, rows: int, row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         n = np.bincount(row, minlength=rows)
-        total = np.bincount(row, weights=self.weights[bucket], minlength=rows)
-        return total / np.sqrt(np.maximum(n, 1)) + self.constant
+        scale = np.where(bucket < SHAPES, 1.0, 1 / np.sqrt(np.maximum(n, 1))[row])
+        return np.bincount(row, weights=self.weights[bucket] * scale, minlength=rows) + self.constant
 
     def score(self, column: pa.Array) -> np.ndarray:
         parts = [logistic(self.slope * self.decide(*x) + self.offset) for x in indicators(column)]
@@ -77,10 +98,15 @@ def log_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.log(share[0] / share[1])
 
 
+def scaled(row: np.ndarray) -> np.ndarray:
+    """The value of each indicator present in one text."""
+    return np.where(row < SHAPES, 1.0, 1 / np.sqrt(max(len(row), 1)))
+
+
 def descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: np.ndarray, epochs: int):
     """Dual coordinate descent for the hinge loss over normalised, ratio-scaled indicators."""
     w, constant = np.zeros(1 << BITS), 0.0
-    values = [ratio[r] / np.sqrt(max(len(r), 1)) for r in rows]
+    values = [ratio[r] * scaled(r) for r in rows]
     norms = [float(v @ v) + 1.0 for v in values]
     sign, alpha = 2 * y - 1, np.zeros(len(rows))
     order = np.random.default_rng(0)
@@ -119,7 +145,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, counts: dict[int, int], epochs:
             continue
         w, constant = fit(np.flatnonzero(~half))
         for i in np.flatnonzero(half):
-            decided[i] = w[rows[i]].sum() / np.sqrt(max(len(rows[i]), 1)) + constant
+            decided[i] = w[rows[i]] @ scaled(rows[i]) + constant
     weight = np.array([counts[c] / taken[c] for c in (0, 1)])[y] / total * len(y)
     slope, offset = platt(decided, y, weight)
     w, constant = fit(np.arange(len(y)))

@@ -21,6 +21,7 @@ rows; further columns of either table are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from riskframe.llm.frames import (
 )
 from riskframe.session import durable
 
-PER_CLASS = 1500
+PER_CLASS = 3000
 TERMS = 512
 NEIGHBOURS = 15
 EXAMPLES_IN_BLOCK = 64
@@ -44,10 +45,13 @@ ROWS_AT_ONCE = 512
 
 def term_counts(column: pa.Array, terms: np.ndarray):
     """Per chunk: a matrix of the counts of the (sorted) terms in every text."""
+    seen = np.zeros(1 << 16, dtype=bool)
+    seen[terms >> np.uint64(48)] = True
     for t in words.tokens(column, words.WORDS_AND_MARKS):
-        at = np.minimum(np.searchsorted(terms, t.hashes), len(terms) - 1)
-        known = terms[at] == t.hashes
-        keys = t.row_of()[known] * len(terms) + at[known]
+        likely = np.flatnonzero(seen[t.hashes >> np.uint64(48)])
+        at = np.minimum(np.searchsorted(terms, t.hashes[likely]), len(terms) - 1)
+        known = terms[at] == t.hashes[likely]
+        keys = np.sort(t.row_of()[likely[known]] * len(terms) + at[known])
         for low in range(0, t.rows, ROWS_AT_ONCE):
             high = min(low + ROWS_AT_ONCE, t.rows)
             own = keys[np.searchsorted(keys // len(terms), low) : np.searchsorted(keys // len(terms), high)]
@@ -118,8 +122,21 @@ class Index:
 EVIDENCE = "array<struct<doc_id:long,label:int,cosine:double>>"
 
 
+def significant(tests: int, level: float = 0.01) -> float:
+    """The chi-square (one degree of freedom) that is significant at ``level`` among so many tests."""
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) > level / max(tests, 1) else (low, middle)
+    return high
+
+
 def chosen_terms(rows: list[np.ndarray], y: np.ndarray, terms: int) -> np.ndarray:
-    """The words with the largest chi-square between presence and class."""
+    """At most ``terms`` words with the largest chi-square between presence and class.
+
+    Only words whose chi-square is significant among all words tested, if there
+    are any: others would move documents apart that differ by chance.
+    """
     found, at = np.unique(np.concatenate(rows), return_inverse=True)
     label = np.repeat(y, [len(r) for r in rows])
     a = np.bincount(at[label == 1], minlength=len(found)).astype(float)
@@ -128,6 +145,9 @@ def chosen_terms(rows: list[np.ndarray], y: np.ndarray, terms: int) -> np.ndarra
     n, present = n0 + n1, a + b
     chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(present * (n - present) * n1 * n0, 1e-9)
     chi[present < 3] = 0
+    sure = chi >= significant(int((present >= 3).sum()))
+    if sure.any():
+        chi[~sure] = 0
     best = np.lexsort((found, -chi))[:terms]
     return np.sort(found[best[chi[best] > 0]])
 
