@@ -27,6 +27,11 @@ def small_if_counted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, for a cogroup with a frame of the same origin."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def map_column(df: DataFrame, column: str, keep: list[str], made: list[tuple[str, T.DataType]],
                make: Callable[[pa.Array], list]) -> DataFrame:
     """(keep..., made...): columns made from one column, batch by batch, rows in place."""

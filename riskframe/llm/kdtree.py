@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.frames import renewed
 from riskframe.session import durable
 
 LEAF = 64
@@ -129,7 +130,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", v
     )
 
     def search(asked: DataFrame) -> DataFrame:
-        return held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_pair(k), _FOUND)
+        return held.groupBy(*keys).cogroup(renewed(asked).groupBy(*keys)).applyInPandas(_pair(k), _FOUND)
 
     least = F.lit(-(2**62)).cast("long")
     first = durable(search(queries.select("vec_id", "x", "dim", "block", F.col("home").alias("shard"), least.alias("floor"))))

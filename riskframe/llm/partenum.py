@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import words
-from riskframe.llm.frames import small_if_counted
+from riskframe.llm.frames import renewed, small_if_counted
 from riskframe.llm.graph import components
 from riskframe.session import durable
 
@@ -314,7 +314,7 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
     columns = ["class", "label", "features"]
     second = (
         rest.select(*keys, *columns).groupBy(*keys)
-        .cogroup(others.select(*keys, *columns).groupBy(*keys))
+        .cogroup(renewed(others.select(*keys, *columns)).groupBy(*keys))
         .applyInPandas(across, "a long, b long")
     )
     return first.unionByName(second)

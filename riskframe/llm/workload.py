@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, partenum, quality, toxicity
+from riskframe.llm import bpe, decontaminate, kdtree, linedup, partenum, quality, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -30,6 +30,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.dedup_lines(docs).select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -54,6 +59,34 @@ def shingle_sql(source: str, key: str, size: int) -> str:
   FROM (SELECT {key}, {SPACED_WORDS.format("coalesce(text, '')")} AS w FROM {source} WHERE {key} IS NOT NULL)"""
 
 
+OP4_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents
+), numbered AS (
+  SELECT doc_id, i - 1 AS line, trim(raw[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said
+  FROM lines, unnest(range(1, len(raw) + 1)) AS u(i)
+), full_lines AS (
+  SELECT doc_id, list(said ORDER BY line) AS s, list(line ORDER BY line) AS nums,
+         list(len(list_filter(regexp_split_to_array(said, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ORDER BY line) AS n
+  FROM numbered WHERE said <> '' GROUP BY doc_id
+), spans AS (
+  SELECT doc_id, s, nums, i AS a, b, list_sum(n[i:b]) AS words, list_sum(n[i:b - 1]) AS less_last, list_sum(n[i + 1:b]) AS less_first
+  FROM full_lines, unnest(range(1, len(s) + 1)) AS u(i), unnest(range(i, least(len(s), i + 49) + 1)) AS v(b)
+), windows AS (
+  SELECT doc_id, nums[a] AS first, nums[b] AS last, b - a AS size, array_to_string(s[a:b], chr(10)) AS said
+  FROM spans WHERE words >= 50 AND (coalesce(less_last, 0) < 50 OR coalesce(less_first, 0) < 50)
+), marked AS (
+  SELECT *, row_number() OVER (PARTITION BY size, said ORDER BY doc_id, first) AS place FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, line FROM marked, unnest(range(first, last + 1)) AS u(line) WHERE place > 1
+), g AS (SELECT doc_id, list(line) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(len(raw), 0) AS n_lines, coalesce(len(gone), 0) AS n_deleted,
+       CASE WHEN gone IS NULL THEN sha256(text) ELSE sha256(array_to_string(
+         list_transform(list_filter(range(1, len(raw) + 1), lambda i: NOT list_contains(gone, i - 1)), lambda i: raw[i]), chr(10)))
+       END AS text_sha256
+FROM lines LEFT JOIN g USING (doc_id)
+"""
+
 OP6_SQL = f"""
 WITH RECURSIVE s AS MATERIALIZED ({shingle_sql("documents", "doc_id", 4)}),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -107,8 +140,9 @@ QUERIES = {
     "op1_quality_nbsvm": op1_quality_nbsvm,
     "op2_toxicity_nearest": op2_toxicity_nearest,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
 }
-ORACLE_SQL = {"op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
+ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
