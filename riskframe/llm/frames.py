@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 1_000_000
 #: Entries of a summed table in one row.
 BLOCK = 4096
+#: Tasks whose tables are added in a first step.
+FAN = 512
 
 
 def fold(doc_id: str, parts: int) -> Column:
@@ -46,33 +49,38 @@ def map_column(df: DataFrame, column: str, keep: list[str], made: list[tuple[str
     return df.select(F.col(column), *[F.col(c) for c in keep]).mapInArrow(run, schema)
 
 
-def table_rows(tables: np.ndarray, key: int = 0) -> Iterator[pa.RecordBatch]:
-    """A dense table as rows of blocks, for ``summed``; blocks of zeros are left out."""
-    flat = tables.reshape(-1).astype(np.float64)
-    blocks = range(0, len(flat), BLOCK)
-    some = [i for i in blocks if flat[i : i + BLOCK].any()]
+def table_rows(tables: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's dense table as rows of blocks, for ``summed``; blocks of zeros are left out."""
+    flat = tables.reshape(-1)
+    some = [i for i in range(0, len(flat), BLOCK) if flat[i : i + BLOCK].any()]
+    task = TaskContext.get()
     if some:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key + i // BLOCK for i in some], pa.int32()),
+            [pa.array([i // BLOCK for i in some], pa.int32()),
+             pa.array([task.partitionId() // FAN if task else 0] * len(some), pa.int32()),
              pa.array([flat[i : i + BLOCK].tobytes() for i in some], pa.binary())],
-            names=["block", "sums"],
+            names=["block", "part", "sums"],
         )
 
 
-TABLE_SCHEMA = "block int, sums binary"
+TABLE_SCHEMA = "block int, part int, sums binary"
 
 
-def summed(parts: DataFrame, size: int) -> np.ndarray:
-    """The sum of all tasks' tables of ``size`` entries: a fixed size, whatever the input's."""
+def summed(parts: DataFrame, size: int, kind: type = np.float64) -> np.ndarray:
+    """The sum of all tasks' tables of ``size`` entries: a fixed size, whatever the input's.
+
+    Tables of at most ``FAN`` neighbouring tasks are added first, then their sums.
+    """
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(piece, np.float64) for piece in rows["sums"])
-        return pd.DataFrame({"block": rows["block"].iloc[:1], "sums": [total.tobytes()]})
+        total = sum(np.frombuffer(piece, kind) for piece in rows["sums"])
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "part": rows["part"].iloc[:1], "sums": [total.tobytes()]})
 
-    out = np.zeros(size)
-    for row in parts.groupBy("block").applyInPandas(add, TABLE_SCHEMA).toLocalIterator():
+    out = np.zeros(size, kind)
+    sums = parts.groupBy("block", "part").applyInPandas(add, TABLE_SCHEMA).groupBy("block").applyInPandas(add, TABLE_SCHEMA)
+    for row in sums.toLocalIterator():
         at = row["block"] * BLOCK
-        out[at : at + BLOCK] = np.frombuffer(bytes(row["sums"]), np.float64)
+        out[at : at + BLOCK] = np.frombuffer(bytes(row["sums"]), kind)
     return out
 
 

@@ -63,6 +63,8 @@ class Tokens:
     first: int
     hashes: np.ndarray
     bounds: np.ndarray
+    #: If asked for: bit 0, the word has bytes over 0x7F; bit 1, its last byte is an ASCII mark.
+    forms: np.ndarray | None = None
 
     @property
     def rows(self) -> int:
@@ -100,12 +102,12 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         row = last
 
 
-def tokens(column: pa.Array, classes: np.ndarray = SPACED, spans: bool = False):
+def tokens(column: pa.Array, classes: np.ndarray = SPACED, forms: bool = False):
     """Hashes of the words of a text column, A-Z lower-cased, chunk by chunk."""
     for first, data, at in chunks(column):
         n = len(data)
         if n == 0:
-            yield Tokens(first, np.zeros(0, np.uint64), np.zeros(len(at), np.int64))
+            yield Tokens(first, np.zeros(0, np.uint64), np.zeros(len(at), np.int64), np.zeros(0, np.uint8))
             continue
         kind = classes[data]
         edge = np.empty(n, dtype=bool)
@@ -120,7 +122,11 @@ def tokens(column: pa.Array, classes: np.ndarray = SPACED, spans: bool = False):
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[_LOWER[data]] * _power("up", n)[:n], out=total[1:])
         hashes = mixed((total[ends] - total[starts]) * _power("down", n)[starts])
-        yield Tokens(first, hashes, np.searchsorted(starts, at))
+        form = None
+        if forms:
+            high = np.concatenate([[0], np.cumsum(data >= 0x80, dtype=np.int64)])
+            form = (high[ends] > high[starts]).astype(np.uint8) | (WORDS_AND_MARKS[data[ends - 1]] == 2).astype(np.uint8) << 1
+        yield Tokens(first, hashes, np.searchsorted(starts, at), form)
 
 
 def shingles(t: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:

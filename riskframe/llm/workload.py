@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, linedup, partenum, quality, toxicity
+from riskframe.llm import bpe, decontaminate, kdtree, linedup, maxent, partenum, quality, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -119,6 +119,10 @@ def op9_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op10_lm_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
@@ -144,5 +148,6 @@ QUERIES = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
+    "op10_lm_maxent": op10_lm_maxent,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
