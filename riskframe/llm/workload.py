@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, linedup, maxent, partenum, quality, toxicity
+from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, quality, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -35,10 +35,18 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(docs).select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -145,7 +153,9 @@ QUERIES = {
     "op2_toxicity_nearest": op2_toxicity_nearest,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_line_dedup": op4_line_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_url_filter": op7_url_filter,
     "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
     "op10_lm_maxent": op10_lm_maxent,
