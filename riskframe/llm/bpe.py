@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import pyarrow as pa
@@ -110,22 +111,27 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids",
     return _mapped(df, ids, [T.StructField(out, T.BinaryType())], make)
 
 
-def round_trip(df: DataFrame, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
-    """``df`` with token count and digests of ids and decoded bytes; ids never leave the worker."""
+def round_trip(df: DataFrame, rank_file: str, pattern: str, text: str = "text", ids_column: str | None = None) -> DataFrame:
+    """``df`` with token count and digests of ids and decoded bytes, and the ids if a column for them is named."""
 
     def make(column):
         c = codec(rank_file, pattern)
-        counts, coded, decoded = [], [], []
+        counts, coded, decoded, kept = [], [], [], []
         for value in column:
             ids = c.encode(value.as_py())
             counts.append(len(ids))
             coded.append(hashlib.sha256(str(ids)[1:-1].replace(" ", "").encode()).hexdigest())
             decoded.append(hashlib.sha256(c.decode(ids)).hexdigest())
-        return [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            if ids_column:
+                kept.append(array("i", ids))
+        made = [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+        return made + ([pa.array(kept, pa.list_(pa.int32()))] if ids_column else [])
 
     fields = [
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
     ]
+    if ids_column:
+        fields.append(T.StructField(ids_column, T.ArrayType(T.IntegerType())))
     return _mapped(df, text, fields, make)

@@ -209,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLA
     return Index(chosen, idf, blocks, index.maxima, y, ids, slope, offset, nothing)
 
 
-def score(docs: DataFrame, index: Index, keep: list[str], k: int = NEIGHBOURS, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, index: Index, keep: list[str], k: int = NEIGHBOURS, text: str = "text",
+          out: tuple[str, str] = ("score", "evidence")) -> DataFrame:
     """(keep..., score, evidence): calibrated probability of class 1 and the three nearest examples."""
     shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * per_class rows of ``terms`` weights
     kind = T._parse_datatype_string(EVIDENCE)
@@ -219,15 +220,14 @@ def score(docs: DataFrame, index: Index, keep: list[str], k: int = NEIGHBOURS, t
         fields = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         return [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(fields))]
 
-    return map_column(docs, text, keep, [("score", T.DoubleType()), ("evidence", kind)], make)
+    return map_column(docs, text, keep, [(out[0], T.DoubleType()), (out[1], kind)], make)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held: int = 1,
-             threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+             threshold: float = 0.7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every document; held-out labels are not read."""
     index = fit(docs, labels.where(fold(doc_id, folds) != held), label, doc_id=doc_id, text=text)
-    keep = keep or [doc_id]
-    return score(docs, index, keep, text=text).select(
-        *keep, (fold(doc_id, folds) == held).alias("held_out"), "score",
+    return score(docs, index, [doc_id], text=text).select(
+        doc_id, (fold(doc_id, folds) == held).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence",
     )
