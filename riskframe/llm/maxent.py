@@ -135,7 +135,7 @@ class Vocabulary:
 
 
 def head_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray]:
-    """(keys, counts) of the most frequent words, at most HEAD; all tokens, all words, and both by form."""
+    """(keys, counts) of the end and at most HEAD frequent words; all tokens, all words, and both by form."""
     fine = 4
 
     def weigh(batches):
@@ -159,7 +159,7 @@ def head_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int, np
         for batch in batches:
             for k, c in zip(batch.column(0), batch.column(1), strict=True):
                 keys, counts = np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64)
-                some = (np.log2(counts) * fine).astype(int) >= least
+                some = ((np.log2(counts) * fine).astype(int) >= least) | (keys == END)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([keys[some].tobytes()], pa.binary()), pa.array([counts[some].tobytes()], pa.binary())],
                     names=["keys", "counts"],
@@ -177,7 +177,7 @@ def vocabulary(train: DataFrame, counted: DataFrame, text: str) -> Vocabulary:
     keys, counts, total, distinct, by_form = head_words(counted)
     order = np.lexsort((keys, -counts))
     order = order[keys[order] != END][:MODEL]
-    number = np.full(len(keys), -1)
+    number = np.full(len(keys) + 1, -1)  # the last one stands for words not found
     number[order] = np.arange(len(order))
     context = np.full(len(keys) + 1, CONTEXTS - 1)
     context[order[: CONTEXTS - 2]] = np.arange(min(CONTEXTS - 2, len(order)))
@@ -192,24 +192,24 @@ def vocabulary(train: DataFrame, counted: DataFrame, text: str) -> Vocabulary:
                 at = vocab.find(keys)
                 before = np.concatenate([[CONTEXTS - 2], context[at[:-1]]])
                 before[bounds[:-1]] = CONTEXTS - 2
-                n = np.where(at >= 0, vocab.number[at], -1)
+                n = vocab.number[at]
                 some = n >= 0
                 table += np.bincount(n[some] * CONTEXTS + before[some], minlength=len(table)).astype(np.float32)
         yield from table_rows(table)
 
     follows = summed(train.select(text).mapInArrow(follow, TABLE_SCHEMA), MODEL * CONTEXTS, np.float32)
     cluster = clustered(follows.reshape(MODEL, CONTEXTS)[: len(order)], END_CLASS)
-    classes = np.where(number >= 0, 0, TAILS + (keys & np.uint64(3)).astype(int))
+    classes = np.where(number >= 0, 0, TAILS + (np.append(keys, END) & np.uint64(3)).astype(int))
     classes[order] = cluster
-    classes[keys == END] = END_CLASS
+    classes[:-1][keys == END] = END_CLASS
     mass = np.zeros(CLASSES)
     # A tail class holds all words of its form but the model's, and one unknown word.
-    modelled = classes < TAILS
-    mass[: TAILS] = np.bincount(classes[modelled], weights=counts[modelled] + ADDED, minlength=TAILS)[:TAILS]
+    modelled = classes[:-1] < TAILS
+    mass[:TAILS] = np.bincount(classes[:-1][modelled], weights=counts[modelled] + ADDED, minlength=TAILS)[:TAILS]
     form = (keys[modelled] & np.uint64(3)).astype(int)
     mass[TAILS:] = (by_form[:4] - np.bincount(form, weights=counts[modelled], minlength=4)
                     + ADDED * (by_form[4:] - np.bincount(form, minlength=4) + 1))
-    return Vocabulary(keys, counts, number, classes, total, distinct, mass)
+    return Vocabulary(keys, counts, number, classes, total, distinct, np.maximum(mass, ADDED))
 
 
 def clustered(follows: np.ndarray, groups: int, steps: int = 12) -> np.ndarray:
@@ -241,7 +241,7 @@ def features(vocab: Vocabulary, keys: np.ndarray, bounds: np.ndarray):
     """(table rows of every token's history, place among the head words)."""
     at = vocab.find(keys)
     form = (keys & np.uint64(3)).astype(np.int64)
-    number = np.where(at >= 0, vocab.number[at], -1)
+    number = vocab.number[at]
     slot = np.where(number >= 0, number, MODEL + form)
     inside = np.arange(len(keys)) - np.repeat(bounds[:-1], np.diff(bounds))
     back_slot, back_key = [], []
@@ -269,7 +269,7 @@ def features(vocab: Vocabulary, keys: np.ndarray, bounds: np.ndarray):
 def target(vocab: Vocabulary, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The class of every token."""
     tail = TAILS + (keys & np.uint64(3)).astype(np.int64)
-    found = np.where(at >= 0, vocab.classes[at] if len(vocab.classes) else 0, tail)
+    found = np.where(at >= 0, vocab.classes[at], tail)
     return np.where(keys == END, END_CLASS, found)
 
 
@@ -309,7 +309,7 @@ def train_table(train: DataFrame, vocab: Vocabulary, text: str, doc_id: str, rou
     """The table after one pass over all training documents, in ``rounds`` slices."""
     spark = train.sparkSession
     table = np.zeros((ROWS, CLASSES), np.float32)
-    share = np.bincount(vocab.classes, weights=vocab.counts, minlength=CLASSES)[:CLASSES] if len(vocab.keys) else np.zeros(CLASSES)
+    share = np.bincount(vocab.classes[:-1], weights=vocab.counts, minlength=CLASSES)[:CLASSES]
     table[0] = np.log((share + 1) / (share.sum() + CLASSES))
     for n in range(rounds):
         shared = spark.sparkContext.broadcast((table, vocab))
@@ -332,7 +332,7 @@ def score_heads(docs: DataFrame, vocab: Vocabulary, table: np.ndarray, doc_id: s
 
     def run(batches):
         table, vocab = shared.value
-        word = np.log10(vocab.counts + ADDED) if len(vocab.keys) else np.zeros(1)
+        word = np.log10(np.append(vocab.counts, 0) + ADDED)
         share = np.log10(np.maximum(vocab.mass, 1e-300))
         for batch in batches:
             out = [[], [], [], [], []]

@@ -188,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLA
     share = all_labels[1] / total if total else 0.5
     chosen = chosen_terms([np.unique(x) for x in said], y, terms) if len(set(y)) == 2 else np.zeros(0, np.uint64)
     if not len(chosen):
-        return Index(np.array([1], np.uint64), np.zeros(1), [], np.zeros((0, 1)), y, y, 0.0, 0.0, share)
+        return Index(np.array([1], np.uint64), np.zeros(1), [], np.zeros((0, 1)), np.zeros(1), np.zeros(1), 0.0, 0.0, share)
     df, n = document_frequency(docs, text, chosen)
     idf = np.log((1 + n) / (1 + df)) + 1
     counts = np.stack([
