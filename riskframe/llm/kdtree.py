@@ -10,7 +10,8 @@ Contract for unusual input: vectors that are null, empty, or hold a null, NaN
 or infinite component take no part, as query or as candidate; vectors of
 another length than the query's are no candidates for it; rows with a null id
 take no part; rows that repeat an id count as candidates each; ties go to the
-smaller id; an empty table gives no rows; further columns are ignored.
+smaller id; a score beyond 64 bits is returned as the nearest 64-bit number; an
+empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,7 +65,8 @@ class Tree:
                     continue
                 scores, ids = np.append(scores, got[good]), np.append(ids, self.ids[a:b][good])
                 if len(scores) > k:
-                    best = np.lexsort((ids, -scores))[:k]
+                    order = np.argsort(ids, kind="stable")
+                    best = order[np.argsort(-scores[order], kind="stable")][:k]
                     scores, ids = scores[best], ids[best]
                 if len(scores) == k:
                     least = max(least, scores.min())
@@ -73,8 +75,9 @@ class Tree:
 
 def _exact(*matrices: np.ndarray) -> type:
     """Doubles hold every product and sum here exactly, unless components are huge."""
-    bound = np.prod([float(np.abs(m).max(initial=0)) for m in matrices]) * matrices[0].shape[1]
-    return np.float64 if bound < 2**52 else np.int64
+    largest = max(float(np.abs(m).max(initial=0)) for m in matrices)
+    bound = largest * largest * matrices[0].shape[1]
+    return np.float64 if bound < 2**52 else np.int64 if bound < 2**62 else object
 
 
 def _pair(k: int):
@@ -87,7 +90,7 @@ def _pair(k: int):
             own = queries["vec_id"].to_numpy()
             floor = queries["floor"].to_numpy().astype(kind)
             for query, (scores, ids) in zip(own, tree.search(q.astype(kind), own, k, floor), strict=True):
-                rows += [(query, i, int(s)) for s, i in zip(scores, ids, strict=True)]
+                rows += [(query, i, min(max(int(s), -(2**63)), 2**63 - 1)) for s, i in zip(scores, ids, strict=True)]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return run
