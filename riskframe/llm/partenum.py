@@ -12,9 +12,10 @@
    classes under a signature into a star and sends one of them on, so that a
    signature meets at most one row per task and never all pairs.
 4. Candidate stars give candidate components. Inside these, sets are compared
-   exactly, in blocks of bounded size; of a component larger than a block, all
-   members meet ``PIVOTS`` members first, and only those not yet joined to its
-   largest part meet all the others. Every pair of different final components
+   exactly, in blocks of bounded size. A component larger than a block has blocks
+   by size: its members meet their own block and ``PIVOTS`` members first, and
+   only those not yet joined to its largest part meet the other blocks whose
+   sizes are in reach. Every pair of different final components
    has thus been ruled out by a missing signature or by an exact comparison.
 
 Contract for unusual input: null texts and texts without words have an empty
@@ -31,8 +32,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskframe.llm import words
 from riskframe.llm.frames import renewed, small_if_counted
@@ -42,10 +44,12 @@ from riskframe.session import durable
 STRONG = 2
 BLOCK = 512
 PIVOTS = 64
+BLOCKED = ["home", "block", "class", "coarse", "n", "features"]
+LINK = "a long, b long"
 #: Signatures a task holds before it joins them and sends them on.
 HELD = 1 << 21
-#: About so many signatures per shuffled bucket.
-PER_BUCKET = 1 << 19
+#: About so many shingles, and hardly more signatures, per shuffled bucket.
+PER_BUCKET = 1 << 22
 
 
 def sets_of(column: pa.Array, size: int):
@@ -142,29 +146,52 @@ def stars(signature: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.nda
     return s[new], m[new], pairs[:, 0], pairs[:, 1]
 
 
+def thinned(rising: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as bytes of their steps, high bytes together, which compress well."""
+    steps = np.diff(rising, prepend=np.uint32(0))
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def thickened(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(packed, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
+def indexed(members: np.ndarray) -> bytes:
+    """64-bit names as the distinct ones and places among them."""
+    names, places = np.unique(members, return_inverse=True)
+    wide = np.uint16 if len(names) <= 1 << 16 else np.uint32
+    return len(names).to_bytes(8, "little") + names.tobytes() + places.astype(wide).tobytes()
+
+
+def looked_up(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    names = np.frombuffer(packed, np.uint64, n, 8)
+    return names[np.frombuffer(packed, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
+
+
 def candidates(docs: DataFrame, text: str, size: int, percent: int, shingle_total: int) -> DataFrame:
     """(a, b): edges that connect all classes under every signature."""
-    bits = max(6, int(np.ceil(np.log2(max(shingle_total, 1) / PER_BUCKET + 1))))
+    bits = max(5, int(np.ceil(np.log2(max(shingle_total, 1) / PER_BUCKET + 1))))
 
-    def blobs(bucket, left, right):
-        """(bucket, first column, second column) rows: numbers travel packed."""
-        order = np.argsort(bucket, kind="stable")
-        bucket, left, right = bucket[order], left[order], right[order]
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-        ends = [*cut[1:], len(bucket)]
+    def rows_of(bucket, pack):
+        """One row (bucket, x, y) for each run of equal buckets."""
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
+        packed = [pack(slice(a, b)) for a, b in zip(cut, np.append(cut[1:], len(bucket)), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([int(bucket[a]) for a in cut], pa.int32()),
-             pa.array([left[a:b].tobytes() for a, b in zip(cut, ends, strict=False)], pa.binary()),
-             pa.array([right[a:b].tobytes() for a, b in zip(cut, ends, strict=False)], pa.binary())],
+            [pa.array(bucket[cut].astype(np.int32)), *[pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]],
             names=["bucket", "x", "y"],
         )
 
     def joined(held_s, held_m):
         s, m, low, high = stars(np.concatenate(held_s), np.concatenate(held_m))
-        bucket = (s >> np.uint64(64 - bits)).astype(np.int64)
-        yield blobs(bucket, (s & np.uint64(0xFFFFFFFF)).astype(np.uint32), m)
+        short = (s << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+        yield rows_of((s >> np.uint64(64 - bits)).astype(np.int64), lambda at: (thinned(short[at]), indexed(m[at])))
         # Edges go along under a negative bucket.
-        yield blobs(-1 - (words.mixed(low ^ high) >> np.uint64(64 - bits)).astype(np.int64), low, high)
+        bucket = -1 - (words.mixed(low ^ high) >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        low, high = low[order], high[order]
+        yield rows_of(bucket[order], lambda at: (low[at].tobytes(), high[at].tobytes()))
 
     def run(batches):
         bands, seen, held_s, held_m, n = Bands(percent), set(), [], [], 0
@@ -190,12 +217,12 @@ def candidates(docs: DataFrame, text: str, size: int, percent: int, shingle_tota
         if n:
             yield from joined(held_s, held_m)
 
-    def met(key, rows: pd.DataFrame) -> pd.DataFrame:
-        kind = np.uint32 if key[0] >= 0 else np.uint64
-        x = np.concatenate([np.frombuffer(b, kind) for b in rows["x"]])
-        y = np.concatenate([np.frombuffer(b, np.uint64) for b in rows["y"]])
-        if key[0] >= 0:
-            _, _, x, y = stars(x, y)
+    def met(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] >= 0:
+            _, _, x, y = stars(np.concatenate([thickened(b) for b in rows["x"]]),
+                               np.concatenate([looked_up(b) for b in rows["y"]]))
+        else:
+            x, y = (np.concatenate([np.frombuffer(b, np.uint64) for b in rows[c]]) for c in ("x", "y"))
         pairs = np.unique(np.stack([x, y], axis=1), axis=0)
         return pd.DataFrame({"a": pairs[:, 0].copy().view(np.int64), "b": pairs[:, 1].copy().view(np.int64)})
 
@@ -256,51 +283,58 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
 
     ``members``: class, coarse, n_coarse, features; checkpointed by the caller.
     """
-    n_small = members.where(F.col("n_coarse") <= BLOCK).count()
-    shared = max(1, -(-n_small // (BLOCK // 2)))
-    parts = F.ceil(F.col("n_coarse") / BLOCK).cast("int")
-    small = F.col("n_coarse") <= BLOCK
-    # Small candidate components share blocks; a large one has blocks of its own.
-    blocked = members.withColumns({
-        "home": F.when(small, F.pmod(F.xxhash64("coarse"), F.lit(shared))).otherwise(F.col("coarse")),
-        "block": F.when(small, F.lit(-1)).otherwise(F.pmod(F.xxhash64("class", F.lit(1)), parts).cast("int")),
-    })
+    members = members.withColumn("n", (F.length("features") / 8).cast("int"))
+    small = members.where(F.col("n_coarse") <= BLOCK)
+    shared = max(1, -(-small.count() // (BLOCK // 2)))
+    # Small candidate components share blocks; a large one has blocks of its own, by size.
+    together = small.select(*BLOCKED[2:], F.pmod(F.xxhash64("coarse"), F.lit(shared)).alias("home"), F.lit(-1).alias("block"))
 
     def inside(rows: pd.DataFrame) -> pd.DataFrame:
         names, sets = _unpacked(rows.drop_duplicates("class"))
         i, j = linked(sets, sets, percent)
         return _spanning(names, names, i[i < j], j[i < j])
 
-    large = blocked.where(~small)
+    large = members.where(F.col("n_coarse") > BLOCK)
     if large.isEmpty():
-        return blocked.groupBy("home", "block").applyInPandas(inside, "a long, b long")
+        return together.groupBy("home", "block").applyInPandas(inside, LINK)
+    sizes = large.groupBy("coarse", "n").agg(F.count("*").alias("same"))
+    upto = F.sum("same").over(Window.partitionBy("coarse").orderBy("n"))
+    sizes = small_if_counted(durable(sizes.withColumn("before", upto - F.col("same"))))
+    spread = F.pmod(F.xxhash64("class", F.lit(1)), F.lit(1 << 20)) / (1 << 20)
+    large = large.join(sizes, ["coarse", "n"]).withColumn(
+        "block", F.floor((F.col("before") + spread * F.col("same")) / BLOCK).cast("int")
+    ).withColumn("home", F.col("coarse")).select(*BLOCKED)
+    ranges = durable(large.groupBy("coarse", "block").agg(F.min("n").alias("low"), F.max("n").alias("high")))
+
+    def in_reach(low: Column, high: Column) -> Column:
+        """Whether sets of these sizes can be similar enough to some in a block."""
+        return (100 * F.col("high") >= percent * low) & (100 * high >= percent * F.col("low"))
+
     # The smallest hashes of each block, then of each component: never all members in one group.
     least = F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("class"), "class"))), 1, PIVOTS)
-    ranked = large.groupBy("coarse", "block").agg(least.alias("p")).select("coarse", F.explode("p").alias("p"))
-    ranked = ranked.select("coarse", F.col("p.class").alias("class"))
+    ranked = large.groupBy("coarse", "block").agg(least.alias("p")).select("coarse", F.explode("p.class").alias("class"))
     chosen = ranked.groupBy("coarse").agg(least.alias("p")).select(F.explode("p.class").alias("class"))
-    pivots = (
-        chosen.join(large, "class")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(*blocked.columns)
+    pivots = large.join(small_if_counted(durable(chosen)), "class").drop("block")
+    pivots = pivots.join(small_if_counted(ranges), "coarse").where(in_reach(F.col("n"), F.col("n"))).select(*BLOCKED)
+    first = durable(
+        together.select(*BLOCKED).unionByName(large).unionByName(pivots).groupBy("home", "block").applyInPandas(inside, LINK)
     )
-    first = durable(blocked.unionByName(pivots).groupBy("home", "block").applyInPandas(inside, "a long, b long"))
     label = components(first).withColumnsRenamed({"node": "class", "component": "label"})
-    labelled = durable(
-        large.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    )
-    sizes = labelled.groupBy("coarse", "label").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("coarse").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    rest = labelled.join(main, "coarse").where(F.col("label") != F.col("main")).drop("main")
-    n_rest = rest.groupBy("coarse").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rest_blocks"))
-    rest = (
-        rest.join(n_rest, "coarse")
-        .withColumn("rest_block", F.pmod(F.xxhash64("class", F.lit(2)), F.col("rest_blocks")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), parts - 1)))
+    labelled = large.join(small_if_counted(label), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    counted = durable(labelled.groupBy("coarse", "label").agg(F.count("*").alias("n_label")))
+    main = counted.groupBy("coarse").agg(F.max_by("label", F.struct("n_label", "label")).alias("main"))
+    rest = labelled.join(small_if_counted(durable(main)), "coarse").where(F.col("label") != F.col("main"))
+    # Pairs of blocks whose sizes are in reach of each other; one block has been compared with itself.
+    asking = rest.select("coarse", "block").distinct().join(ranges, ["coarse", "block"]).select(
+        "coarse", F.col("block").alias("rest_block"), F.col("low").alias("l"), F.col("high").alias("h")
     )
-    others = labelled.join(n_rest, "coarse").withColumn(
-        "rest_block", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))
+    pairs = durable(
+        asking.join(ranges, "coarse").where(in_reach(F.col("l"), F.col("h")) & (F.col("rest_block") != F.col("block")))
+        .select("coarse", "rest_block", "block")
     )
+    keys, columns = ["coarse", "rest_block", "block"], ["class", "label", "features"]
+    rest = rest.withColumnRenamed("block", "rest_block").join(small_if_counted(pairs), ["coarse", "rest_block"])
+    others = labelled.join(small_if_counted(pairs), ["coarse", "block"])
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -310,12 +344,10 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
         new = left["label"].to_numpy()[i] != right["label"].to_numpy()[j]
         return _spanning(names_a, names_b, i[new], j[new])
 
-    keys = ["coarse", "rest_block", "block"]
-    columns = ["class", "label", "features"]
     second = (
         rest.select(*keys, *columns).groupBy(*keys)
         .cogroup(renewed(others.select(*keys, *columns)).groupBy(*keys))
-        .applyInPandas(across, "a long, b long")
+        .applyInPandas(across, LINK)
     )
     return first.unionByName(second)
 
