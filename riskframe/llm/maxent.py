@@ -73,9 +73,9 @@ def packed(bucket: np.ndarray, *columns: np.ndarray):
     order = np.argsort(bucket, kind="stable")
     bucket, columns = bucket[order], [c[order] for c in columns]
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-    ends = np.append(cut[1:], len(bucket))
+    edges = np.append(cut, len(bucket))
     arrays = [pa.array(bucket[cut].astype(np.int32))]
-    arrays += [pa.array([c[a:b].tobytes() for a, b in zip(cut, ends, strict=True)], pa.binary()) for c in columns]
+    arrays += [pa.array([c[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()) for c in columns]
     return arrays
 
 
@@ -386,8 +386,8 @@ def tail_sums(scored: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
             order = np.lexsort((pair[:, 1], pair[:, 0]))
             pair, keys, owner = pair[order], keys[order], owner[order]
             cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]).any(axis=1)])) if len(pair) else np.zeros(0, int)
-            ends = np.append(cut[1:], len(pair))
-            spans = list(zip(cut, ends, strict=True))
+            edges = np.append(cut, len(pair))
+            spans = list(zip(edges[:-1], edges[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pair[cut, 0].astype(np.int32)), pa.array(pair[cut, 1]),
                  pa.array([owner[a:b].tobytes() for a, b in spans], pa.binary()),

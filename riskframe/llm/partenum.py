@@ -177,7 +177,8 @@ def candidates(docs: DataFrame, text: str, size: int, percent: int, shingle_tota
     def rows_of(bucket, pack):
         """One row (bucket, x, y) for each run of equal buckets."""
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-        packed = [pack(slice(a, b)) for a, b in zip(cut, np.append(cut[1:], len(bucket)), strict=True)]
+        edges = np.append(cut, len(bucket))
+        packed = [pack(slice(a, b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket[cut].astype(np.int32)), *[pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]],
             names=["bucket", "x", "y"],
