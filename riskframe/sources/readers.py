@@ -16,11 +16,20 @@ def read_raw_text(
     encoding: str = "UTF-8",
     schema: T.StructType = RAW_SCHEMA,
     null_text: str = "NULL",
+    quote: str = "",
+    malformed: str = "raise",
 ) -> DataFrame:
     """Delimited text with a header and LF line ends, every column as text.
 
-    An empty field stays an empty text; only ``null_text`` is null.
+    An empty field stays an empty text; only ``null_text`` is null.  Quotes are
+    text unless ``quote`` names a text qualifier.  A line with more or fewer
+    fields than the schema fails the read, or with ``malformed='report'`` is
+    kept whole in the column ``malformed_line`` with no other values.
     """
+    if malformed not in ("raise", "report"):
+        raise ValueError("malformed must be 'raise' or 'report'")
+    if not quote:
+        return _plain_text(spark, path, sep, encoding, schema, null_text, malformed)
     reader = (
         spark.read.schema(schema)
         .option("header", True)
@@ -29,7 +38,11 @@ def read_raw_text(
         .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("quote", quote)
+        .option("mode", "FAILFAST")
     )
+    if malformed == "report":
+        raise ValueError("lines with a text qualifier can only be raised")
     # The parser cannot tell an unquoted empty field from its null marker.
     raw = reader.csv(path)
     return raw.select(
@@ -40,6 +53,29 @@ def read_raw_text(
     )
 
 
+def _plain_text(spark, path, sep, encoding, schema, null_text, malformed) -> DataFrame:
+    """Lines cut at every separator; nothing is cut off and nothing is filled in."""
+    lines = (
+        spark.read.option("header", True).option("sep", "\x00").option("quote", "\x00").option("escape", "\x00")
+        .option("lineSep", "\n").option("encoding", encoding).option("maxCharsPerColumn", -1)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .schema("line string").csv(path)
+    )
+    fields = F.split("line", f"\\Q{sep}\\E", -1)
+    sound = F.size("fields") == len(schema.fields)
+    if malformed == "raise":
+        shown = F.concat(F.lit(f"not {len(schema.fields)} fields: "), F.col("line"))
+        fields = F.when(F.size(fields) == len(schema.fields), fields).otherwise(F.raise_error(shown))
+    cut = lines.where(F.col("line").isNotNull()).withColumn("fields", fields)
+    value = [F.get("fields", F.lit(i)) for i in range(len(schema.fields))]
+    columns = [
+        F.when(sound & (v != null_text), v).cast(f.dataType).alias(f.name) for v, f in zip(value, schema.fields)
+    ]
+    if malformed == "report":
+        columns.append(F.when(~sound, F.col("line")).alias("malformed_line"))
+    return cut.select(*columns)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Comma-separated text with a header in which ``NA`` is null."""
     return spark.read.schema(schema).option("header", True).option("nullValue", "NA").csv(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,8 +35,10 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", null_text: str = "NA") -
 def full_refresh(df: DataFrame, table: str) -> int:
     """Replace the content of an existing table, all or nothing; returns its row count.
 
-    The rows land in a staging table first, so a failure while computing or
-    writing leaves the target as it was; then the two tables swap names.
+    The rows land in a staging table made like the target (column types,
+    partitioning, provider and properties), so a failure while computing,
+    casting or writing leaves the target as it was; then the two tables swap
+    names.  A column whose type the target's cannot hold is refused.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
@@ -43,10 +46,12 @@ def full_refresh(df: DataFrame, table: str) -> int:
     target = spark.table(table)
     if sorted(target.columns) != sorted(df.columns):
         raise ValueError(f"columns differ from those of {table}")
+    typed = typed_like(df, target.schema)
     tag = uuid.uuid4().hex[:8]
     staged, retired = f"{table}_staged_{tag}", f"{table}_retired_{tag}"
     try:
-        df.select(*target.columns).write.mode("errorifexists").saveAsTable(staged)
+        spark.sql(f"CREATE TABLE {staged} LIKE {table}{_kept_properties(spark, table)}")
+        typed.write.mode("append").insertInto(staged)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
         raise
@@ -61,6 +66,36 @@ def full_refresh(df: DataFrame, table: str) -> int:
     return rows
 
 
+def _kept_properties(spark: SparkSession, table: str) -> str:
+    """``CREATE TABLE ... LIKE`` takes over everything but the properties."""
+    own = [
+        (r["key"], r["value"])
+        for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        if not r["key"].startswith(("transient_", "spark.sql.", "numFiles", "totalSize"))
+    ]
+    quoted = ", ".join("'{}' = '{}'".format(*(x.replace("'", "\\'") for x in kv)) for kv in own)
+    return f" TBLPROPERTIES ({quoted})" if own else ""
+
+
+def typed_like(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of ``schema``; a value that does not fit fails the job."""
+    out = []
+    for field in schema.fields:
+        have = df.schema[field.name].dataType
+        if have != field.dataType and not _holds(field.dataType, have):
+            raise ValueError(f"{field.name}: {have.simpleString()} does not fit {field.dataType.simpleString()}")
+        out.append(df[field.name].cast(field.dataType).alias(field.name))
+    return df.select(*out)
+
+
+def _holds(target: T.DataType, source: T.DataType) -> bool:
+    """Numbers fit numbers (checked value by value), any simple value fits a text."""
+    both_numbers = isinstance(target, T.NumericType) and isinstance(source, T.NumericType)
+    to_text = isinstance(target, T.StringType) and not isinstance(source, (T.StructType, T.ArrayType, T.MapType))
+    days = isinstance(target, T.TimestampType) and isinstance(source, (T.DateType, T.TimestampNTZType))
+    return both_numbers or to_text or days or isinstance(source, T.NullType)
+
+
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, batch: int = 1000, **options) -> None:
     """Full refresh of a database table: emptied, then refilled in batches."""
     (
@@ -81,14 +116,29 @@ def delete_where_present(df: DataFrame, name: str) -> DataFrame:
 
 
 def append_rows(df: DataFrame, target: str) -> None:
-    """Append to a table by name or to a columnar folder by path."""
+    """Append to a table by name or to a columnar folder by path.
+
+    A folder that holds data takes only its own columns and types.
+    """
     if "/" in target:
+        _same_columns(df, target)
         df.write.mode("append").parquet(target)
     else:
         columns = df.sparkSession.table(target).columns
         df.select(*columns).write.mode("append").insertInto(target)
 
 
+def _same_columns(df: DataFrame, path: str) -> None:
+    try:
+        there = df.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
+    if sorted(there.dtypes) != sorted(df.dtypes):
+        raise ValueError(f"columns {df.dtypes} differ from those of {path}: {there.dtypes}")
+
+
 def append_record(spark: SparkSession, record: dict, schema: T.StructType, target: str) -> DataFrame:
     """Append one metrics record; returns it as a one-row DataFrame."""
     row = spark.createDataFrame([tuple(record[f.name] for f in schema.fields)], schema).coalesce(1)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -12,23 +16,49 @@ from riskframe.session import durable
 from riskframe.sources.writers import append_rows
 
 
+LOAD_ID = "carga_id"
+
+
+class Loaded(NamedTuple):
+    """Rows appended, and rows of the batch left out as repeats of one of its keys."""
+
+    added: int
+    repeats: int
+
+
+def new_load_id(at: datetime | None = None) -> str:
+    """An id whose text order is the order of the runs."""
+    return (at or datetime.now()).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def load_increment(
-    batch: DataFrame, live_path: str, key: str, load_id: str, dedupe_batch: bool = True
-) -> int:
-    """Append the rows of a batch that the live table lacks; returns how many.
+    batch: DataFrame, live_path: str, key: str, load_id: str, dedupe_batch: bool = False
+) -> Loaded:
+    """Append the rows of a batch whose key no earlier load brought.
 
-    Nothing is written when nothing is new.  The load is idempotent: a batch
-    that failed half way adds only its missing rows when it runs again.
+    All rows of a new key are kept; ``dedupe_batch`` keeps one per key and
+    reports how many it leaves out.  Rows that this very load has written
+    already are not written again, so a load that failed half way adds only
+    what is missing when it runs again under the same id.
     """
     spark = batch.sparkSession
     live = spark.read.parquet(live_path)
-    fresh = durable(
-        new_rows(stamp_load(batch, load_id), live, key, dedupe_batch).select(*live.columns)
-    )
+    stamped = stamp_load(batch, load_id)
+    earlier = live.where(~F.col(LOAD_ID).eqNullSafe(F.lit(load_id)))
+    written = live.where(F.col(LOAD_ID) == load_id)
+    fresh = new_rows(stamped, earlier, key).select(*live.columns)
+    repeats = 0
+    if dedupe_batch:
+        every = durable(fresh)
+        fresh = durable(new_rows(every, earlier, key, dedupe_batch=True).select(*live.columns))
+        repeats = every.count() - fresh.count()
+    if not written.isEmpty():
+        fresh = fresh.exceptAll(written)
+    fresh = durable(fresh)
     n = fresh.count()
     if n:
         append_rows(fresh, live_path)
-    return n
+    return Loaded(n, repeats)
 
 
 def stream_increments(
@@ -38,23 +68,27 @@ def stream_increments(
     live_path: str,
     key: str,
     checkpoint: str,
-    load_prefix: str = "stream",
-    max_files: int = 1000,
+    load_id: str | None = None,
+    max_files: int | None = None,
+    dedupe_batch: bool = False,
 ) -> StreamingQuery:
     """Run every file not seen yet through ``load_increment``, then stop.
 
-    Each micro-batch is keyed against the live table, so arrival order does not
-    matter and a replayed batch changes nothing.  A backlog is worked off in
-    batches of at most ``max_files`` files.
+    The run is one load with one id, by default its start time, however many
+    micro-batches it takes (``max_files`` bounds the files of one).  Keys are
+    looked up among earlier loads only, so the rows kept do not depend on how
+    the files fall into micro-batches; equal rows of two micro-batches are one.
     """
+    run = load_id or new_load_id()
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_increment(batch, live_path, key, f"{load_prefix}-{batch_id}")
+        load_increment(batch, live_path, key, run, dedupe_batch)
 
+    arriving = spark.readStream.schema(schema)
+    if max_files:
+        arriving = arriving.option("maxFilesPerTrigger", max_files)
     return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(source_path)
+        arriving.parquet(source_path)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -139,22 +139,36 @@ def _live(spark, sf_dir):
     return path
 
 
-@query("str1_batch_increment", _LOADED.format(load="load-1"))
+# Keys that come twice in a batch with different content; all their rows are kept.
+_REPEATED = f"""{_LOADED} UNION ALL SELECT c_custkey, c_name || ' bis', '{{load}}' FROM customer
+WHERE c_custkey % 10 = 0 AND c_custkey NOT IN (SELECT user_id FROM events)"""
+
+
+def _repeated_batch(spark, sf_dir):
+    batch = _batch(spark, sf_dir)
+    again = batch.where(c("Chave") % 10 == 0)
+    return batch.unionByName(again.withColumn("name", F.concat("name", F.lit(" bis"))))
+
+
+@query("str1_batch_increment", _REPEATED.format(load="load-1"))
 def str1_batch(spark, sf_dir):
     live = _live(spark, sf_dir)
-    load_increment(_batch(spark, sf_dir), live, "Chave", "load-1")
+    for _ in range(2):  # run again under its id, a load adds nothing
+        load_increment(_repeated_batch(spark, sf_dir), live, "Chave", "load-1")
     return readers.read_snapshot(spark, live)
 
 
-@query("str1_stream_increment", _LOADED.format(load="stream-0"))
+@query("str1_stream_increment", _REPEATED.format(load="2026-02-12 08:00:00"))
 def str1_stream(spark, sf_dir):
     live = _live(spark, sf_dir)
     arrivals = scratch_path(spark, "arrivals")
-    batch = _batch(spark, sf_dir)
-    batch.write.parquet(arrivals)
-    for replay in range(2):
-        # The second run starts from a fresh checkpoint and must change nothing.
+    batch = _repeated_batch(spark, sf_dir)
+    batch.repartition(3).write.parquet(arrivals)
+    for replay, run in enumerate(("2026-02-12 08:00:00", "2026-02-13 08:00:00")):
+        # Several micro-batches are one load.  The second run starts from a
+        # fresh checkpoint and must change nothing.
         stream_increments(
-            spark, arrivals, batch.schema, live, "Chave", scratch_path(spark, f"state{replay}")
+            spark, arrivals, batch.schema, live, "Chave", scratch_path(spark, f"state{replay}"),
+            load_id=run, max_files=1,
         ).awaitTermination()
     return readers.read_snapshot(spark, live)

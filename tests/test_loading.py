@@ -16,7 +16,7 @@ from riskframe.plans.monitoring import latest_baseline, monitor
 from riskframe.session import durable, scratch_path, shared_dir
 from riskframe.sources import readers, writers
 from riskframe.spec import FeatureSpec
-from riskframe.streaming.ingest import load_increment, stream_increments
+from riskframe.streaming.ingest import load_increment, new_load_id, stream_increments
 from riskframe.workload.registry import feed, planted
 
 c = F.col
@@ -88,10 +88,32 @@ def test_increment_appends_only_new_keys(spark):
     base = spark.createDataFrame([("a", 1, "base")], "Chave string, v int, carga_id string")
     base.write.parquet(live)
     batch = spark.createDataFrame([("a", 9), ("b", 2), ("b", 2), ("d", 4)], "Chave string, v int")
-    assert load_increment(batch, live, "Chave", "l1") == 2
-    assert load_increment(batch, live, "Chave", "l2") == 0
+    assert load_increment(batch, live, "Chave", "l1") == (3, 0)
+    assert load_increment(batch, live, "Chave", "l1") == (0, 0)
+    assert load_increment(batch, live, "Chave", "l2") == (0, 0)
     rows = sorted(map(tuple, spark.read.parquet(live).collect()))
-    assert rows == [("a", 1, "base"), ("b", 2, "l1"), ("d", 4, "l1")]
+    assert rows == [("a", 1, "base"), ("b", 2, "l1"), ("b", 2, "l1"), ("d", 4, "l1")]
+
+
+def test_increment_keeps_rows_that_share_a_key_unless_told_otherwise(spark):
+    schema = "Chave string, v int, carga_id string"
+    batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "Chave string, v int")
+    for dedupe, want in ((False, (3, 0)), (True, (2, 1))):
+        live = scratch_path(spark, "live")
+        spark.createDataFrame([], schema).write.parquet(live)
+        assert load_increment(batch, live, "Chave", "l1", dedupe_batch=dedupe) == want
+        assert spark.read.parquet(live).count() == want[0]
+
+
+def test_latest_of_eleven_runs_is_taken(spark):
+    live = scratch_path(spark, "live")
+    spark.createDataFrame([], "Chave string, y int, l_returnflag string, carga_id string").write.parquet(live)
+    for day in range(1, 12):
+        rows = [(f"{day}-{i}", i % 2, "ANR"[i % 3]) for i in range(6)]
+        batch = spark.createDataFrame(rows, "Chave string, y int, l_returnflag string")
+        load_increment(batch, live, "Chave", new_load_id(datetime(2026, 1, day, 8)))
+    run = monitor(spark.read.parquet(live), _baseline(spark, 0.1), SPEC)
+    assert run.record["carga_id"] == "2026-01-11 08:00:00.000000"
 
 
 def test_half_written_increment_is_completed(spark):
@@ -100,7 +122,7 @@ def test_half_written_increment_is_completed(spark):
     # A load that died after some of its rows had been appended.
     spark.createDataFrame([("a", 1, "base"), ("b", 2, "l1")], schema).write.parquet(live)
     batch = spark.createDataFrame([("b", 2), ("d", 4)], "Chave string, v int")
-    assert load_increment(batch, live, "Chave", "l1") == 1
+    assert load_increment(batch, live, "Chave", "l1").added == 1
     assert spark.read.parquet(live).groupBy("Chave").count().where("count > 1").count() == 0
 
 
@@ -111,14 +133,26 @@ def test_stream_takes_late_files_once(spark):
 
     def arrive(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(arrivals)
-        stream_increments(spark, arrivals, schema, live, "Chave", state).awaitTermination()
+        stream_increments(spark, arrivals, schema, live, "Chave", state, max_files=1).awaitTermination()
         return spark.read.parquet(live).count()
 
     assert arrive([("a", 1), ("b", 1)]) == 2
     assert arrive([("b", 2), ("d", 2)]) == 3
     assert arrive([("a", 3)]) == 3
     loads = {r.carga_id for r in spark.read.parquet(live).collect()}
-    assert loads == {"stream-0", "stream-1"}
+    assert len(loads) == 2
+
+
+def test_stream_run_is_one_load_however_many_micro_batches(spark):
+    live, arrivals, state = (scratch_path(spark, n) for n in ("live", "arrivals", "state"))
+    schema = T.StructType([T.StructField("Chave", T.StringType()), T.StructField("v", T.IntegerType())])
+    readers.bootstrap_live(spark, schema).write.parquet(live)
+    for v in range(4):
+        spark.createDataFrame([("same", v)], schema).coalesce(1).write.mode("append").parquet(arrivals)
+    stream = stream_increments(spark, arrivals, schema, live, "Chave", state, load_id="run", max_files=1)
+    stream.awaitTermination()
+    assert len(stream.recentProgress) >= 4
+    assert sorted(map(tuple, spark.read.parquet(live).collect())) == [("same", v, "run") for v in range(4)]
 
 
 def test_append_record_and_latest(spark):
