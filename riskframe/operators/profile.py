@@ -227,3 +227,14 @@ def list_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         rows, "position int, name string, type string, nullable boolean"
     )
+
+
+def dimensions(df: DataFrame) -> DataFrame:
+    """Rows and columns of a table, as one row."""
+    return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("long"))
+
+
+def column_levels(df: DataFrame, columns) -> DataFrame:
+    """(name, level, n): the values of each column, merged map-side; nulls are a level."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("level")) for n in columns])
+    return df.select(F.inline(pairs)).groupBy("name", "level").agg(F.count("*").alias("n"))

@@ -18,8 +18,9 @@ def read_raw_text(
     null_text: str = "NULL",
     quote: str = "",
     malformed: str = "raise",
+    header: bool = True,
 ) -> DataFrame:
-    """Delimited text with a header and LF line ends, every column as text.
+    """Delimited text with LF line ends, every column as text; ``header`` skips each file's first line.
 
     An empty field stays an empty text; only ``null_text`` is null.  Quotes are
     text unless ``quote`` names a text qualifier.  A line with more or fewer
@@ -29,10 +30,10 @@ def read_raw_text(
     if malformed not in ("raise", "report"):
         raise ValueError("malformed must be 'raise' or 'report'")
     if not quote:
-        return _plain_text(spark, path, sep, encoding, schema, null_text, malformed)
+        return _plain_text(spark, path, sep, encoding, schema, null_text, malformed, header)
     reader = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("sep", sep)
         .option("lineSep", "\n")
         .option("encoding", encoding)
@@ -53,10 +54,10 @@ def read_raw_text(
     )
 
 
-def _plain_text(spark, path, sep, encoding, schema, null_text, malformed) -> DataFrame:
+def _plain_text(spark, path, sep, encoding, schema, null_text, malformed, header) -> DataFrame:
     """Lines cut at every separator; nothing is cut off and nothing is filled in."""
     lines = (
-        spark.read.option("header", True).option("sep", "\x00").option("quote", "\x00").option("escape", "\x00")
+        spark.read.option("header", header).option("sep", "\x00").option("quote", "\x00").option("escape", "\x00")
         .option("lineSep", "\n").option("encoding", encoding).option("maxCharsPerColumn", -1)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .schema("line string").csv(path)
