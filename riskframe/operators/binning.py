@@ -70,11 +70,19 @@ class Bins:
     name: str
     cuts: tuple[float, ...]
 
+    def shown(self) -> list[str]:
+        """The cuts with the fewest digits, six at least, that tell them apart."""
+        for digits in range(6, 18):
+            text = [f"{v:.{digits}g}" for v in self.cuts]
+            if all(a != b for a, b in zip(text, text[1:])):
+                break
+        return text
+
     def label(self, c: Column) -> Column:
         """Bin label; everything below the first cut and above the last one is a bin."""
         if not self.cuts:
             return F.when(c.isNotNull(), F.lit("all"))
-        text = [f"{v:g}" for v in self.cuts]
+        text = self.shown()
         out = F.when(c <= self.cuts[0], F.lit(f"<= {text[0]}"))
         for upper, shown in zip(self.cuts[1:], text[1:]):
             out = out.when(c <= upper, F.lit(f"<= {shown}"))
@@ -100,6 +108,9 @@ def optimal_bin(
     """
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     rows = rows.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    # Squares of values far from zero cancel; those of deviations do not.
+    middle = rows.agg(F.avg("_x")).first()[0] or 0.0
+    rows = rows.withColumn("_d", F.col("_x") - F.lit(middle))
     table = durable(
         running_totals(
             rows,
@@ -107,9 +118,9 @@ def optimal_bin(
             {
                 "n": "count(*)",
                 "n1": "sum(_y)",
-                "sx": "sum(_x)",
-                "sxx": "sum(_x * _x)",
-                "sxy": "sum(_x * _y)",
+                "sx": "sum(_d)",
+                "sxx": "sum(_d * _d)",
+                "sxy": "sum(_d * _y)",
             },
         )
     )

@@ -1,8 +1,10 @@
 """CHAID classification tree for a 0/1 target and categorical predictors.
 
-Spark gathers one contingency table per tree level for all open nodes at once;
-merging and split choice work on those counts, whose size depends on the number
-of categories and not on the number of rows.
+Spark gathers one contingency table per tree level for all open nodes at once and
+merges the categories of every (node, variable) pair in parallel, in numpy; the
+driver sees one chosen split per node.  The work on a pair grows with the square
+of its categories and the memory with their number, neither with the rows, so
+bin a numeric predictor with very many values first.
 """
 
 from __future__ import annotations
@@ -10,14 +12,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.columns import unpivot
 from riskframe.session import durable
 
-TABLE_LIMIT = 1_000_000
-
 
 @dataclass
 class Node:
@@ -113,19 +115,12 @@ def fit_chaid(
         open_nodes = [n for n in open_nodes if n.n >= min_split and 0 < n.n1 < n.n]
         if not open_nodes:
             break
-        tables = _contingency(patterns, open_nodes, variables)
         following = []
-        for i, node in enumerate(open_nodes):
-            best = None
-            for variable in variables:
-                groups, log_p = _merge(tables.get((i, variable), {}), alpha_merge)
-                if len(groups) < 2 or min(g[1] for g in groups) < floor:
-                    continue
-                if log_p <= math.log(alpha_split) and (best is None or log_p < best[0]):
-                    best = (log_p, variable, groups)
-            if best is None:
-                continue
-            node.log_p, node.split_on, groups = best
+        for i, (log_p, variable, groups) in _best_splits(
+            _contingency(patterns, open_nodes, variables), variables, alpha_merge, alpha_split, floor
+        ).items():
+            node = open_nodes[i]
+            node.log_p, node.split_on = log_p, variable
             node.children = [
                 Node(n, n1, (*node.rule, (node.split_on, levels))) for levels, n, n1 in groups
             ]
@@ -134,59 +129,127 @@ def fit_chaid(
     return ChaidTree(root, variables)
 
 
-def _contingency(patterns: DataFrame, nodes: list[Node], variables) -> dict:
-    """{(node, variable): {level: (n, n1)}} for the open nodes, from one grouped job."""
+def _contingency(patterns: DataFrame, nodes: list[Node], variables) -> DataFrame:
+    """(_node, variable, level, n, n1) for the open nodes, from one grouped job."""
     where = None
     for i, node in enumerate(nodes):
         cond = node.condition()
         where = F.when(cond, i) if where is None else where.when(cond, i)
     tagged = patterns.withColumn("_node", where).where(F.col("_node").isNotNull())
-    counts = (
+    return (
         unpivot(tagged, variables, keep=["_node", "_n", "_n1"])
         .groupBy("_node", "variable", "level")
         .agg(F.sum("_n").alias("n"), F.sum("_n1").alias("n1"))
     )
-    rows = counts.limit(TABLE_LIMIT + 1).collect()
-    if len(rows) > TABLE_LIMIT:
-        raise ValueError("too many categories for a tree; bin the predictors first")
-    out: dict = {}
-    for r in rows:
-        out.setdefault((r["_node"], r["variable"]), {})[r["level"]] = (r["n"], r["n1"])
-    return out
 
 
-def _merge(table: dict, alpha: float):
+_MERGED = (
+    "_node int, variable string, log_p double, parts int, smallest long, "
+    "groups array<struct<levels:array<string>,n:long,n1:long>>"
+)
+
+
+def _best_splits(
+    counts: DataFrame, variables, alpha_merge: float, alpha_split: float, floor: float
+) -> dict[int, tuple]:
+    """{node: (log p, variable, groups)} of the admissible split with the smallest p."""
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("level")
+        groups, log_p = merge_categories(
+            rows["level"].tolist(), rows["n"].to_numpy(), rows["n1"].to_numpy(), alpha_merge
+        )
+        return pd.DataFrame(
+            {
+                "_node": [rows["_node"].iloc[0]],
+                "variable": [rows["variable"].iloc[0]],
+                "log_p": [log_p],
+                "parts": [len(groups)],
+                "smallest": [min(g[1] for g in groups)],
+                "groups": [[{"levels": list(v), "n": n, "n1": n1} for v, n, n1 in groups]],
+            }
+        )
+
+    order = F.array_position(F.array(*[F.lit(v) for v in variables]), F.col("variable"))
+    best = (
+        counts.groupBy("_node", "variable")
+        .applyInPandas(merged, _MERGED)
+        .where((F.col("parts") >= 2) & (F.col("smallest") >= floor))
+        .where(F.col("log_p") <= math.log(alpha_split))
+        .groupBy("_node")
+        .agg(F.min_by(F.struct("log_p", "variable", "groups"), F.struct("log_p", order)).alias("b"))
+    )
+    # One row per open node, with the categories that become its rules.
+    return {
+        r["_node"]: (
+            r["b"]["log_p"],
+            r["b"]["variable"],
+            [(tuple(g["levels"]), g["n"], g["n1"]) for g in r["b"]["groups"]],
+        )
+        for r in sorted(best.collect(), key=lambda r: r["_node"])
+    }
+
+
+def merge_categories(levels: list[str], n, n1, alpha: float):
     """Merge the least different pair of categories until all pairs differ.
 
-    Returns the groups as (levels, n, n1) and the log of the adjusted p value.
+    Returns the groups as (levels, n, n1) in order of their first level, and the
+    log of the adjusted p value.  Each group remembers its least different later
+    group, so a merge compares the new group with all others and renews only
+    those that had pointed at the merged two.
     """
-    groups = [((level,), n, n1) for level, (n, n1) in sorted(table.items())]
-    start = len(groups)
-    while len(groups) > 1:
-        log_p, a, b = max(
-            (_pair_log_p(groups[a], groups[b]), -a, -b)
-            for a in range(len(groups))
-            for b in range(a + 1, len(groups))
-        )
-        if log_p <= math.log(alpha):
+    size, events = np.array(n, dtype=float), np.array(n1, dtype=float)
+    names = [[v] for v in levels]
+    start = len(names)
+    alive = np.ones(start, dtype=bool)
+
+    def statistics(i: int, others: np.ndarray) -> np.ndarray:
+        na, nb, ka, kb = size[i], size[others], events[i], events[others]
+        whole, hits = na + nb, ka + kb
+        below = na * nb * hits * (whole - hits)
+        gap = ka * nb - kb * na
+        return np.where(below > 0, gap * gap * whole / np.where(below > 0, below, 1), 0.0)
+
+    nearest, least = np.full(start, -1), np.full(start, np.inf)
+
+    def renew(i: int) -> None:
+        later = np.flatnonzero(alive[i + 1 :]) + i + 1
+        if len(later):
+            found = statistics(i, later)
+            at = int(found.argmin())
+            nearest[i], least[i] = later[at], found[at]
+        else:
+            nearest[i], least[i] = -1, np.inf
+
+    for i in range(start):
+        renew(i)
+    count = start
+    while count > 1:
+        a = int(least.argmin())
+        if log_chi2_tail(float(least[a]), 1) <= math.log(alpha):
             break
-        a, b = -a, -b
-        joined = (
-            tuple(sorted(groups[a][0] + groups[b][0])),
-            groups[a][1] + groups[b][1],
-            groups[a][2] + groups[b][2],
-        )
-        groups = sorted([g for i, g in enumerate(groups) if i not in (a, b)] + [joined])
+        b = int(nearest[a])
+        names[a] = sorted(names[a] + names[b])
+        size[a] += size[b]
+        events[a] += events[b]
+        alive[b], least[b] = False, np.inf
+        count -= 1
+        renew(a)
+        for i in np.flatnonzero(alive & ((nearest == a) | (nearest == b))):
+            if i != a:
+                renew(int(i))
+        before = np.flatnonzero(alive[:a])
+        if len(before):
+            closer = statistics(a, before)
+            better = (closer < least[before]) | ((closer == least[before]) & (a < nearest[before]))
+            nearest[before[better]], least[before[better]] = a, closer[better]
+    groups = [(tuple(names[i]), int(size[i]), int(events[i])) for i in np.flatnonzero(alive)]
     if len(groups) < 2:
         return groups, 0.0
     statistic = pearson(groups)
     return groups, min(0.0, log_chi2_tail(statistic, len(groups) - 1) + _log_ways(start, len(groups)))
 
 
-def _pair_log_p(a, b) -> float:
-    return log_chi2_tail(pearson([a, b]), 1)
-
-
 def pearson(groups) -> float:
     """Chi-square of groups by target, from (levels, n, n1) triples."""
     n = sum(g[1] for g in groups)

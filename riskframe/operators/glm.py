@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from riskframe.spec import FeatureSpec
 
 INTERCEPT = "(Intercept)"
 PATTERN_COUNTS = ("_n", "_n1")
+#: What the library says when the fit has no standard errors.
+NO_INFERENCE = "No Std. Error"
 
 
 @dataclass(frozen=True)
@@ -134,8 +137,10 @@ def fit_logit(
         ):
             # The library lists the intercept last.
             spread[name] = (values[-1], *values[:-1])
-    except Exception:
-        # A singular information matrix has no standard errors.
+    except UnsupportedOperationException as error:
+        # A singular information matrix has no standard errors; any other failure is one.
+        if NO_INFERENCE not in str(error):
+            raise
         spread = dict.fromkeys(("std_errors", "z_values", "p_values"))
     # AIC over single rows, from the grouped deviance and the part lost by
     # grouping; the built-in AIC keeps trial counts as 32-bit integers.
@@ -149,11 +154,22 @@ def fit_logit(
         aic=deviance + 2 * len(terms),
         rows=int(facts.n or 0),
         iterations=summary.numIterations,
-        converged=summary.numIterations < max_iter,
+        # The count stands at the limit both if the last step converged and if none did.
+        converged=summary.numIterations < max_iter or _settled(model, rows, tol),
         **spread,
     )
 
 
+def _settled(model, rows: DataFrame, tol: float) -> bool:
+    """Whether one more step from the coefficients found changes them by less than ``tol``."""
+    again = model.summary.deviance
+    longer = GeneralizedLinearRegression(
+        family="binomial", link="logit", featuresCol="features", labelCol="label", weightCol="weight",
+        maxIter=model.summary.numIterations + 1, tol=tol,
+    ).fit(rows)
+    return abs(longer.summary.deviance - again) <= tol * (abs(again) + 0.1)
+
+
 def compare_models(spark: SparkSession, fits: dict[str, LogitFit]) -> DataFrame:
     """Model, terms, deviance and AIC, with the predictors each one lacks."""
     everything = [p for f in fits.values() for p in f.spec.predictors]

@@ -40,6 +40,20 @@ def _gap() -> Column:
     return F.abs(ratio(F.col("n1_run"), F.col("n1_all")) - ratio(F.col("n0_run"), F.col("n0_all")))
 
 
+def _grouped_gap(groups: int) -> Column:
+    """Largest gap at the edges of equal-size score groups that fall on a score."""
+    start, n_all = F.col("n_run") - F.col("n"), F.col("n_all")
+    first = F.floor(start * groups / n_all) + 1
+    last = F.floor(F.col("n_run") * groups / n_all)
+
+    def gap(g: Column) -> Column:
+        at = g * n_all / groups
+        taken = F.col("n1_run") - F.col("n1") + F.col("n1") * ratio(at - start, F.col("n"))
+        return F.abs(ratio(taken, F.col("n1_all")) - ratio(at - taken, F.col("n0_all")))
+
+    return F.when(first <= last, F.array_max(F.transform(F.sequence(first, F.greatest(first, last)), gap)))
+
+
 def _auc(flip: bool) -> Column:
     """Share of (event, non-event) pairs ranked right, ties counting half."""
     below = F.col("n0_all") - F.col("n0_run")
@@ -55,20 +69,7 @@ def ks(df: DataFrame, y: str, p: str, groups: int | None = None, counts=None) ->
     edge inside a tied score takes the tied rows' events in proportion.
     """
     curve = score_curve(df, y, p, counts)
-    if groups is None:
-        return curve.agg(F.max(_gap()).alias("ks"))
-    start, n_all = F.col("n_run") - F.col("n"), F.col("n_all")
-    first = F.floor(start * groups / n_all) + 1
-    last = F.floor(F.col("n_run") * groups / n_all)
-    edges = curve.withColumns({"_start": start, "_first": first, "_last": last}).where(
-        F.col("_first") <= F.col("_last")
-    )
-    at = F.col("_g") * F.col("n_all") / groups
-    taken = F.col("n1_run") - F.col("n1") + F.col("n1") * ratio(at - F.col("_start"), F.col("n"))
-    gap = F.abs(ratio(taken, F.col("n1_all")) - ratio(at - taken, F.col("n0_all")))
-    return edges.withColumn("_g", F.explode(F.sequence("_first", "_last"))).agg(
-        F.max(gap).alias("ks")
-    )
+    return curve.agg(F.max(_gap() if groups is None else _grouped_gap(groups)).alias("ks"))
 
 
 def auc(
@@ -192,10 +193,20 @@ def class_metrics(cells: DataFrame) -> DataFrame:
 
 
 def evaluate(
-    df: DataFrame, y: str, p: str, cut: float, name: str, strict: bool = True, counts=None
+    df: DataFrame,
+    y: str,
+    p: str,
+    cut: float,
+    name: str,
+    strict: bool = True,
+    counts=None,
+    groups: int = 10,
+    auto_direction: bool = False,
 ) -> DataFrame:
     """One comparison row for a scored sample: discrimination and class metrics.
 
+    KS is given exactly and read at ``groups`` equal-size score groups.
+
     The cells are read off the score curve, so the sample is grouped once.
     """
     score = F.col("score")
@@ -206,7 +217,8 @@ def evaluate(
 
     scored = score_curve(df, y, p, counts).agg(
         F.max(_gap()).alias("ks"),
-        _auc(False).alias("auc"),
+        F.max(_grouped_gap(groups)).alias("ks_grouped"),
+        _auc(auto_direction).alias("auc"),
         cell("n1", hit).alias("tp"),
         cell("n0", hit).alias("fp"),
         cell("n1", ~hit).alias("fn"),

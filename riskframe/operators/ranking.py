@@ -150,7 +150,8 @@ def exact_quantiles(
             return None
         low, high, weight = spans[(c, p)]
         a, b = ranks[(c, low)].value, ranks[(c, high)].value
-        return a + weight * (b - a)
+        # Between infinities there is nothing to interpolate.
+        return a if a == b or not weight else a + weight * (b - a)
 
     return {c: [quantile(c, p) for p in probs] for c in columns}
 

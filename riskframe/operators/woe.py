@@ -25,7 +25,8 @@ def woe_table(
     """Counts, WOE and IV share of every bin of every variable, in one pass.
 
     Numeric variables are cut at quantiles (or at the given breaks);
-    categoricals count per level; nulls are a bin of their own.  A bin with no
+    categoricals count per level; nulls are a bin of their own, told from a level
+    of the same name by ``missing``.  A bin with no
     event or no non-event has an undefined WOE: it contributes 0 and is flagged,
     unless ``smoothing`` adds that many rows to each cell.
     """
@@ -42,14 +43,16 @@ def woe_table(
     pairs = F.array(
         *[
             F.struct(
-                F.lit(c).alias("variable"), F.coalesce(label, F.lit(MISSING)).alias("bin")
+                F.lit(c).alias("variable"),
+                F.coalesce(label, F.lit(MISSING)).alias("bin"),
+                label.isNull().cast("int").alias("missing"),
             )
             for c, label in labelled.items()
         ]
     )
     cells = (
         rows.select(F.col(y).cast("double").alias("_y"), F.inline(pairs))
-        .groupBy("variable", "bin")
+        .groupBy("variable", "bin", "missing")
         .agg(F.count("*").alias("n"), F.sum("_y").cast("long").alias("n1"))
     )
     # One row per variable: bounded by the number of columns.
@@ -66,6 +69,7 @@ def woe_table(
     return cells.join(F.broadcast(totals), "variable").select(
         "variable",
         "bin",
+        "missing",
         "n",
         "n1",
         ratio(F.col("n"), F.col("_n")).alias("share"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -42,6 +43,8 @@ def run_study(
         durable(glm.covariate_patterns(part, spec)) for part in (train, test)
     )
     logit = glm.fit_logit(grouped_train, spec, counts=counts)
+    if not logit.converged:
+        warnings.warn(f"the fit did not converge in {logit.iterations} iterations", stacklevel=2)
     tree = chaid.fit_chaid(
         grouped_train, y, spec.predictors, max_height=max_height, counts=counts
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -30,6 +31,8 @@ class MonitorRun:
     n_unscored: int
     unlisted: DataFrame
     baseline: dict
+    ks: float | None
+    ks_grouped: float | None
 
 
 def monitor(
@@ -41,13 +44,19 @@ def monitor(
     empty_metric: str = "zero",
     run_at: datetime | None = None,
     collapse: bool = True,
+    stored_ks: str = "ks",
+    auto_direction: bool = False,
 ) -> MonitorRun:
     """Refit on the whole live table and measure it there at the baseline cutoff.
 
     Metrics are computed over scored rows.  ``empty_metric='zero'`` stores an
     undefined metric as 0, ``'null'`` keeps it null.  The number of unscored
-    rows and the categories outside the declared levels are reported.
+    rows and the categories outside the declared levels are reported, and a fit
+    that did not converge is warned about.  ``stored_ks`` names the KS of the
+    record, ``ks`` or ``ks_grouped``: the one the baseline was recorded with.
     """
+    if stored_ks not in ("ks", "ks_grouped"):
+        raise ValueError("stored_ks must be 'ks' or 'ks_grouped'")
     if empty_metric not in ("zero", "null"):
         raise ValueError("empty_metric must be 'zero' or 'null'")
     found = latest_baseline(baselines).collect()
@@ -63,9 +72,12 @@ def monitor(
     else:
         rows, counts = aligned, None
     fit = fit_logit(rows, spec, collapse=False, counts=counts)
+    if not fit.converged:
+        warnings.warn(f"the refit did not converge in {fit.iterations} iterations", stacklevel=2)
     threshold = float("inf") if cut is None else cut
     measured = evaluate(
-        fit.score(rows), spec.target, "probability", threshold, "live", counts=counts
+        fit.score(rows), spec.target, "probability", threshold, "live", counts=counts,
+        auto_direction=auto_direction,
     ).first()
     n_scored = sum(measured[c] or 0 for c in ("tp", "fp", "fn", "tn"))
 
@@ -77,10 +89,13 @@ def monitor(
         "data_execucao": (run_at or datetime.now()).strftime("%Y-%m-%d %H:%M:%S"),
         "n_linhas_base_viva": facts.n,
         "auc_viva": stored(measured.auc),
-        "ks_viva": stored(measured.ks),
+        "ks_viva": stored(measured[stored_ks]),
         "sensibilidade_viva": stored(None if cut is None else measured.sensitivity),
         "cutoff_usado": stored(cut),
     }
     if target_path:
         append_record(live.sparkSession, record, MONITORING_SCHEMA, target_path)
-    return MonitorRun(record, fit, facts.n - n_scored, unlisted_levels(live, spec), baseline)
+    return MonitorRun(
+        record, fit, facts.n - n_scored, unlisted_levels(live, spec), baseline,
+        measured.ks, measured.ks_grouped,
+    )

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskframe.operators import chaid, glm
 from riskframe.operators.collinearity import vif
+from riskframe.operators.dedupe import keep_first
 from riskframe.plans import cleaning as plan
 from riskframe.plans import crash_schema as cs
 from riskframe.plans.modelling import run_study
@@ -36,7 +38,8 @@ _LOGLIK = "sum(n1 * ln(p) + (n - n1) * ln(1 - p))"
         CASE WHEN level = 'A' THEN logit ELSE logit - base END AS estimate,
         CASE WHEN level = 'A' THEN sqrt(v) ELSE sqrt(v + base_v) END AS std_error FROM m, a)
     SELECT term, round(estimate, 4) AS estimate, round(std_error, 4) AS std_error,
-      round(estimate / std_error, 3) AS z FROM t""",
+      round(estimate / std_error, 3) AS z, 1 AS converged,
+      (SELECT round(-2 * {_LOGLIK} + 6, 3) FROM m) AS aic FROM t""",
 )
 def glm1(spark, sf_dir):
     fit = glm.fit_logit(planted(spark, sf_dir), FLAG_SPEC)
@@ -45,6 +48,41 @@ def glm1(spark, sf_dir):
         F.round("estimate", 4).alias("estimate"),
         F.round("std_error", 4).alias("std_error"),
         F.round("z", 3).alias("z"),
+        F.lit(int(fit.converged)).alias("converged"),
+        F.lit(round(fit.aic, 3)).alias("aic"),
+    )
+
+
+TWO_FACTORS = FeatureSpec(
+    target="y", numeric=("l_quantity",), levels={"l_returnflag": ("A", "N", "R"), "l_linestatus": ("F", "O")}
+)
+
+
+@query(
+    "glm1_score_equations",
+    f"""WITH {sq.PLANTED}, u AS (
+      SELECT 'l_returnflag' AS term, l_returnflag AS level FROM planted
+      UNION ALL SELECT 'l_linestatus', l_linestatus FROM planted)
+    SELECT term, level, count(*) AS n, 0.0::DOUBLE AS residual, 0.0::DOUBLE AS with_quantity FROM u
+    GROUP BY term, level""",
+)
+def glm1_score_equations(spark, sf_dir):
+    """A fit of one number and two factors is the maximum where, in every level, the residuals
+    add up to 0, and weighted with the number over all rows."""
+    rows = planted(spark, sf_dir)
+    fitted = glm.fit_logit(rows, TWO_FACTORS).score(rows)
+    gap = c("y") - c("probability")
+    levels = fitted.select(
+        gap.alias("gap"), (gap * c("l_quantity")).alias("moment"),
+        F.inline(F.array(*[F.struct(F.lit(n).alias("term"), c(n).alias("level")) for n in TWO_FACTORS.levels])),
+    )
+    whole = F.sum("moment").over(Window.partitionBy("term"))
+    sums = levels.groupBy("term", "level").agg(
+        F.count("*").alias("n"), F.sum("gap").alias("gap"), F.sum("moment").alias("moment")
+    )
+    return sums.withColumn("all_moments", whole).select(
+        "term", "level", "n", (F.round("gap", 2) + 0.0).alias("residual"),
+        (F.round(c("all_moments"), 1) + 0.0).alias("with_quantity"),
     )
 
 
@@ -114,13 +152,13 @@ def glm4(spark, sf_dir):
     "vif1_collinearity",
     """WITH r AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem),
     v AS (SELECT 1 / (1 - r * r) AS vif FROM r)
-    SELECT name AS variable, name AS term, round(vif, 4) AS vif, round(sqrt(vif), 4) AS gvif_root
-    FROM v, (VALUES ('l_quantity'), ('l_extendedprice')) t(name)""",
+    SELECT name AS variable, name AS term, round(vif, 4) AS vif, 1 AS df, round(vif, 4) AS gvif,
+      round(sqrt(vif), 4) AS gvif_root FROM v, (VALUES ('l_quantity'), ('l_extendedprice')) t(name)""",
 )
 def vif1(spark, sf_dir):
     spec = FeatureSpec(target="y", numeric=("l_quantity", "l_extendedprice"))
     report = vif(table(spark, sf_dir, "lineitem"), spec)
-    return rounded(report.select("variable", "term", "vif", "gvif_root"), 4)
+    return rounded(report, 4)
 
 
 # --- tree ----------------------------------------------------------------------------
@@ -177,6 +215,41 @@ def tree4(spark, sf_dir):
     return rounded(rules.where("leaf").select("node", "depth", "n", "n1", "rate"))
 
 
+# --- deeper tree: merging and a second level ------------------------------------------
+
+
+def _merging(rows):
+    """Rates of 2, 2 and 20 % by flag; under the third, 5 and 35 % by the size of the quantity."""
+    draw = c("l_partkey") * 7919 % 100
+    large = c("l_quantity") > 25
+    limit = F.when(c("l_returnflag") != "R", 2).when(large, 35).otherwise(5)
+    return rows.select(
+        "l_returnflag", F.when(large, "large").otherwise("small").alias("amount"),
+        F.when(draw < limit, 1).otherwise(0).alias("t"),
+    )
+
+
+_MERGING = f"""WITH {sq.PLANTED}, rows AS (SELECT l_returnflag AS flag,
+  CASE WHEN l_quantity > 25 THEN 'large' ELSE 'small' END AS amount,
+  CASE WHEN l_partkey * 7919 % 100 < CASE WHEN l_returnflag <> 'R' THEN 2
+    WHEN l_quantity > 25 THEN 35 ELSE 5 END THEN 1 ELSE 0 END AS t FROM planted)"""
+
+
+@query(
+    "tree1_merged_categories",
+    f"""{_MERGING}
+    SELECT 0 AS depth, 'all' AS rule, count(*) AS n, CAST(sum(t) AS BIGINT) AS n1 FROM rows
+    UNION ALL SELECT 1, CASE WHEN flag = 'R' THEN 'l_returnflag in {{R}}' ELSE 'l_returnflag in {{A, N}}' END,
+      count(*), CAST(sum(t) AS BIGINT) FROM rows GROUP BY 2
+    UNION ALL SELECT 2, 'l_returnflag in {{R}} & amount in {{' || amount || '}}', count(*),
+      CAST(sum(t) AS BIGINT) FROM rows WHERE flag = 'R' GROUP BY amount""",
+)
+def tree1_merged(spark, sf_dir):
+    rows = _merging(planted(spark, sf_dir))
+    tree = chaid.fit_chaid(rows, "t", ["l_returnflag", "amount"], alpha_merge=1e-6, alpha_split=1e-6)
+    return chaid.tree_rules(spark, tree).select("depth", "rule", "n", "n1")
+
+
 # --- monitoring ----------------------------------------------------------------------
 
 
@@ -211,9 +284,9 @@ def mon1(spark, sf_dir):
     f AS (SELECT CAST(strftime(max(l_shipdate), '%Y-%m-%d') AS VARCHAR) AS carga_id,
       count(*) AS n_linhas_base_viva,
       CAST(count(*) FILTER (y = 1 AND p > 0.1) AS DOUBLE) / count(*) FILTER (y = 1) AS sens FROM live),
-    k AS (SELECT {sq.KS} AS ks, {sq.AUC} AS auc FROM curve)
+    k AS (SELECT {sq.KS} AS ks, {sq.ks_in_groups()} AS ks_grouped, {sq.AUC} AS auc FROM curve)
     SELECT carga_id, '2026-02-12 08:00:00' AS data_execucao, n_linhas_base_viva,
-      round(auc, 5) AS auc_viva, round(ks, 5) AS ks_viva, round(sens, 5) AS sensibilidade_viva,
+      round(auc, 5) AS auc_viva, round(ks, 5) AS ks_viva, round(ks_grouped, 5) AS ks_grouped, round(sens, 5) AS sensibilidade_viva,
       0.1::DOUBLE AS cutoff_usado FROM f, k""",
 )
 def mon2(spark, sf_dir):
@@ -224,11 +297,72 @@ def mon2(spark, sf_dir):
         live, _baselines(spark, sf_dir), FLAG_SPEC, run_at=datetime(2026, 2, 12, 8, 0, 0)
     )
     record = [tuple(run.record[f.name] for f in cs.MONITORING_SCHEMA.fields)]
-    return rounded(spark.createDataFrame(record, cs.MONITORING_SCHEMA), 5)
+    shown = spark.createDataFrame(record, cs.MONITORING_SCHEMA)
+    return rounded(shown.withColumn("ks_grouped", F.lit(run.ks_grouped)), 5)
+
+
+_STUDY_ROWS = f"""WITH {sq.FEATURES}, n AS (SELECT Num_Ocorrencia, Periodo, KmDecimal AS km,
+  {", ".join(f"CASE WHEN regexp_full_match({v}, ' *[0-9]+ *') THEN CAST(trim({v}) AS DOUBLE) END AS {v}" for v in cs.VEHICLES)},
+  CAST(nullif(Gravemente_feridos_Mortos, '') AS INT) AS y FROM features)
+  SELECT count(*) AS n FROM n WHERE y IS NOT NULL AND Periodo IS NOT NULL AND km BETWEEN {cs.KM_BREAKS[0]} AND {cs.KM_BREAKS[-1]}
+    AND {" AND ".join(f"{v} IS NOT NULL" for v in cs.VEHICLES)}"""
 
 
-@query("e2_crash_study")
+@query(
+    "e2_crash_study",
+    f"""WITH s AS ({_STUDY_ROWS}), k AS (SELECT n, CAST(floor(0.8 * n) AS BIGINT) AS train FROM s)
+    SELECT sample, CASE WHEN sample LIKE '%train' THEN train ELSE n - train END AS n,
+      1 AS tree_cutoff_is_base_rate, 1 AS metrics_agree
+    FROM k, (VALUES ('logit/train'), ('logit/test'), ('chaid/train'), ('chaid/test')) t(sample)""",
+)
 def e2_study(spark, sf_dir):
-    """Whole study on the crash feed: split, logit, tree, cutoffs, comparison."""
+    """Whole study on the crash feed: the rows of each sample, the tree's cutoff, and figures that must agree."""
     features = durable(plan.feature_table(feed(spark, sf_dir)))
-    return run_study(plan.model_table(features), cs.CRASH_SPEC).comparison
+    study = run_study(plan.model_table(features), cs.CRASH_SPEC)
+    root = study.tree.root
+    n = c("tp") + c("fp") + c("fn") + c("tn") + c("unscored")
+    base = F.when(c("sample").startswith("logit"), True).otherwise(F.abs(c("cutoff") - root.n1 / root.n) < 1e-12)
+    agree = (F.abs(c("accuracy") * (n - c("unscored")) - c("tp") - c("tn")) < 1e-6) & c("ks").between(0, 1)
+    return study.comparison.select(
+        "sample", n.alias("n"), base.cast("int").alias("tree_cutoff_is_base_rate"),
+        (agree & (c("ks_grouped") <= c("ks") + 1e-9)).cast("int").alias("metrics_agree"),
+    )
+
+
+FULL_SPEC = FeatureSpec(target="y", levels={"l_returnflag": ("A", "N", "R")}, key="key")
+
+
+@query(
+    "e2_saturated_study",
+    f"""WITH {sq.PLANTED}, k AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber || '-' || l_partkey
+        || '-' || l_suppkey || '-' || CAST(l_quantity AS BIGINT) AS key FROM planted),
+    d AS (SELECT key, l_returnflag, y FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY l_returnflag, y) = 1),
+    r AS (SELECT *, row_number() OVER (ORDER BY md5(key || '|42'), key) AS r, count(*) OVER () AS n FROM d),
+    tr AS (SELECT * FROM r WHERE r <= floor(0.8 * n)),
+    rate AS (SELECT l_returnflag, avg(y) AS p FROM tr GROUP BY l_returnflag),
+    base AS (SELECT avg(y) AS b FROM tr),
+    s AS (SELECT CASE WHEN r <= floor(0.8 * n) THEN 'train' ELSE 'test' END AS part, r.y, p FROM r JOIN rate USING (l_returnflag)),
+    f AS (SELECT y, p FROM s WHERE part = 'train'), o AS (SELECT y, p FROM s WHERE part = 'test'),
+    kf AS (WITH {{sq_f}} SELECT 'train' AS part, {sq.KS} AS ks, {sq.ks_in_groups()} AS ks_grouped, {sq.AUC} AS auc FROM curve),
+    ko AS (WITH {{sq_o}} SELECT 'test' AS part, {sq.KS} AS ks, {sq.ks_in_groups()} AS ks_grouped, {sq.AUC} AS auc FROM curve),
+    m AS (SELECT * FROM kf UNION ALL SELECT * FROM ko),
+    cells AS (SELECT part, count(*) FILTER (y = 1 AND p >= b) AS tp, count(*) FILTER (y = 0 AND p >= b) AS fp,
+      count(*) FILTER (y = 1 AND p < b) AS fn, count(*) FILTER (y = 0 AND p < b) AS tn FROM s, base GROUP BY part)
+    SELECT 'chaid/' || part AS sample, round(ks, 5) AS ks, round(ks_grouped, 5) AS ks_grouped, round(auc, 5) AS auc,
+      tp, fp, fn, tn FROM m JOIN cells USING (part)
+    UNION ALL SELECT 'logit/' || part, round(ks, 5), round(ks_grouped, 5), round(auc, 5), NULL, NULL, NULL, NULL FROM m
+    """.replace("{sq_f}", sq.curve("f")).replace("{sq_o}", sq.curve("o")),
+)
+def e2_saturated(spark, sf_dir):
+    """The study on one factor, where every model's probabilities are the training means of its levels."""
+    rows = planted(spark, sf_dir)
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", c("l_quantity").cast("long"))
+    rows = keep_first(rows.select(key.alias("key"), "l_returnflag", "y"), ["key"], ["l_returnflag", "y"])
+    study = run_study(rows, FULL_SPEC)
+    tree = c("sample").startswith("chaid")
+    return rounded(
+        study.comparison.select(
+            "sample", "ks", "ks_grouped", "auc", *[F.when(tree, c(x)).alias(x) for x in ("tp", "fp", "fn", "tn")]
+        ),
+        5,
+    )

@@ -93,6 +93,30 @@ def bin3(spark, sf_dir):
     )
 
 
+_FAR = 1_000_000_000_000
+
+
+@query(
+    "bin3_far_from_zero",
+    f"""WITH {sq.PLANTED}, marked AS (SELECT *, CASE WHEN l_quantity > 35 THEN 1 WHEN l_quantity > 15
+      THEN CASE WHEN l_partkey % 10 < 5 THEN 1 ELSE 0 END ELSE 0 END AS t FROM planted)
+    SELECT CASE WHEN l_quantity <= 15 THEN 1 WHEN l_quantity <= 35 THEN 2 ELSE 3 END AS bin,
+      count(*) AS n, CAST(sum(t) AS BIGINT) AS n1 FROM marked GROUP BY 1""",
+)
+def bin3_far(spark, sf_dir):
+    """Two cuts in values as large as a time in milliseconds."""
+    step = F.when(c("l_partkey") % 10 < 5, 1).otherwise(0)
+    rows = planted(spark, sf_dir).select(
+        (c("l_quantity") + _FAR).alias("x"),
+        F.when(c("l_quantity") > 35, 1).when(c("l_quantity") > 15, step).otherwise(0).alias("t"),
+    )
+    bins = binning.optimal_bin(rows, "x", "t", alpha=1e-6)
+    number = F.lit(1)
+    for cut in bins.cuts:
+        number = number + (c("x") > cut).cast("int")
+    return rows.groupBy(number.alias("bin")).agg(F.count("*").alias("n"), F.sum("t").alias("n1"))
+
+
 @query(
     "bin4_apply_bins",
     """SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 10 THEN '<= 10'
@@ -164,18 +188,19 @@ _QUANTITY_LABELS = binning.break_labels(_QUANTITY_BREAKS)
 def _evidence(source, y, variables):
     """CTE ``evidence``: one row per (variable, bin) with WOE and IV share."""
     union = " UNION ALL ".join(
-        f"SELECT '{v}' AS variable, coalesce({expr}, 'NA') AS bin, {y} AS y FROM {source}"
+        f"SELECT '{v}' AS variable, coalesce({expr}, 'NA') AS bin, "
+        f"CASE WHEN ({expr}) IS NULL THEN 1 ELSE 0 END AS missing, {y} AS y FROM {source}"
         for v, expr in variables.items()
     )
     return f"""
 u AS ({union}),
-g AS (SELECT variable, bin, count(*) AS n, CAST(sum(y) AS BIGINT) AS n1
-  FROM u WHERE y IS NOT NULL GROUP BY variable, bin),
+g AS (SELECT variable, bin, missing, count(*) AS n, CAST(sum(y) AS BIGINT) AS n1
+  FROM u WHERE y IS NOT NULL GROUP BY variable, bin, missing),
 s AS (SELECT *, CAST(n1 AS DOUBLE) / CAST(sum(n1) OVER v AS DOUBLE) AS s1,
   CAST(n - n1 AS DOUBLE) / CAST(sum(n - n1) OVER v AS DOUBLE) AS s0,
   CAST(n AS DOUBLE) / CAST(sum(n) OVER v AS DOUBLE) AS share
   FROM g WINDOW v AS (PARTITION BY variable)),
-evidence AS (SELECT variable, bin, n, n1, share,
+evidence AS (SELECT variable, bin, missing, n, n1, share,
   CASE WHEN n1 > 0 AND n > n1 THEN ln(s1) - ln(s0) ELSE 0 END AS woe,
   CASE WHEN n1 > 0 AND n > n1 THEN (s1 - s0) * (ln(s1) - ln(s0)) ELSE 0 END AS iv,
   CASE WHEN n1 > 0 AND n > n1 THEN 0 ELSE 1 END AS empty_cell FROM s)"""
@@ -203,13 +228,28 @@ def _evidence_table(spark, sf_dir):
 @query(
     "iv1_woe_table",
     f"""WITH {sq.PLANTED}, {_evidence("planted", "y", _VARIABLES)}
-    SELECT variable, bin, n, n1, round(share, 6) AS share, round(woe, 6) AS woe,
+    SELECT variable, bin, missing, n, n1, round(share, 6) AS share, round(woe, 6) AS woe,
       round(iv, 6) AS iv, empty_cell FROM evidence""",
 )
 def iv1(spark, sf_dir):
     return rounded(_evidence_table(spark, sf_dir))
 
 
+# A level that is called like the bin of the nulls, and nulls.
+_NAMED_NA = "CASE WHEN l_linenumber = 1 THEN 'NA' WHEN l_linenumber > 2 THEN l_returnflag END"
+
+
+@query(
+    "iv1_level_named_na",
+    f"""WITH {sq.PLANTED}, {_evidence("planted", "y", {"flag": _NAMED_NA})}
+    SELECT variable, bin, missing, n, n1, round(share, 6) AS share, round(woe, 6) AS woe,
+      round(iv, 6) AS iv, empty_cell FROM evidence""",
+)
+def iv1_named_na(spark, sf_dir):
+    rows = planted(spark, sf_dir).withColumn("flag", F.expr(_NAMED_NA))
+    return rounded(woe.woe_table(rows, "y", categorical=("flag",)))
+
+
 _DECILES = """
 q AS (SELECT quantile_cont(l_extendedprice,
     [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS d FROM lineitem),
@@ -358,14 +398,23 @@ _ROC = f"""{_CURVE}, points AS (
 roc AS (SELECT *, tp / (tp + fn) AS sensitivity, tn / (tn + fp) AS specificity FROM points)"""
 
 
+_SHOWN_CUTOFF = (
+    "CASE WHEN cutoff = 'Infinity'::DOUBLE THEN 'Inf' ELSE CAST(round(cutoff, 2) AS VARCHAR) END"
+)
+
+
+def _cutoff_text():
+    return F.when(c("cutoff") == float("inf"), "Inf").otherwise(F.round("cutoff", 2).cast("string"))
+
+
 @query(
     "evl3_roc_points",
-    f"""{_ROC} SELECT cutoff, tp, fp, fn, tn, round(sensitivity, 6) AS sensitivity,
-    round(specificity, 6) AS specificity FROM roc WHERE cutoff < 'Infinity'::DOUBLE""",
+    f"""{_ROC} SELECT {_SHOWN_CUTOFF} AS cutoff, tp, fp, fn, tn, round(sensitivity, 6) AS sensitivity,
+    round(specificity, 6) AS specificity FROM roc""",
 )
 def evl3(spark, sf_dir):
     points = metrics.roc_points(scored(spark, sf_dir), "y", "p")
-    return rounded(points.where(c("cutoff") < float("inf")))
+    return rounded(points.withColumn("cutoff", _cutoff_text()))
 
 
 _CRITERIA = {
@@ -377,20 +426,15 @@ _CRITERIA = {
 
 
 def _cutoff_query(name, metric, expr, sign):
-    shown = "CASE WHEN cutoff = 'Infinity'::DOUBLE THEN 'Inf' ELSE CAST(round(cutoff, 2) AS VARCHAR) END"
-
     @query(
         name,
-        f"""{_ROC} SELECT '{metric}' AS metric, {shown} AS cutoff,
+        f"""{_ROC} SELECT '{metric}' AS metric, {_SHOWN_CUTOFF} AS cutoff,
         round({sign}({expr}), 6) AS value, round(sensitivity, 6) AS sensitivity,
         round(specificity, 6) AS specificity FROM roc ORDER BY {expr} DESC, roc.cutoff DESC LIMIT 1""",
     )
     def run(spark, sf_dir):
         best = metrics.best_cutoff(scored(spark, sf_dir), "y", "p", metric)
-        text = F.when(c("cutoff") == float("inf"), "Inf").otherwise(
-            F.round("cutoff", 2).cast("string")
-        )
-        return rounded(best.withColumn("cutoff", text))
+        return rounded(best.withColumn("cutoff", _cutoff_text()))
 
 
 for _name, _args in _CRITERIA.items():
@@ -451,11 +495,11 @@ def evl5(spark, sf_dir):
     f"""WITH {sq.SCORED}, f AS (SELECT * FROM scored WHERE l_linestatus = 'F'),
     o AS (SELECT * FROM scored WHERE l_linestatus = 'O'),
     cf AS (SELECT {_CELLS} FROM f), co AS (SELECT {_CELLS} FROM o),
-    kf AS (WITH {sq.curve("f")} SELECT {sq.KS} AS ks, {sq.AUC} AS auc FROM curve),
-    ko AS (WITH {sq.curve("o")} SELECT {sq.KS} AS ks, {sq.AUC} AS auc FROM curve),
+    kf AS (WITH {sq.curve("f")} SELECT {sq.KS} AS ks, {sq.ks_in_groups()} AS ks_grouped, {sq.AUC} AS auc FROM curve),
+    ko AS (WITH {sq.curve("o")} SELECT {sq.KS} AS ks, {sq.ks_in_groups()} AS ks_grouped, {sq.AUC} AS auc FROM curve),
     a AS (SELECT 'train' AS sample, 0.5::DOUBLE AS cutoff, * FROM kf, cf
       UNION ALL SELECT 'test', 0.5, * FROM ko, co)
-    SELECT sample, cutoff, round(ks, 6) AS ks, round(auc, 6) AS auc, tp, fp, fn, tn, unscored,
+    SELECT sample, cutoff, round(ks, 6) AS ks, round(ks_grouped, 6) AS ks_grouped, round(auc, 6) AS auc, tp, fp, fn, tn, unscored,
       {_CLASS} FROM a""",
 )
 def evl6(spark, sf_dir):

@@ -237,4 +237,14 @@ curve AS (
 
 
 KS = "max(abs(n1_run / n1_all - n0_run / n0_all))"
+
+
+def ks_in_groups(groups: int = 10) -> str:
+    """KS of ``curve`` read where the edges of equal-size groups fall inside a score."""
+    return f"""(SELECT max(abs(taken / n1_all - (edge - taken) / n0_all)) FROM (
+      SELECT *, n1_run - n1 + n1 * (edge - (n_run - n)) / n AS taken FROM (
+        SELECT *, g * n_all / {groups} AS edge FROM (SELECT *, unnest(range(1, {groups + 1})) AS g FROM curve))
+      WHERE edge > n_run - n AND edge <= n_run))"""
+
+
 AUC = "sum(n1 * (n0_all - n0_run + n0 / 2)) / max(n1_all * n0_all)"

@@ -49,7 +49,7 @@ def compare(spark, connection, query, sf_dir):
     df = query.run(spark, sf_dir)
     got = rows_of(df.columns, df.collect())
     if query.sql is None:
-        return None
+        return "no SQL to compare with"
     result = connection.execute(query.sql)
     names = [d[0] for d in result.description]
     want = rows_of(names, result.fetchall())
