@@ -40,8 +40,8 @@ def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     if not payload:
         return df.select(*keys).distinct()
     # Distinct rows merge map-side in hash tables and are then dealt by the keys.
-    df = df.select(*keys, *payload).distinct().repartition(*[F.col(k) for k in keys])
-    best = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_first"))
+    rows = df.select(*keys, *payload).distinct().repartition(*[F.col(k) for k in keys])
+    best = rows.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_first"))
     return best.select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 

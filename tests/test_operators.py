@@ -84,7 +84,8 @@ def test_one_shuffle_feature_table_equals_two_step_form(spark):
     one_step = plan.feature_table(raw)
     assert one_step.exceptAll(two_steps).count() == 0
     assert two_steps.exceptAll(one_step).count() == 0
-    assert plan_text(one_step).count("Exchange") == 1
+    # Exact copies merge map-side in a hash aggregate, then rows meet by their keys.
+    assert plan_text(one_step).count("Exchange") == 2
 
 
 def test_victim_counts_dominate_wording(spark):
@@ -470,3 +471,54 @@ def test_hot_group_is_collapsed_before_the_shuffle(spark):
         text = plan_text(df)
         assert text.index("Aggregate(") < text.index("Exchange") < text.rindex("Aggregate(")
         assert df.count() == hot.select("k").distinct().count()
+
+
+def test_merging_a_thousand_categories_is_quick_and_right():
+    import time
+
+    levels = [f"c{i:04d}" for i in range(1000)]
+    n = [200] * 1000
+    n1 = [4 if i % 3 else 60 for i in range(1000)]
+    started = time.perf_counter()
+    groups, log_p = chaid.merge_categories(levels, n, n1, 0.05)
+    assert time.perf_counter() - started < 20
+    assert [len(g[0]) for g in groups] == [334, 666] and log_p < -1000
+
+
+def test_merging_equals_all_pairs_recomputed():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(40):
+        k = rng.randint(2, 9)
+        levels = [f"l{i}" for i in range(k)]
+        n = [rng.randint(20, 300) for _ in levels]
+        n1 = [rng.randint(0, x) for x in n]
+        groups = [((v,), a, b) for v, a, b in zip(levels, n, n1)]
+        while len(groups) > 1:
+            pairs = [
+                (chaid.log_chi2_tail(chaid.pearson([groups[a], groups[b]]), 1), -a, -b)
+                for a in range(len(groups))
+                for b in range(a + 1, len(groups))
+            ]
+            log_p, a, b = max(pairs)
+            if log_p <= math.log(0.05):
+                break
+            a, b = -a, -b
+            joined = tuple(x + y for x, y in zip(groups[a], groups[b]))
+            joined = (tuple(sorted(joined[0])), *joined[1:])
+            groups = sorted([g for i, g in enumerate(groups) if i not in (a, b)] + [joined])
+        assert chaid.merge_categories(levels, n, n1, 0.05)[0] == groups
+
+
+def test_quantiles_between_infinities(spark):
+    rows = spark.createDataFrame([(1.0,), (math.inf,), (math.inf,)], "x double")
+    assert exact_quantiles(rows, ["x"], [0.5, 0.75, 1])["x"] == [math.inf] * 3
+
+
+def test_feature_dedupe_hashes_before_it_sorts(spark):
+    rows = spark.range(100).selectExpr("id % 7 AS k", "cast(id % 3 AS string) AS t", "id AS v")
+    plan = plan_text(keep_first(rows, ["k"], ["t", "v"]))
+    lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in lowest
+    assert sum("Exchange hashpartitioning(k" in line for line in plan.splitlines()) == 1
