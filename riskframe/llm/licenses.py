@@ -64,8 +64,9 @@ def detections(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .where(F.size("found") > 0)
         .withColumn("gaps", F.split("norm", F.col("r.pattern"), -1))
         .select("doc", "body", "r.number", "r.label", "r.priority",
-                F.posexplode(F.zip_with("found", "gaps", lambda f, g: F.struct(
+                F.posexplode(F.zip_with("found", F.slice("gaps", F.lit(1), F.size("found")), lambda f, g: F.struct(
                     (spaces(f) + 1).alias("size"), spaces(g).alias("gap")))).alias("at", "m"))
+        .distinct()  # exact repeats of a row count once here and get the same result
     )
     # Every gap ends with the space before the match, and but for the first one it begins with one as well.
     before = Window.partitionBy("doc", "body", "number").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
@@ -96,7 +97,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id",
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     texts = docs.select(F.col(doc_id).alias("doc"), body.alias("body"), normal(F.col(text)).alias("norm"))
     gated = texts.where(reduce(Column.__or__, [F.contains(F.col("norm"), F.lit(g)) for g in gates()]))
-    found = durable(detections(gated, rules).distinct())
+    found = durable(detections(gated, rules))
     base = F.col("priority") == 0
     sure = F.lit(CONFIDENCE[2])
     for p, c in CONFIDENCE.items():

@@ -19,7 +19,7 @@ Only DataFrame functions are used. One copy of every line always remains, as
 its first occurrence cannot belong to a later copy.
 
 Contract for unusual input: a null text stays null and an empty one empty;
-blank lines belong to no run, and go with a run that encloses them; white space
+blank lines belong to no run, and go with a shortest window that encloses them; white space
 at the ends of lines is ignored in comparisons; rows with a null id are kept as
 they are and are nobody's copy; rows that repeat an id count as documents of
 their own, ordered by a hash of their text, except exact repeats, which are one
