@@ -274,9 +274,9 @@ def target(vocab: Vocabulary, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def log_softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = table[rows[:, 0]]
+    z = np.take(table, rows[:, 0], axis=0)
     for j in range(1, rows.shape[1]):
-        z += table[rows[:, j]]
+        z += np.take(table, rows[:, j], axis=0)
     z -= z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
@@ -293,12 +293,15 @@ def learn(table: np.ndarray, batches, vocab: Vocabulary):
                 r, t = rows[low : low + STEP], y[low : low + STEP]
                 g = np.exp(log_softmax(own, r))
                 g[np.arange(len(t)), t] -= 1
-                flat = r.ravel()
+                # The constant is in every history; 16-bit rows are sorted by radix.
+                flat = r[:, 1:].astype(np.uint16).ravel()
                 order = np.argsort(flat, kind="stable")
-                starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-                touched = flat[order][starts]
-                n = np.diff(np.append(starts, len(flat))).astype(np.float32)
-                step = np.add.reduceat(g[order // FEATURES], starts, axis=0) / np.sqrt(n)[:, None]
+                flat = flat[order]
+                starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+                touched = np.append(flat[starts], 0).astype(np.int64)
+                n = np.append(np.diff(np.append(starts, len(flat))), len(t)).astype(np.float32)
+                sums = np.add.reduceat(np.take(g, order // (FEATURES - 1), axis=0), starts, axis=0)
+                step = np.concatenate([sums, g.sum(axis=0, keepdims=True)]) / np.sqrt(n)[:, None]
                 squares[touched] += (step * step).mean(axis=1)
                 own[touched] -= RATE * step / np.sqrt(squares[touched])[:, None]
                 uses[touched] += n
