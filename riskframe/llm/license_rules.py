@@ -9,6 +9,7 @@ rules around it suppress.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from typing import NamedTuple
 
 
@@ -273,13 +274,30 @@ RULES = parsed()
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 
 
+#: Words of any prose, which tell nothing about a text.
+COMMON = set(
+    "all an and any are as at be by can copy data file for free from good have in is it its made may name no not of on open or "
+    "org other out same source terms text that the this to under use used want was will with without work you your".split()
+)
+
+
+def needed_words(rule: Rule) -> set[str]:
+    """Words, or their beginnings, that stand in every text the rule can match."""
+    fixed = rule.pattern
+    while (shorter := re.sub(r"\([^()]*\)\??", " ", fixed)) != fixed:
+        fixed = shorter
+    whole = re.sub(r"\b\w+\?|\[[^]]*\]\w*|\\\w|\.\{[^}]*\}\??", " ", fixed)
+    words = {"licen"} if "licen" in fixed or "licen" in rule.keyword else set()
+    return words | {w for w in {*whole.split(), *rule.keyword.split()} if len(w) > 1 and w.isalnum()} - COMMON
+
+
 def gates() -> list[str]:
-    """Words of which every text that a rule or phrase can match holds at least one."""
-    found = {"licen"}  # all base phrases have it
-    for rule in RULES:
-        needed = rule.pattern
-        while (shorter := re.sub(r"\([^()]*\)\?", "", needed)) != needed:
-            needed = shorter
-        if "licen" not in re.sub(r"\([^()]*\)", "", needed):
-            found.add(max(rule.keyword.split(), key=len))
-    return sorted(g for g in found if not any(o != g and o in g for o in found))
+    """Few words of which every text that a rule or phrase can match holds at least one."""
+    left, found = list(RULES), ["licen"]  # all base phrases have it
+    left = [r for r in left if "licen" not in needed_words(r)]
+    while left:
+        count = Counter(w for r in left for w in needed_words(r))
+        best = max(count, key=lambda w: (count[w], len(w), w))
+        found.append(best)
+        left = [r for r in left if best not in needed_words(r)]
+    return found

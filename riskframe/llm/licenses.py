@@ -33,10 +33,14 @@ CONFIDENCE = {1: 0.5, 2: 0.8, 3: 0.95}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def normal(text: Column) -> Column:
-    """' word word ... word ': words are runs of digits, a-z and characters over 0x7F."""
-    lower = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
+def words_only(text: Column) -> Column:
+    """'word word ... word': words are runs of digits, letters and characters over 0x7F."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
+
+
+def normal(words: Column) -> Column:
+    """The same in lower case, with a space at both ends."""
+    return F.concat(F.lit(" "), F.translate(words, _UPPER, _LOWER), F.lit(" "))
 
 
 def spaces(text: Column) -> Column:
@@ -95,9 +99,15 @@ def kept(found: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every document."""
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    texts = docs.select(F.col(doc_id).alias("doc"), body.alias("body"), normal(F.col(text)).alias("norm"))
-    gated = texts.where(reduce(Column.__or__, [F.contains(F.col("norm"), F.lit(g)) for g in gates()]))
-    found = durable(detections(gated, rules))
+    # As a plain filter, the lower-case text would be computed once for every gate word.
+    passed = F.exists(F.array(F.lower(F.coalesce(F.col(text), F.lit("")))),
+                      lambda n: reduce(Column.__or__, [F.contains(n, F.lit(g)) for g in gates()]))
+    texts = durable(
+        docs.select(F.col(doc_id).alias("doc"), body.alias("body"), words_only(F.col(text)).alias("w"), passed.alias("passed"))
+        .select("doc", "body", F.when(F.col("w") == "", 0).otherwise(spaces(F.col("w")) + 1).cast("long").alias("n_words"),
+                F.when(F.col("passed"), normal(F.col("w"))).alias("norm"))
+    )
+    found = durable(detections(texts.where(F.col("norm").isNotNull()).select("doc", "body", "norm"), rules))
     base = F.col("priority") == 0
     sure = F.lit(CONFIDENCE[2])
     for p, c in CONFIDENCE.items():
@@ -110,11 +120,10 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id",
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.max(sure).alias("score"),
     )
-    words = texts.select("doc", "body", F.greatest(spaces(F.col("norm")) - 1, F.lit(0)).cast("long").alias("n_words"),
-                         (F.col("norm") == "  ").alias("none"))
+    words = texts.select("doc", "body", "n_words")
     r = by_doc.withColumnsRenamed({"doc": "r_doc", "body": "r_body"})
     return words.join(r, F.col("doc").eqNullSafe(F.col("r_doc")) & (F.col("body") == F.col("r_body")), "left").select(
-        F.col("doc").alias(doc_id), F.when(F.col("none"), F.lit(0)).otherwise(F.col("n_words")).cast("long").alias("n_words"),
+        F.col("doc").alias(doc_id), "n_words",
         F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
