@@ -8,7 +8,7 @@ from tools.check import compare, connect
 
 REGISTRY = load_all()
 # Their planted effects need more rows than the smallest tables hold.
-NEEDS_ROWS = ("tree", "prj24", "bin3", "e2_crash_study")
+NEEDS_ROWS = ("tree", "prj24", "bin3", "e2_crash_study", "e2_saturated_study")
 
 
 @pytest.fixture(scope="module")

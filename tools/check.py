@@ -77,7 +77,7 @@ def main():
     parser.add_argument("prefixes", nargs="*")
     args = parser.parse_args()
     sf_dir = f"/root/testdata/sf{args.sf}"
-    spark, connection = local_session(8), connect(sf_dir)
+    spark, connection = local_session(int(os.environ.get("CORES", "8"))), connect(sf_dir)
     bad = 0
     for name, query in load_all().items():
         if args.prefixes and not name.startswith(tuple(args.prefixes)):
