@@ -318,6 +318,37 @@ def sel1(spark, sf_dir):
     )
 
 
+_FEW = (0, 0.5, 1.5, 100)
+_CRASH_VARIABLES = {v: _cut_sql(v, _FEW, binning.break_labels(_FEW)) for v in cs.VEHICLES} | {"Periodo": "Periodo", "Km_cat": "Km_cat"}
+
+
+@query(
+    "e2_screening",
+    f"""WITH {sq.FEATURES}, n AS (SELECT Periodo, KmDecimal AS km,
+      {", ".join(f"CASE WHEN regexp_full_match({v}, ' *[0-9]+ *') THEN CAST(trim({v}) AS DOUBLE) END AS {v}" for v in cs.VEHICLES)},
+      CAST(nullif(Gravemente_feridos_Mortos, '') AS INT) AS y FROM features),
+    t AS (SELECT *, {_cut_sql("km", cs.KM_BREAKS, cs.KM_LEVELS)} AS Km_cat FROM n),
+    {_evidence("t", "y", _CRASH_VARIABLES)},
+    iv AS (SELECT variable, sum(iv) AS iv FROM evidence GROUP BY variable)
+    SELECT variable, round(iv, 6) AS iv, CASE WHEN variable = 'Periodo' THEN 'business'
+        WHEN iv < 0.001 THEN 'weak' WHEN iv > 0.5 THEN 'suspicious' ELSE 'kept' END AS rule,
+      CASE WHEN variable = 'Periodo' THEN 1 WHEN iv < 0.001 OR iv > 0.5 THEN 0 ELSE 1 END AS kept,
+      (SELECT count(*) FROM t) AS n_rows FROM iv""",
+)
+def e2_screening(spark, sf_dir):
+    """The decision log of the crash features, and the rows its complete-case report covers."""
+    from riskframe.plans.screening import screen
+    from riskframe.session import durable
+
+    typed = plan.typed_features(durable(plan.feature_table(feed(spark, sf_dir))))
+    rows = typed.select(*cs.MODEL_COLUMNS)
+    found = screen(
+        rows, cs.CRASH_SPEC, keep=["Periodo"], breaks={v: list(_FEW) for v in cs.VEHICLES}, weak=0.001
+    )
+    covered = found.dropped.agg(F.sum("n")).first()[0]
+    return rounded(found.decisions.withColumn("n_rows", F.lit(covered)))
+
+
 # --- splits --------------------------------------------------------------------------
 
 _SPLIT = """
