@@ -42,8 +42,8 @@ from riskframe.llm.graph import components
 from riskframe.session import durable
 
 STRONG = 2
-BLOCK = 512
-PIVOTS = 64
+BLOCK = 1024
+PIVOTS = 16
 BLOCKED = ["home", "block", "class", "coarse", "n", "features"]
 LINK = "a long, b long"
 #: Signatures a task holds before it joins them and sends them on.
@@ -241,7 +241,9 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tup
     place = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]]))
     n = int(place[-1]) + 1 if len(place) else 0
     in_left = owner < len(left)
-    both = (np.bincount(place[in_left], minlength=n) > 0) & (np.bincount(place[~in_left], minlength=n) > 0)
+    # A set compared with its own block finds each of its shingles there; only shared ones can link two sets.
+    fewest = 1 if left is right else 0
+    both = (np.bincount(place[in_left], minlength=n) > fewest) & (np.bincount(place[~in_left], minlength=n) > 0)
     keep = both[place]
     column = (np.cumsum(both) - 1)[place[keep]]
     owner, total = owner[keep], int(both.sum())
