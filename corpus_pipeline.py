@@ -32,8 +32,11 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity is below the threshold."""
     index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic")
-    judged = toxicity.score(docs, index, docs.columns, out=("__toxicity", "__evidence"))
-    return judged.where(F.col("__toxicity") < TOXIC).select(*docs.columns)
+    # A score is a function of the text, so texts are dropped by their digest and not carried along.
+    plain = docs.select("text", F.sha2("text", 256).alias("__said"))
+    judged = toxicity.score(plain, index, ["__said"])
+    gone = durable(judged.where(F.col("score") >= TOXIC).select(F.col("__said").alias("__gone")).distinct())
+    return docs.join(small_if_counted(gone), F.sha2("text", 256) == F.col("__gone"), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,18 +1,21 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-The vector space is fitted once: the ``terms`` words that tell the classes of
-the labelled examples apart best, each weighted by its document frequency over
-*all* documents. The examples form an inverted index whose postings lie in
-blocks of examples with the largest weight of every term in every block. A
-document's bound for a block follows from these maxima; blocks are read from
-the highest bound on and skipped once the bound is below the document's k-th
-cosine, so the neighbours found are exact. Their votes, weighted by distance,
-are calibrated on the examples themselves (each without itself).
+The vector space has every word of every text, each weighted by its document
+frequency over *all* documents. The labelled examples form an inverted index of
+all their words: the ``COMMON`` words that most examples have lie in dense blocks
+of examples, with the largest weight of every word in every block, and all other
+words in postings. A document's products over the postings are added first; with
+the maxima they bound its products with a block, blocks are read from the highest
+bound on and skipped once the bound is below the document's k-th product, so the
+neighbours found are exact. A document's words that no example has only lengthen
+its vector: their frequencies are counted in hash buckets (``other_lengths``). The
+neighbours' votes, weighted by distance, are calibrated on the examples themselves
+(each without itself).
 
 At most ``per_class`` examples of either class are indexed (a parameter).
 
-Contract for unusual input: a null or empty text, or one without any of the
-terms, has no neighbour and gets the calibrated score of "no evidence"; labels
+Contract for unusual input: a null or empty text, or one without a word of the
+examples, has no neighbour and gets the calibrated score of "no evidence"; labels
 other than 0 and 1 and null ids take no part; without examples of both classes
 every score is the share of class 1 (0.5 without any); equally near examples
 are taken in index order; repeated rows are scored each; empty tables give no
@@ -21,10 +24,10 @@ rows; further columns of either table are ignored.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,31 +40,41 @@ from riskframe.llm.frames import (
 from riskframe.session import durable
 
 PER_CLASS = 3000
-TERMS = 512
+#: Words whose weights lie in dense blocks; all others have postings.
+COMMON = 1024
 NEIGHBOURS = 15
 EXAMPLES_IN_BLOCK = 64
-ROWS_AT_ONCE = 512
+ROWS_AT_ONCE = 256
+POSTINGS_AT_ONCE = 1 << 21
+#: Documents (a power of two) that ask for the frequencies of their other words together.
+ASK_BITS = 12
+
+
+def counted(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, key) pairs by row and key, and how often each occurs."""
+    order = np.lexsort((keys, rows))
+    rows, keys = rows[order], keys[order]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])
+    at = np.flatnonzero(new)
+    return rows[at], keys[at], np.diff(np.append(at, len(rows)))
 
 
 def term_counts(column: pa.Array, terms: np.ndarray):
-    """Per chunk: a matrix of the counts of the (sorted) terms in every text."""
-    seen = np.zeros(1 << 16, dtype=bool)
-    seen[terms >> np.uint64(48)] = True
+    """Per chunk: its rows, and of all rows the (row, place, count) of the (sorted) terms and (row, hash, count) of other words."""
     for t in words.tokens(column, words.WORDS_AND_MARKS):
-        likely = np.flatnonzero(seen[t.hashes >> np.uint64(48)])
-        at = np.minimum(np.searchsorted(terms, t.hashes[likely]), len(terms) - 1)
-        known = terms[at] == t.hashes[likely]
-        keys = np.sort(t.row_of()[likely[known]] * len(terms) + at[known])
-        for low in range(0, t.rows, ROWS_AT_ONCE):
-            high = min(low + ROWS_AT_ONCE, t.rows)
-            own = keys[np.searchsorted(keys // len(terms), low) : np.searchsorted(keys // len(terms), high)]
-            counts = np.bincount(own - low * len(terms), minlength=(high - low) * len(terms))
-            yield counts.reshape(high - low, len(terms))
+        at = np.searchsorted(terms, t.hashes)
+        known = np.zeros(len(at), dtype=bool)
+        inside = at < len(terms)
+        known[inside] = terms[at[inside]] == t.hashes[inside]
+        row = t.row_of()
+        pairs, n = np.unique(row[known] * max(len(terms), 1) + at[known], return_counts=True)
+        yield t.rows, (pairs // max(len(terms), 1), pairs % max(len(terms), 1), n), counted(row[~known], t.hashes[~known])
 
 
 @dataclass(frozen=True)
 class Index:
-    """Terms, their idf, and the examples' postings by block, with block maxima."""
+    """Words, their idf, and the examples' weights: common words by block, with block maxima, others in postings."""
 
     terms: np.ndarray
     idf: np.ndarray
@@ -72,84 +85,91 @@ class Index:
     slope: float
     offset: float
     nothing: float
-
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf
-        return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
-
-    def nearest(self, q: np.ndarray, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k best positive cosines of every row and their examples (-1: fewer)."""
-        n = len(q)
-        best, which = np.zeros((n, k)), np.full((n, k), -1)
+    #: Every word's column in the blocks, or -1: then its postings are starts[word]:starts[word + 1].
+    column: np.ndarray | None = None
+    starts: np.ndarray | None = None
+    members: np.ndarray | None = None
+    weights: np.ndarray | None = None
+
+    def nearest(self, q: np.ndarray, k: int, own: np.ndarray | None = None,
+                rest: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k best positive products of every row and their examples (-1: fewer).
+
+        ``q`` has the weights of the common words, ``rest`` the products over the others.
+        """
+        n, edges = len(q), np.cumsum([0, *(b.shape[1] for b in self.blocks)])
         bounds = q @ self.maxima.T
-        order = np.argsort(-bounds.max(axis=0, initial=0), kind="stable")
-        for b in order:
-            live = np.flatnonzero(bounds[:, b] > best[:, -1])
+        if rest is not None and len(self.blocks):
+            bounds += np.maximum.reduceat(rest, edges[:-1], axis=1)
+        found, top, least = np.zeros((n, edges[-1])), np.zeros((n, k)), np.zeros(n)
+        for b in np.argsort(-bounds.max(axis=0, initial=0), kind="stable"):
+            # A little below the k-th, so that rounding loses no equally near example.
+            live = np.flatnonzero(bounds[:, b] >= np.maximum(least * (1 - 1e-9), 1e-9))
             if not len(live):
                 continue
-            cosine = q[live] @ self.blocks[b]
-            at = b * EXAMPLES_IN_BLOCK + np.arange(cosine.shape[1])
+            product = (q if len(live) == n else q[live]) @ self.blocks[b]
+            if rest is not None:
+                product += rest[live, edges[b] : edges[b + 1]]
             if own is not None:
-                cosine[own[live][:, None] == at] = 0
-            both = np.concatenate([best[live], cosine], axis=1)
-            from_ = np.concatenate([which[live], np.broadcast_to(at, cosine.shape)], axis=1)
-            top = np.argsort(-both, axis=1, kind="stable")[:, :k]
-            best[live] = np.take_along_axis(both, top, axis=1)
-            which[live] = np.take_along_axis(from_, top, axis=1)
-        which[best <= 1e-9] = -1
+                product[own[live][:, None] == np.arange(edges[b], edges[b + 1])] = 0
+            found[live, edges[b] : edges[b + 1]] = product
+            better = product.max(axis=1) > least[live]
+            if better.any():
+                both = np.concatenate([top[live[better]], product[better]], axis=1)
+                top[live[better]] = np.partition(both, -k, axis=1)[:, -k:]
+                least[live[better]] = top[live[better]].min(axis=1)
+        row, at = np.nonzero((found >= least[:, None] * (1 - 1e-9)) & (found > 1e-9))
+        order = np.lexsort((at, -np.round(found[row, at], 9), row))
+        row, at = row[order], at[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best, which = np.zeros((n, k)), np.full((n, k), -1)
+        some = place < k
+        best[row[some], place[some]] = found[row[some], at[some]]
+        which[row[some], place[some]] = at[some]
         return best, which
 
+    def parts(self, n: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For ``nearest``: the rows' weights of common words, and their products over the other words' postings."""
+        q, rest = np.zeros((n, self.maxima.shape[1])), np.zeros(n * len(self.labels))
+        column = self.column[term]
+        common = column >= 0
+        q[row[common], column[common]] = weight[common]
+        row, term, weight = row[~common], term[~common], weight[~common]
+        size = self.starts[term + 1] - self.starts[term]
+        ends = np.cumsum(size)
+        low = 0
+        while low < len(row):
+            before = ends[low] - size[low]
+            high = max(low + 1, int(np.searchsorted(ends, before + POSTINGS_AT_ONCE, side="right")))
+            own = size[low:high]
+            at = np.arange(own.sum()) + np.repeat(self.starts[term[low:high]] - (ends[low:high] - own - before), own)
+            cell = np.repeat(row[low:high] * len(self.labels), own) + self.members[at]
+            rest += np.bincount(cell, weights=np.repeat(weight[low:high], own) * self.weights[at], minlength=len(rest))
+            low = high
+        return q, rest.reshape(n, len(self.labels))
+
     def votes(self, best: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Share of the votes for class 1, and whether there is any; a vote weighs more the nearer it is."""
         weight = np.where(which >= 0, 1 / (1.02 - np.minimum(best, 1)), 0)
         total = weight.sum(axis=1)
         return (weight * self.labels[which]).sum(axis=1) / np.maximum(total, 1e-12), total > 0
 
-    def score(self, column: pa.Array, k: int) -> tuple[np.ndarray, list]:
-        scores, evidence = [], []
-        for counts in term_counts(column, self.terms):
-            best, which = self.nearest(self.vectors(counts), k)
-            share, some = self.votes(best, which)
-            scores.append(np.where(some, logistic(self.slope * (share - 0.5) + self.offset), self.nothing))
-            for b, w in zip(best[:, :3], which[:, :3], strict=True):
-                evidence.append([
-                    {"doc_id": int(self.ids[i]), "label": int(self.labels[i]), "cosine": float(c)}
-                    for c, i in zip(b, w, strict=True) if i >= 0
-                ])
-        return np.concatenate(scores) if scores else np.zeros(0), evidence
+    def products(self, column: pa.Array, k: int):
+        """Per chunk: the texts' k best products and their examples, squared length over known words, other words."""
+        for rows, (row, term, count), other in term_counts(column, self.terms):
+            weight = (1 + np.log(count)) * self.idf[term]
+            length = np.bincount(row, weights=weight * weight, minlength=rows)
+            best, which = np.zeros((rows, k)), np.full((rows, k), -1)
+            for low in range(0, rows if self.blocks else 0, ROWS_AT_ONCE):
+                high = min(low + ROWS_AT_ONCE, rows)
+                own = slice(*np.searchsorted(row, [low, high]))
+                q, rest = self.parts(high - low, row[own] - low, term[own], weight[own])
+                best[low:high], which[low:high] = self.nearest(q, k, rest=rest)
+            yield best, which, length, other
 
 
 EVIDENCE = "array<struct<doc_id:long,label:int,cosine:double>>"
-
-
-def significant(tests: int, level: float = 0.01) -> float:
-    """The chi-square (one degree of freedom) that is significant at ``level`` among so many tests."""
-    low, high = 0.0, 1000.0
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) > level / max(tests, 1) else (low, middle)
-    return high
-
-
-def chosen_terms(rows: list[np.ndarray], y: np.ndarray, terms: int) -> np.ndarray:
-    """At most ``terms`` words with the largest chi-square between presence and class.
-
-    Only words whose chi-square is significant among all words tested, if there
-    are any: others would move documents apart that differ by chance.
-    """
-    found, at = np.unique(np.concatenate(rows), return_inverse=True)
-    label = np.repeat(y, [len(r) for r in rows])
-    a = np.bincount(at[label == 1], minlength=len(found)).astype(float)
-    b = np.bincount(at[label == 0], minlength=len(found)).astype(float)
-    n1, n0 = (y == 1).sum(), (y == 0).sum()
-    n, present = n0 + n1, a + b
-    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(present * (n - present) * n1 * n0, 1e-9)
-    chi[present < 3] = 0
-    sure = chi >= significant(int((present >= 3).sum()))
-    if sure.any():
-        chi[~sure] = 0
-    best = np.lexsort((found, -chi))[:terms]
-    return np.sort(found[best[chi[best] > 0]])
+OTHER = np.dtype([("hash", np.uint64), ("count", np.float64)])
 
 
 def document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -158,16 +178,20 @@ def document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[n
     def run(batches):
         count = np.zeros(len(terms) + 1)
         for batch in batches:
-            for counts in term_counts(batch.column(0), terms):
-                count[:-1] += (counts > 0).sum(axis=0)
-                count[-1] += len(counts)
+            for rows, (_, term, _), _ in term_counts(batch.column(0), terms):
+                count[:-1] += np.bincount(term, minlength=len(terms))
+                count[-1] += rows
         yield from table_rows(count)
 
     total = summed(docs.select(text).mapInArrow(run, TABLE_SCHEMA), len(terms) + 1)
     return total[:-1], int(total[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS, terms: int = TERMS,
+def inverse(df: np.ndarray, n: int) -> np.ndarray:
+    return np.log((1 + n) / (1 + df)) + 1
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS,
         k: int = NEIGHBOURS, doc_id: str = "doc_id", text: str = "text") -> Index:
     """The index of a bounded sample of labelled examples, weighted by the whole corpus."""
     sample, all_labels = labelled_sample(labels, doc_id, label, per_class)
@@ -182,45 +206,161 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLA
     found = map_column(texts.withColumn(doc_id, F.col(doc_id).cast("long")), text, [doc_id, "label"],
                        [("words", T.BinaryType())], words_of)
     rows = sorted((r[0], r[1], bytes(r[2])) for r in found.toLocalIterator())
-    y = np.array([r[1] for r in rows], dtype=np.int64)
+    y, ids = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 0))
     said = [np.frombuffer(r[2], np.uint64) for r in rows]
     total = sum(all_labels.values())
     share = all_labels[1] / total if total else 0.5
-    chosen = chosen_terms([np.unique(x) for x in said], y, terms) if len(set(y)) == 2 else np.zeros(0, np.uint64)
-    if not len(chosen):
-        return Index(np.array([1], np.uint64), np.zeros(1), [], np.zeros((0, 1)), np.zeros(1), np.zeros(1), 0.0, 0.0, share)
-    df, n = document_frequency(docs, text, chosen)
-    idf = np.log((1 + n) / (1 + df)) + 1
-    counts = np.stack([
-        np.bincount(np.searchsorted(chosen, x[np.isin(x, chosen)]), minlength=len(chosen)) for x in said
-    ])
-    blank = Index(chosen, idf, [], np.zeros((0, len(chosen))), y, np.array([r[0] for r in rows]), 0.0, 0.0, share)
-    x = blank.vectors(counts)
-    # Examples with the same leading term share blocks, which keeps the maxima low.
+    terms, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *said]), return_inverse=True)
+    if len(set(y)) < 2 or not len(terms):
+        return Index(terms[:0], np.zeros(0), [], np.zeros((0, 0)), np.zeros(0, np.int64), ids[:0], 0.0, 0.0, share)
+    df, n = document_frequency(docs, text, terms)
+    idf = inverse(df, n)
+    row, term, count = counted(np.repeat(np.arange(len(y)), [len(x) for x in said]), at)
+    weight = (1 + np.log(count)) * idf[term]
+    weight /= np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(y)))[row]
+    held = np.bincount(term, minlength=len(terms))
+    common = np.lexsort((terms, -held))[:COMMON]
+    column = np.full(len(terms), -1)
+    column[common] = np.arange(len(common))
+    x = np.zeros((len(y), len(common)))
+    dense = column[term] >= 0
+    x[row[dense], column[term[dense]]] = weight[dense]
+    # Examples with the same leading common word share blocks, which keeps the maxima low.
     order = np.lexsort((y, x.argmax(axis=1)))
-    x, y, ids = x[order], y[order], blank.ids[order]
+    place = np.argsort(order)
+    x, y, ids, row = x[order], y[order], ids[order], place[row]
+    by_term = np.lexsort((row[~dense], term[~dense]))
+    starts = np.searchsorted(term[~dense][by_term], np.arange(len(terms) + 1))
     blocks = [x[i : i + EXAMPLES_IN_BLOCK].T.copy() for i in range(0, len(x), EXAMPLES_IN_BLOCK)]
-    index = Index(chosen, idf, blocks, np.stack([b.max(axis=1) for b in blocks]), y, ids, 0.0, 0.0, share)
-    votes, some = index.votes(*index.nearest(x, k, np.arange(len(x))))
+    index = Index(terms, idf, blocks, np.stack([b.max(axis=1) for b in blocks]), y, ids, 0.0, 0.0, share,
+                  column, starts, row[~dense][by_term].astype(np.int32), weight[~dense][by_term])
+    by_row = np.argsort(row, kind="stable")
+    row, term, weight = row[by_row], term[by_row], weight[by_row]
+    best, which = np.zeros((len(y), k)), np.full((len(y), k), -1)
+    for low in range(0, len(y), ROWS_AT_ONCE):
+        high = min(low + ROWS_AT_ONCE, len(y))
+        own = slice(*np.searchsorted(row, [low, high]))
+        q, rest = index.parts(high - low, row[own] - low, term[own], weight[own])
+        best[low:high], which[low:high] = index.nearest(q, k, np.arange(low, high), rest)
+    votes, some = index.votes(best, which)
     weight = np.array([all_labels[c] / max((y == c).sum(), 1) for c in (0, 1)])[y] / total * len(y)
     slope, offset = platt(votes[some] - 0.5, y[some], weight[some]) if some.any() else (0.0, 0.0)
     none = ~some
     nothing = float(((weight * y)[none].sum() + share) / (weight[none].sum() + 1))
-    return Index(chosen, idf, blocks, index.maxima, y, ids, slope, offset, nothing)
+    return replace(index, slope=slope, offset=offset, nothing=nothing)
+
+
+def other_lengths(found: DataFrame) -> DataFrame:
+    """(row, other_length): squared length of every document over the words that no example has.
+
+    Blocks of documents send each bucket of hashes their distinct words once, with the number of
+    their documents that have it, and get the sums over all blocks back; so a word in every
+    document makes one entry a block.
+    """
+    size = OTHER.itemsize
+    n, entries = found.agg(F.count("*"), F.sum(F.length("other"))).first()
+    buckets = max(4, int((entries or 0) // size) >> 19)
+
+    def ask(batches):
+        for batch in batches:
+            block = batch.column(1).to_numpy() >> ASK_BITS
+            pieces = [np.frombuffer(x.as_py(), OTHER)["hash"] for x in batch.column(0)]
+            own, keys, count = counted(np.repeat(block, [len(p) for p in pieces]), np.concatenate([np.zeros(0, np.uint64), *pieces]))
+            # All bits of a word's hash are mixed; the low ones name its bucket.
+            bucket = (keys % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((own, bucket))
+            own, keys, count, bucket = own[order], keys[order], count[order], bucket[order]
+            new = np.ones(len(own), dtype=bool)
+            new[1:] = (own[1:] != own[:-1]) | (bucket[1:] != bucket[:-1])
+            cut = np.flatnonzero(new)
+            spans = list(zip(cut, np.append(cut[1:], len(own)), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cut].astype(np.int32)), pa.array(own[cut]),
+                 pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+                 pa.array([count[a:b].astype(np.int64).tobytes() for a, b in spans], pa.binary())],
+                names=["bucket", "block", "keys", "counts"],
+            )
+
+    def answer(asked: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(b, np.uint64) for b in asked["keys"]]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        df = np.bincount(at, weights=np.concatenate([np.frombuffer(b, np.int64) for b in asked["counts"]]))[at]
+        cut = np.cumsum([0, *(len(x) for x in keys)])
+        return pd.DataFrame({"block": asked["block"], "keys": asked["keys"],
+                             "df": [df[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]})
+
+    def lengths(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        keys, first = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(b, np.uint64) for b in known["keys"])]),
+                                return_index=True)
+        df = np.concatenate([np.zeros(0), *(np.frombuffer(b) for b in known["df"])])[first]
+        own = [np.frombuffer(b, OTHER) for b in docs["other"]]
+        said = np.concatenate([np.zeros(0, OTHER), *own])
+        weight = (1 + np.log(said["count"])) * inverse(df[np.searchsorted(keys, said["hash"])], n)
+        place = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        return pd.DataFrame({"row": docs["row"], "other_length": np.bincount(place, weights=weight * weight, minlength=len(own))})
+
+    some = found.where(F.length("other") > 0).select("other", "row")
+    answers = (
+        some.mapInArrow(ask, "bucket int, block long, keys binary, counts binary")
+        .groupBy("bucket").applyInPandas(answer, "block long, keys binary, df binary")
+    )
+    return (
+        some.select(F.col("row").alias("row"), F.col("other").alias("other"), F.shiftright("row", ASK_BITS).alias("block"))
+        .groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lengths, "row long, other_length double")
+    )
 
 
 def score(docs: DataFrame, index: Index, keep: list[str], k: int = NEIGHBOURS, text: str = "text",
           out: tuple[str, str] = ("score", "evidence")) -> DataFrame:
-    """(keep..., score, evidence): calibrated probability of class 1 and the three nearest examples."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * per_class rows of ``terms`` weights
-    kind = T._parse_datatype_string(EVIDENCE)
+    """(keep..., score, evidence): calibrated probability of class 1 and the three nearest examples.
 
-    def make(column: pa.Array) -> list:
-        scores, evidence = shared.value.score(column, k)
-        fields = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
-        return [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(fields))]
+    ``docs`` are all the documents of ``fit``; what is kept of them is stored, so keep narrow columns.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * per_class examples, all their words
+    light = docs.sparkSession.sparkContext.broadcast(
+        replace(index, terms=None, idf=None, blocks=[], maxima=None, column=None, starts=None, members=None, weights=None)
+    )
+    kind = T._parse_datatype_string(EVIDENCE)
 
-    return map_column(docs, text, keep, [(out[0], T.DoubleType()), (out[1], kind)], make)
+    def neighbours(column: pa.Array) -> list:
+        best, which, length, other = [], [], [], []
+        for b, w, own, (row, key, count) in shared.value.products(column, k):
+            best += [x.tobytes() for x in b]
+            which += [x.tobytes() for x in w.astype(np.int32)]
+            length.append(own)
+            said = np.empty(len(row), OTHER)
+            said["hash"], said["count"] = key, count
+            cut = np.searchsorted(row, np.arange(len(own) + 1))
+            other += [said[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        return [pa.array(best, pa.binary()), pa.array(which, pa.binary()),
+                pa.array(np.concatenate(length) if length else np.zeros(0), pa.float64()), pa.array(other, pa.binary())]
+
+    def judge(batches):
+        own = light.value
+        for batch in batches:
+            best, which, length = batch.column(0), batch.column(1), batch.column(2).to_numpy()
+            best = np.frombuffer(b"".join(best.to_pylist())).reshape(len(batch), k)
+            which = np.frombuffer(b"".join(which.to_pylist()), np.int32).reshape(len(batch), k)
+            best = np.minimum(best / np.sqrt(np.maximum(length, 1e-300))[:, None], 1)
+            share, some = own.votes(best, which) if len(own.labels) else (np.zeros(len(batch)), np.zeros(len(batch), bool))
+            scores = np.where(some, logistic(own.slope * (share - 0.5) + own.offset), own.nothing)
+            evidence = [
+                [{"doc_id": int(own.ids[i]), "label": int(own.labels[i]), "cosine": float(c)} for c, i in zip(b, w, strict=True) if i >= 0]
+                for b, w in zip(best[:, :3], which[:, :3], strict=True)
+            ]
+            fields = pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[3:] + [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(fields))], names=[*keep, *out],
+            )
+
+    made = [("best", T.BinaryType()), ("which", T.BinaryType()), ("length", T.DoubleType()), ("other", T.BinaryType())]
+    plain = [f"kept_{i}" for i in range(len(keep))]
+    renamed = docs.select(F.col(text).alias("text"), *[F.col(c).alias(p) for c, p in zip(keep, plain, strict=True)])
+    found = durable(map_column(renamed, "text", plain, made, neighbours)).withColumn("row", F.monotonically_increasing_id())
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(out[0], T.DoubleType()), T.StructField(out[1], kind)])
+    return found.drop("other").join(other_lengths(found), "row", "left").select(
+        "best", "which", (F.col("length") + F.coalesce("other_length", F.lit(0.0))).alias("length"), *plain,
+    ).mapInArrow(judge, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held: int = 1,

@@ -1,9 +1,12 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import documents, labels
+from helpers import LOWER, documents, labels
 
 from riskframe.llm import quality, toxicity
 
@@ -84,6 +87,42 @@ def test_neighbours_equal_brute_force():
     assert (best[~found] <= 1e-9).all()
 
 
+def cosines_by_hand(rows, examples):
+    """Per row: the cosines to all examples that have a word in common with it, over all words of all texts."""
+    said = [Counter(re.findall(r"[0-9a-z\x80-\U0010ffff]+|[^\x00-\x20\x7f0-9a-z\x80-\U0010ffff]+", (t or "").translate(LOWER))) for _, t in rows]
+    df = Counter(w for c in said for w in c)
+    idf = {w: math.log((1 + len(rows)) / (1 + n)) + 1 for w, n in df.items()}
+    x = [{w: (1 + math.log(n)) * idf[w] for w, n in c.items()} for c in said]
+    length = [math.sqrt(sum(v * v for v in r.values())) for r in x]
+    out = []
+    for r, size in zip(x, length, strict=True):
+        both = {j: sum(v * x[j][w] for w, v in r.items() if w in x[j]) for j in examples}
+        out.append({j: v / (size * length[j]) for j, v in both.items() if v})
+    return out
+
+
+@pytest.mark.parametrize("common", [8, 1024])
+def test_query_neighbours_equal_brute_force_over_all_words(spark, monkeypatch, common):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "ASK_BITS", 3)
+    monkeypatch.setattr(toxicity, "EXAMPLES_IN_BLOCK", 8)
+    rng = np.random.default_rng(8)
+    # No word tells the classes apart; many words have one or two texts.
+    rows = [(i, " ".join([f"w{int(w)}" for w in rng.zipf(1.3, rng.integers(3, 60)) if w < 10_000] + ["the", f"Own{i}", f"pair{i // 2}!"]))
+            for i in range(160)]
+    rows += [(160 + i, rows[i][1] + " zebra") for i in range(12)] + [(172, ""), (173, None), (174, "nowhere else")]
+    marks = [(i, i % 3 == 0) for i in range(160)]
+    examples = [i for i in range(160) if crc(i, 3) != 1]
+    got = {r["doc_id"]: r for r in toxicity.classify(documents(spark, rows), labels(spark, [(i, int(y)) for i, y in marks], "toxic")).collect()}
+    assert len(got) == len(rows)
+    for (i, _), want in zip(rows, cosines_by_hand(rows, examples), strict=True):
+        found = got[i]["evidence"]
+        best = sorted(want.values(), reverse=True)[:3]
+        assert np.allclose([e["cosine"] for e in found], best)
+        assert all(np.isclose(want[e["doc_id"]], e["cosine"]) and e["label"] == int(e["doc_id"] % 3 == 0) for e in found)
+    assert not got[174]["evidence"]
+
+
 def test_dual_descent_reaches_the_hinge_loss_optimum():
     rng = np.random.default_rng(2)
     rows = [np.unique(rng.integers(100, 140, 12)) for _ in range(120)]
