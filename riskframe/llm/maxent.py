@@ -6,7 +6,8 @@
 2. The ``MODEL`` most frequent words are clustered by the words they follow, over
    all training bigrams; the end of a text is a class, and the other words form
    four classes by their form. P(word | history) = P(class | history) *
-   P(word | class), the latter by smoothed counts.
+   P(word | class). The latter is the word's smoothed share of the class's count
+   and is not learnt: it does not depend on the history.
 3. P(class | history) is a log-linear model over n-gram and skip features of the
    last three words, in a hashed table. Tasks run gradient steps over their part of
    the corpus; their tables are averaged, each row by how often a task met it.
