@@ -1,12 +1,9 @@
-import math
-import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import LOWER, documents, labels
+from helpers import cosines_by_hand, documents, labels
 
 from riskframe.llm import quality, toxicity
 
@@ -87,20 +84,6 @@ def test_neighbours_equal_brute_force():
     assert (best[~found] <= 1e-9).all()
 
 
-def cosines_by_hand(rows, examples):
-    """Per row: the cosines to all examples that have a word in common with it, over all words of all texts."""
-    said = [Counter(re.findall(r"[0-9a-z\x80-\U0010ffff]+|[^\x00-\x20\x7f0-9a-z\x80-\U0010ffff]+", (t or "").translate(LOWER))) for _, t in rows]
-    df = Counter(w for c in said for w in c)
-    idf = {w: math.log((1 + len(rows)) / (1 + n)) + 1 for w, n in df.items()}
-    x = [{w: (1 + math.log(n)) * idf[w] for w, n in c.items()} for c in said]
-    length = [math.sqrt(sum(v * v for v in r.values())) for r in x]
-    out = []
-    for r, size in zip(x, length, strict=True):
-        both = {j: sum(v * x[j][w] for w, v in r.items() if w in x[j]) for j in examples}
-        out.append({j: v / (size * length[j]) for j, v in both.items() if v})
-    return out
-
-
 @pytest.mark.parametrize("common", [8, 1024])
 def test_query_neighbours_equal_brute_force_over_all_words(spark, monkeypatch, common):
     monkeypatch.setattr(toxicity, "COMMON", common)

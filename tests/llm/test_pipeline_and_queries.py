@@ -3,12 +3,14 @@
 import os
 
 import corpus_pipeline
+import numpy as np
 import pytest
-from helpers import components, shingles
+from helpers import components, cosines_by_hand, documents, labels, shingles
 from pyspark.sql import functions as F
 from test_texts import lines_left
 
-from riskframe.llm import workload
+from riskframe.llm import toxicity, workload
+from riskframe.llm.frames import platt
 from tools.check import compare, connect
 
 SF001 = "/root/testdata/sf0.001"
@@ -82,6 +84,50 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert {r["doc_id"] for r in last.collect()} == want
 
 
+def toxic_scores_by_hand(rows, marks):
+    """Calibrated score of every row from all cosines; all labels are examples."""
+    mean = sum(marks.values()) / len(marks)
+
+    def share(cosines):
+        near = sorted(cosines.items(), key=lambda p: -round(p[1], 9))[: toxicity.NEIGHBOURS]
+        votes = [(1 / (1.02 - min(c, 1)), marks[j]) for j, c in near]
+        return sum(v * y for v, y in votes) / sum(v for v, _ in votes) if votes else None
+
+    found = cosines_by_hand(rows, list(marks))
+    place = {i: n for n, (i, _) in enumerate(rows)}
+    own = {i: share({j: c for j, c in found[place[i]].items() if j != i}) for i in marks}
+    some = [i for i in marks if own[i] is not None]
+    y = np.array([marks[i] for i in some])
+    slope, offset = platt(np.array([own[i] for i in some]) - 0.5, y, np.ones(len(y)))
+    none = [marks[i] for i in marks if own[i] is None]
+    nothing = (sum(none) + mean) / (len(none) + 1)
+    shares = [share(c) for c in found]
+    return [nothing if s is None else 1 / (1 + np.exp(-(slope * (s - 0.5) + offset))) for s in shares]
+
+
+def test_toxicity_stage_equals_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows, marks = [], {}
+    for i in range(120):
+        words = [f"w{n}" for n in rng.integers(0, 300, rng.integers(8, 40))] + [f"own{i}"]
+        marks[i] = int(i % 4 == 0)
+        rows.append((i, " ".join(words + ["vile", "scum", "vermin"] * 4 * marks[i])))
+    # Copies and near copies of toxic and of clean examples, and texts without evidence.
+    rows += [(200 + i, rows[i][1]) for i in range(16)] + [(300 + i, rows[i][1] + " more") for i in range(16)]
+    rows += [(400, "unheard of"), (401, ""), (402, None), (None, rows[1][1])]
+    folder = str(tmp_path)
+    labels(spark, list(marks.items()), "toxic").write.parquet(os.path.join(folder, "labels.parquet"))
+    docs = documents(spark, rows)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_toxic(spark, docs, folder).collect()]
+    by_hand = toxic_scores_by_hand(rows, marks)
+    assert min(abs(s - corpus_pipeline.TOXIC) for s in by_hand) > 1e-6
+    want = [r for r, s in zip(rows, by_hand, strict=True) if s < corpus_pipeline.TOXIC]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+    gone = {i for i, _ in rows} - {i for i, _ in kept}
+    assert {200, 204, 208, 300, 304} <= gone
+    assert not gone & {201, 202, 301, 302, 400, 401, 402, None}
+
+
 def test_pipeline_on_unusual_rows_and_an_empty_table(spark, tmp_path):
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
     bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
