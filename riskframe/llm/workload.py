@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, quality, toxicity, urls
+from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, quality, tokencounts, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,6 +149,12 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencounts.count_tokens(docs, JSON, public_tokenizers.PATTERN, keep=["doc_id"])
+
+
 QUERIES = {
     "op1_quality_nbsvm": op1_quality_nbsvm,
     "op2_toxicity_nearest": op2_toxicity_nearest,
@@ -159,5 +166,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
     "op10_lm_maxent": op10_lm_maxent,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
