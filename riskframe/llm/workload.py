@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, quality, tokencounts, toxicity, urls
+from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, periodic, quality, tokencounts, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,7 +55,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A-Z to a-z and nothing else; words are runs of anything but ASCII white space.
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED_WORDS = (
-    "list_filter(regexp_split_to_array(" + LOWER + ", '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+    "list_filter(regexp_split_to_array(" + LOWER + ", '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 )
 
 
@@ -150,6 +150,80 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of every tenth document, by its id's checksum, repeat with a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")
+
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t-\r]+"), lambda x: x != "")
+    # Bound to a lambda's variable, the words are made once for each text.
+    rewritten = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise("")), 0)
+    return docs.select("doc_id", F.when(h % 10 == 0, rewritten).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(planted(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    best = F.aggregate(
+        "runs", F.get("runs", 0), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b)
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+#: crc32 byte by byte; its table is made by the rule.
+OP11_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+  FROM documents, crc
+), n AS (SELECT *, len(w) AS n, h // 10 AS g FROM d
+), o AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a,
+    CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM n
+), x AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+    ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM o
+), e AS MATERIALIZED (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x
+), pairs AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i FROM e a JOIN e b
+  ON a.doc_id = b.doc_id AND a.word = b.word AND a.i < b.i AND 4 * (b.i - a.i) <= a.n
+), stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM pairs) GROUP BY doc_id, q, isle
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (
+  SELECT * FROM stretches a WHERE NOT EXISTS (SELECT 1 FROM stretches b WHERE b.doc_id = a.doc_id AND b.q < a.q
+    AND a.q % b.q = 0 AND b.s <= a.s AND b.s + b.l >= a.s + a.l)
+), told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS said FROM runs GROUP BY doc_id
+), best AS (
+  SELECT * FROM runs a WHERE NOT EXISTS (SELECT 1 FROM runs b WHERE b.doc_id = a.doc_id AND (b.l * a.q > a.l * b.q
+    OR (b.l * a.q = a.l * b.q AND (b.s < a.s OR (b.s = a.s AND b.q < a.q)))))
+), gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS said FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT x.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli,
+  sha256(coalesce(told.said, '')) AS runs_sha256, sha256(coalesce(kept.said, '')) AS collapsed_sha256
+FROM x LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencounts.count_tokens(docs, JSON, public_tokenizers.PATTERN, keep=["doc_id"])
@@ -166,6 +240,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_kdtree_top_k": op9_kdtree_top_k,
     "op10_lm_maxent": op10_lm_maxent,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_token_counts": op13_token_counts,
 }
-ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL}
+ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL,
+              "op11_periodic_runs": OP11_SQL}
