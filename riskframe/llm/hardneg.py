@@ -50,6 +50,8 @@ _FOUND = "aid long, w int, vec_id long, score long"
 
 def trained(halves: np.ndarray, k: int) -> np.ndarray:
     """Codewords of some half vectors: Lloyd's rounds from the first k distinct ones."""
+    if not halves.size:  # an empty table, or the empty half of a single component
+        return np.zeros((1, halves.shape[1]))
     _, first = np.unique(halves, axis=0, return_index=True)
     words = halves[np.sort(first)[:k]].astype(np.float64)
     for _ in range(ROUNDS):
@@ -58,7 +60,9 @@ def trained(halves: np.ndarray, k: int) -> np.ndarray:
         total = np.zeros_like(words)
         np.add.at(total, near, halves)
         words = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], words)
-    return words
+    # In order along their main axis, so that cells that follow each other, and share a shard, are near.
+    axis = np.linalg.svd(words - words.mean(axis=0), full_matrices=False)[2][0]
+    return words[np.argsort(words @ axis, kind="stable")]
 
 
 def nearest(halves: np.ndarray, words: np.ndarray) -> np.ndarray:

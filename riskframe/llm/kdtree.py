@@ -73,7 +73,7 @@ class Tree:
             yield scores, ids
 
 
-def _exact(*matrices: np.ndarray) -> type:
+def exact_kind(*matrices: np.ndarray) -> type:
     """Doubles hold every product and sum here exactly, unless components are huge."""
     largest = max(float(np.abs(m).max(initial=0)) for m in matrices)
     bound = largest * largest * matrices[0].shape[1]
@@ -85,7 +85,7 @@ def _pair(k: int):
         rows = []
         if len(shard) and len(queries):
             x, q = np.stack(shard["x"].to_numpy()), np.stack(queries["x"].to_numpy())
-            kind = _exact(x, q)
+            kind = exact_kind(x, q)
             tree = Tree(shard["vec_id"].to_numpy(), x.astype(kind))
             own = queries["vec_id"].to_numpy()
             floor = queries["floor"].to_numpy().astype(kind)
@@ -96,14 +96,15 @@ def _pair(k: int):
     return run
 
 
-def integer_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, x): floor(256 * component) of every usable vector."""
+def integer_vectors(df: DataFrame, vec_id: str, vector: str, *more: Column) -> DataFrame:
+    """(vec_id, x, more...): floor(256 * component) of every usable vector."""
     sound = (F.size(vector) > 0) & F.forall(
         vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float("inf")))
     )
     return df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & sound).select(
         F.col(vec_id).cast("long").alias("vec_id"),
         F.transform(vector, lambda c: F.floor(F.lit(256.0) * c.cast("double")).cast("long")).alias("x"),
+        *more,
     )
 
 

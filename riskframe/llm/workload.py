@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, decontaminate, kdtree, licenses, linedup, maxent, partenum, periodic, quality, tokencounts, toxicity, urls
+from riskframe.llm import bpe, decontaminate, hardneg, kdtree, licenses, linedup, maxent, partenum, periodic, quality, tokencounts, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -224,6 +224,35 @@ FROM x LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kep
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+OP12_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id AND len(a.x) = len(v.x)
+  WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+  WHERE place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencounts.count_tokens(docs, JSON, public_tokenizers.PATTERN, keep=["doc_id"])
@@ -241,7 +270,8 @@ QUERIES = {
     "op9_kdtree_top_k": op9_kdtree_top_k,
     "op10_lm_maxent": op10_lm_maxent,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op6_ngram_jaccard": OP6_SQL, "op8_decontamination": OP8_SQL, "op9_kdtree_top_k": OP9_SQL,
-              "op11_periodic_runs": OP11_SQL}
+              "op11_periodic_runs": OP11_SQL, "op12_hard_negatives": OP12_SQL}
