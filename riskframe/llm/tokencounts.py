@@ -50,6 +50,13 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _PARTS = "part int, names string, ends binary, counts binary"
 
 
+def _letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if it prints, else one from U+0100 on, in order."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Splitter:
     """How one tokenizer file cuts a text: special tokens first, then pre-tokens."""
 
@@ -62,11 +69,16 @@ class Splitter:
         names = sorted((a.content for a in kinds), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
         self.pattern = regex.compile(pattern)
+        self.letters = _letters()
 
     def encoded(self, texts: list[str]) -> list[int]:
         """The library's own counts."""
         return [len(e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def length(self, piece: str) -> int:
+        """Tokens of one pre-token, by the library's merges alone."""
+        return len(self.library.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
+
     def pieces(self, text: str) -> Iterator[list[str]]:
         """Lists of consecutive pre-tokens of a text without special tokens."""
         at = 0
@@ -193,7 +205,7 @@ class Lengths(dict):
         self.table = names, ends, lengths
 
     def __missing__(self, piece: str) -> int:
-        n = self.splitter.encoded([piece])[0]
+        n = self.splitter.length(piece)
         if len(piece) <= LONGEST:
             if len(self) >= self.most:
                 self.clear()
