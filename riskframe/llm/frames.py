@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,15 @@ def small_if_counted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints of frames that are no longer used.
+
+    It does so once the JVM has collected them, which a driver with a large heap seldom does by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def renewed(df: DataFrame) -> DataFrame:
     """``df`` with columns of its own, for a cogroup with a frame of the same origin."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.frames import released
 from riskframe.session import durable
 
 
@@ -16,8 +17,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node each node of an edge (a, b) can reach.
 
     Both stars aggregate the minimum before they join it back, so a node with
-    very many neighbours is merged map-side. Each round is checkpointed; the
-    number of rounds grows with the logarithm of the longest path.
+    very many neighbours is merged map-side. Each round is checkpointed and the
+    files of the one before are let go; the number of rounds grows with the
+    logarithm of the longest path.
     """
     pairs = durable(
         edges.where(F.col("a") != F.col("b"))
@@ -39,6 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
+        del both, large, small
+        released(edges.sparkSession)
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))
     ).distinct()

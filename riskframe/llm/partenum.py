@@ -8,10 +8,14 @@
    one group at least. Spare groups let signatures over fewer than ``STRONG``
    shingles be left out without losing a pair; a class with too many weak
    groups emits all of them.
-3. Classes that share a signature are candidates. A task first joins its own
-   classes under a signature into a star and sends one of them on, so that a
-   signature meets at most one row per task and never all pairs.
-4. Candidate stars give candidate components. Inside these, sets are compared
+3. Classes that share a signature are looked at closer: each has its size and a
+   parity sketch, a bit for every bucket of shingles that says whether it holds an
+   odd number of them. Two sketches differ in at most as many bits as the sets
+   differ in shingles, so a pair beyond the allowed difference is ruled out and
+   no similar pair is. Only signatures that several classes share are kept, and
+   the sketches go to them by a join. What passes is joined into trees: a
+   signature never yields all its pairs.
+4. Candidate trees give candidate components. Inside these, sets are compared
    exactly, in blocks of bounded size. A component larger than a block has blocks
    by size: its members meet their own block and ``PIVOTS`` members first, and
    only those not yet joined to its largest part meet the other blocks whose
@@ -20,9 +24,8 @@
 
 Contract for unusual input: null texts and texts without words have an empty
 set and link with nothing; a text of fewer words than a shingle is one shingle;
-rows with a null id are left out; rows that repeat an id count as one document
-whose set is that of its smallest class; empty tables give no rows; further
-columns are ignored.
+rows with a null id are left out; rows that repeat an id count each, with their
+own sets; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.llm import words
-from riskframe.llm.frames import renewed, small_if_counted
+from riskframe.llm.frames import released, renewed, small_if_counted
 from riskframe.llm.graph import components
 from riskframe.session import durable
 
@@ -46,10 +49,14 @@ BLOCK = 1024
 PIVOTS = 16
 BLOCKED = ["home", "block", "class", "coarse", "n", "features"]
 LINK = "a long, b long"
-#: Signatures a task holds before it joins them and sends them on.
+#: Bits of a sketch at least; larger sets have a bit for every two shingles.
+SKETCH = 512
+#: Groups of at most so many classes are compared all at once.
+FEW = 16
+#: Signatures a task holds before it sends them on.
 HELD = 1 << 21
 #: About so many shingles, and hardly more signatures, per shuffled bucket.
-PER_BUCKET = 1 << 22
+PER_BUCKET = 1 << 21
 
 
 def sets_of(column: pa.Array, size: int):
@@ -135,15 +142,121 @@ def signatures(features: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[
     return np.concatenate(out_s), np.concatenate(out_r)
 
 
-def stars(signature: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For equal signatures: (signature, its smallest member), and distinct edges (smallest, other)."""
+def sketches(features: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The parity sketch of each set: ``SKETCH`` bits, doubled until there is one for every two shingles."""
+    sizes = np.diff(bounds)
+    wide = np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64))
+    at = np.concatenate([[0], np.cumsum(wide)])
+    hashed = words.mixed(features ^ np.uint64(0x3C6EF372FE94F82B))
+    bit = (hashed & (np.repeat(wide, sizes) - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(at[:-1], sizes) + bit, minlength=int(at[-1])) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def folded(sketch: bytes, width: int) -> np.ndarray:
+    """A sketch as 64-bit words of a smaller number of bits: parities of the joined buckets."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, width // 64), axis=0)
+
+
+def may_link(sa, na, sb, nb, percent: int) -> np.ndarray:
+    """Whether sets of these sketches and sizes can be similar enough; broadcasts over the leading axes."""
+    differ = np.bitwise_count(sa ^ sb).sum(axis=-1, dtype=np.int64)
+    return (100 + percent) * np.maximum(differ, np.abs(na - nb)) <= (100 - percent) * (na + nb)
+
+
+class Forest:
+    """Disjoint sets of numbers."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        while True:
+            up = self.parent[x]
+            if (up == x).all():
+                return x
+            self.parent[x] = x = self.parent[up]
+
+    def root(self, x: int) -> int:
+        while (up := int(self.parent[x])) != x:
+            self.parent[x] = self.parent[up]
+            x = up
+        return x
+
+    def joins(self, a: int, b: int) -> bool:
+        """Join two sets; whether they were apart."""
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+def shared(signature: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct groups of two or more members with one signature: members, and bounds of the groups."""
     order = np.lexsort((member, signature))
     s, m = signature[order], member[order]
-    new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
-    head = m[new][np.cumsum(new) - 1] if len(s) else m
-    edge = head != m
-    pairs = np.unique(np.stack([head[edge], m[edge]], axis=1), axis=0)
-    return s[new], m[new], pairs[:, 0], pairs[:, 1]
+    fresh = np.concatenate([[True], (s[1:] != s[:-1]) | (m[1:] != m[:-1])]) if len(s) else np.zeros(0, bool)
+    s, m = s[fresh], m[fresh]
+    start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
+    size = np.diff(np.append(start, len(s)))
+    # Near copies share many signatures; a group of the same members counts once.
+    name = np.add.reduceat(words.mixed(m + np.uint64(0x510E527FADE682D1)), start) if len(s) else s
+    name = np.where(size > 1, words.mixed(name + size.astype(np.uint64)), np.uint64(0))
+    _, first = np.unique(name, return_index=True)
+    first = np.sort(first[size[first] > 1])
+    return _runs(m, start[first], size[first]), np.concatenate([[0], np.cumsum(size[first])])
+
+
+def _runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``values`` one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return values[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
+
+
+def passing(members: np.ndarray, bounds: np.ndarray, sketch: list[bytes], size: np.ndarray, percent: int):
+    """(i, j): trees over the numbered classes that join all pairs of a group whose sketches may link."""
+    forest = Forest(len(size))
+    width = np.array([len(b) * 8 for b in sketch])
+    least = width.min(initial=1 << 40)
+    base = np.stack([folded(b, least) for b in sketch]) if len(sketch) else np.zeros((0, 8), np.uint64)
+    counts = np.diff(bounds)
+    out = []
+    for m in range(2, FEW + 1):
+        first = bounds[:-1][counts == m]
+        x, y = np.triu_indices(m, 1)
+        for part in np.array_split(first, max(1, len(first) * len(x) // (1 << 18))):
+            i, j = members[part[:, None] + x].ravel(), members[part[:, None] + y].ravel()
+            pairs = np.unique(np.stack([i, j], axis=1), axis=0)
+            pairs = pairs[forest.roots(pairs[:, 0]) != forest.roots(pairs[:, 1])]
+            pairs = pairs[may_link(base[pairs[:, 0]], size[pairs[:, 0]], base[pairs[:, 1]], size[pairs[:, 1]], percent)]
+            for a, b in pairs.tolist():
+                if width[a] == least or width[b] == least or _wider(sketch[a], size[a], sketch[b], size[b], percent):
+                    if forest.joins(a, b):
+                        out.append((a, b))
+    for g in np.flatnonzero(counts > FEW).tolist():
+        own = members[bounds[g] : bounds[g + 1]]
+        own = own[np.argsort(size[own], kind="stable")]
+        common = int(width[own].min())
+        held = base[own] if common == least else np.stack([folded(sketch[i], common) for i in own])
+        n = size[own]
+        # A later set of size r can only be similar enough while percent * r <= 100 * its own.
+        reach = np.searchsorted(n, 100 * n // percent, side="right")
+        for i in range(len(own) - 1):
+            near = np.arange(i + 1, reach[i])
+            near = near[forest.roots(own[near]) != forest.root(int(own[i]))]
+            near = near[may_link(held[near], n[near], held[i], n[i], percent)]
+            a = int(own[i])
+            for b in own[near].tolist():
+                narrow = width[a] == common or width[b] == common
+                if (narrow or _wider(sketch[a], size[a], sketch[b], size[b], percent)) and forest.joins(a, b):
+                    out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _wider(a: bytes, na: int, b: bytes, nb: int, percent: int) -> bool:
+    """The same test at the width of the narrower of two sketches."""
+    width = 8 * min(len(a), len(b))
+    return bool(may_link(folded(a, width), na, folded(b, width), nb, percent))
 
 
 def thinned(rising: np.ndarray) -> bytes:
@@ -170,30 +283,28 @@ def looked_up(packed: bytes) -> np.ndarray:
     return names[np.frombuffer(packed, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
 
 
-def candidates(docs: DataFrame, text: str, size: int, percent: int, shingle_total: int) -> DataFrame:
-    """(a, b): edges that connect all classes under every signature."""
+def candidates(base: DataFrame, docs: DataFrame, text: str, size: int, percent: int, shingle_total: int) -> DataFrame:
+    """(a, b): edges that connect every two similar classes.
+
+    ``base`` has the class, n_shingles and sketch of every document.
+    """
     bits = max(5, int(np.ceil(np.log2(max(shingle_total, 1) / PER_BUCKET + 1))))
 
-    def rows_of(bucket, pack):
-        """One row (bucket, x, y) for each run of equal buckets."""
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-        edges = np.append(cut, len(bucket))
-        packed = [pack(slice(a, b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    def sent(held_s, held_m):
+        """One row (bucket, signatures, members) for each bucket."""
+        s, m = np.concatenate(held_s), np.concatenate(held_m)
+        order = np.argsort(s)
+        s, m = s[order], m[order]
+        bucket = (s >> np.uint64(64 - bits)).astype(np.int64)
+        short = (s << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(s) else np.zeros(0, int)
+        parts = [slice(a, b) for a, b in zip(cut, np.append(cut[1:], len(s)), strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[cut].astype(np.int32)), *[pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]],
+            [pa.array(bucket[cut].astype(np.int32)), pa.array([thinned(short[at]) for at in parts], pa.binary()),
+             pa.array([indexed(m[at]) for at in parts], pa.binary())],
             names=["bucket", "x", "y"],
         )
 
-    def joined(held_s, held_m):
-        s, m, low, high = stars(np.concatenate(held_s), np.concatenate(held_m))
-        short = (s << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
-        yield rows_of((s >> np.uint64(64 - bits)).astype(np.int64), lambda at: (thinned(short[at]), indexed(m[at])))
-        # Edges go along under a negative bucket.
-        bucket = -1 - (words.mixed(low ^ high) >> np.uint64(64 - bits)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        low, high = low[order], high[order]
-        yield rows_of(bucket[order], lambda at: (low[at].tobytes(), high[at].tobytes()))
-
     def run(batches):
         bands, seen, held_s, held_m, n = Bands(percent), set(), [], [], 0
         for batch in batches:
@@ -213,22 +324,43 @@ def candidates(docs: DataFrame, text: str, size: int, percent: int, shingle_tota
                 held_m.append(names[fresh][r])
                 n += len(s)
                 if n >= HELD:
-                    yield from joined(held_s, held_m)
+                    yield sent(held_s, held_m)
                     held_s, held_m, n = [], [], 0
         if n:
-            yield from joined(held_s, held_m)
+            yield sent(held_s, held_m)
 
     def met(rows: pd.DataFrame) -> pd.DataFrame:
-        if rows["bucket"].iloc[0] >= 0:
-            _, _, x, y = stars(np.concatenate([thickened(b) for b in rows["x"]]),
-                               np.concatenate([looked_up(b) for b in rows["y"]]))
-        else:
-            x, y = (np.concatenate([np.frombuffer(b, np.uint64) for b in rows[c]]) for c in ("x", "y"))
-        pairs = np.unique(np.stack([x, y], axis=1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0].copy().view(np.int64), "b": pairs[:, 1].copy().view(np.int64)})
+        """Of a bucket: the groups of classes under one signature, by their places among the distinct names."""
+        members, bounds = shared(np.concatenate([thickened(b) for b in rows["x"]]),
+                                 np.concatenate([looked_up(b) for b in rows["y"]]))
+        names, places = np.unique(members, return_inverse=True)
+        return pd.DataFrame({"bucket": rows["bucket"].iloc[:1], "names": [names.view(np.int64)],
+                             "places": [places.astype(np.int32).tobytes()], "bounds": [bounds.astype(np.int64).tobytes()]})
 
     packed = docs.select(text).mapInArrow(run, "bucket int, x binary, y binary")
-    return packed.groupBy("bucket").applyInPandas(met, "a long, b long").distinct()
+    groups = durable(packed.groupBy("bucket").applyInPandas(met, "bucket int, names array<long>, places binary, bounds binary"))
+    del packed
+    released(docs.sparkSession)
+    classes = base.where("class <> 0").select("class", "n_shingles", "sketch").dropDuplicates(["class"])
+    known = groups.select("bucket", F.explode("names").alias("class")).join(classes, "class")
+
+    def compared(group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        pairs = np.zeros((0, 2), np.int64)
+        if len(group) and len(known):
+            row = group.iloc[0]
+            known = known.sort_values("class")
+            names = known["class"].to_numpy()
+            # Names stand in unsigned order in the groups.
+            place = np.searchsorted(names, np.asarray(row["names"], np.int64))
+            members = place[np.frombuffer(row["places"], np.int32)]
+            found = passing(members, np.frombuffer(row["bounds"], np.int64), known["sketch"].tolist(),
+                            known["n_shingles"].to_numpy(), percent)
+            pairs = names[found]
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).astype("int64")
+
+    held = groups.select("bucket", F.lit(0).cast("long").alias("class"), "names", "places", "bounds")
+    found = renewed(held).groupBy("bucket").cogroup(known.select("bucket", "class", "n_shingles", "sketch").groupBy("bucket"))
+    return found.applyInPandas(compared, LINK).distinct()
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -356,26 +488,32 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): every document and the smallest id its links reach."""
-    rows = docs.where(F.col(doc_id).isNotNull()).select(text, F.col(doc_id).cast("long").alias("doc_id"))
+                    text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keep..., n_shingles, component_id): every document and the smallest id its links reach.
+
+    ``keep`` names columns that go along, such as one that tells rows of one id apart.
+    """
+    rows = docs.where(F.col(doc_id).isNotNull()).select(text, F.col(doc_id).cast("long").alias("doc_id"), *keep)
+    made = "n_shingles long, class long, sketch binary"
+    kept = [f"__{i}" for i in range(len(keep))]
+    schema = ", ".join(["doc_id long", *[f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(kept, keep, strict=True)], made])
 
     def sized(batches):
         for batch in batches:
-            n, names = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            n, names, packed = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], []
             for _, features, bounds in sets_of(batch.column(0), size):
                 n.append(np.diff(bounds))
                 names.append(class_ids(features, bounds))
+                packed += sketches(features, bounds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(np.concatenate(n)), pa.array(np.concatenate(names).view(np.int64))],
-                names=["doc_id", "n_shingles", "class"],
+                [*batch.columns[1:], pa.array(np.concatenate(n)), pa.array(np.concatenate(names).view(np.int64)),
+                 pa.array(packed, pa.binary())],
+                names=["doc_id", *kept, "n_shingles", "class", "sketch"],
             )
 
-    found = rows.mapInArrow(sized, "doc_id long, n_shingles long, class long")
-    base = durable(found.groupBy("doc_id").agg(F.min(F.struct("class", "n_shingles")).alias("s"))
-                   .select("doc_id", "s.n_shingles", "s.class"))
+    base = durable(rows.mapInArrow(sized, schema))
     total = base.agg(F.sum("n_shingles")).first()[0] or 0
-    coarse = components(candidates(rows, text, size, percent, total)).withColumnsRenamed(
+    coarse = components(candidates(base, rows, text, size, percent, total)).withColumnsRenamed(
         {"node": "class", "component": "coarse"}
     )
     heads = base.where(F.col("n_shingles") > 0).groupBy("class").agg(F.min("doc_id").alias("doc_id"))
@@ -397,14 +535,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
             yield made.filter(pa.array(own))
 
     members = durable(
-        rows.join(small_if_counted(wanted), "doc_id").select(text, "wanted", "coarse", "n_coarse")
+        rows.select(text, "doc_id").join(small_if_counted(wanted), "doc_id").select(text, "wanted", "coarse", "n_coarse")
         .mapInArrow(with_sets, "class long, coarse long, n_coarse long, features binary")
     )
     label = components(verified(members, percent)).withColumnsRenamed({"node": "class", "component": "label"})
-    whole = base.where(F.col("n_shingles") > 0).join(small_if_counted(label), "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "class").alias("label")
+    out = ["doc_id", *kept, "n_shingles"]
+    whole = base.where(F.col("n_shingles") > 0).join(label, "class", "left").select(
+        *out, F.coalesce("label", "class").alias("label")
     )
     least = whole.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return whole.join(least, "label").select("doc_id", "n_shingles", "component_id").unionByName(
-        base.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    every = whole.join(least, "label").select(*out, "component_id").unionByName(
+        base.where(F.col("n_shingles") == 0).select(*out, F.col("doc_id").alias("component_id"))
     )
+    return every.withColumnsRenamed(dict(zip(kept, keep, strict=True)))

@@ -79,20 +79,81 @@ def test_unusual_texts_link_with_nothing(spark):
     assert partenum.near_duplicates(documents(spark, rows).limit(0), 4, 85).count() == 0
 
 
+def test_sketches_rule_out_no_similar_pair():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        percent = int(rng.choice([50, 70, 80, 85, 95]))
+        n = int(rng.integers(1, 3000))
+        a = rng.integers(1, 1 << 63, n).astype(np.uint64)
+        lost = int(rng.integers(0, n // 2 + 1))
+        b = np.concatenate([a[: n - lost], rng.integers(1, 1 << 63, int(rng.integers(0, lost + 2))).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        if not len(b):
+            continue
+        both = len(np.intersect1d(a, b))
+        s, t = partenum.sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        # Sizes differ, so do widths; the narrower one decides.
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            assert partenum._wider(s, len(a), t, len(b), percent)
+        elif both * 4 < len(a) and percent >= 80 and len(a) > 20:
+            assert not partenum._wider(s, len(a), t, len(b), percent)
+
+
+@pytest.mark.parametrize("few", [2, 16])
+def test_trees_join_every_pair_that_passes(monkeypatch, few):
+    monkeypatch.setattr(partenum, "FEW", few)
+    rng = np.random.default_rng(few)
+    sets, families = [], 12
+    for f in range(families):
+        whole = rng.integers(1, 1 << 63, int(rng.choice([40, 90, 1500]))).astype(np.uint64)
+        for _ in range(6):
+            sets.append(np.unique(np.concatenate([whole[: int(len(whole) * rng.uniform(0.9, 1))],
+                                                  rng.integers(1, 1 << 63, 3).astype(np.uint64)])))
+    sizes = np.array([len(x) for x in sets])
+    sketch = partenum.sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)]))
+    groups = [np.sort(rng.choice(len(sets), int(m), replace=False)) for m in rng.integers(2, 40, 60)]
+    bounds = np.concatenate([[0], np.cumsum([len(g) for g in groups])])
+    edges = partenum.passing(np.concatenate(groups), bounds, sketch, sizes, 80)
+    root = components(range(len(sets)), [tuple(e) for e in edges.tolist()])
+    for g in groups:
+        for i in g.tolist():
+            for j in g.tolist():
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 80 * (sizes[i] + sizes[j] - both):
+                    assert root[i] == root[j]
+    assert len({root[i] for i in range(len(sets))}) >= families
+    assert len(edges) < len(sets)
+
+
+def test_groups_of_one_signature_come_once():
+    s = np.array([5, 5, 9, 9, 7, 7, 7, 3], np.uint64)
+    m = np.array([1, 2, 2, 1, 4, 4, 6, 8], np.uint64)
+    members, bounds = partenum.shared(s, m)
+    assert [members[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] in ([[1, 2], [4, 6]], [[4, 6], [1, 2]])
+    assert partenum.shared(s[:0], m[:0])[1].tolist() == [0]
+
+
 def test_a_hot_group_sends_no_pairs(spark):
-    """Many near copies: every signature keeps one row a task, and stars replace pairs."""
+    """Many near copies: every signature's pairs are joined into trees."""
     base = [f"w{i}" for i in range(120)]
     rows = []
     for i in range(400):
         text = list(base)
         text[i % 120] = f"new{i}"
         rows.append((i, " ".join(text)))
-    edges = partenum.candidates(documents(spark, rows).repartition(4), "text", 4, 85, 400 * 117)
-    assert edges.count() < 400 * 12
     got = partenum.near_duplicates(documents(spark, rows), 4, 85).collect()
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_rows_that_repeat_an_id_keep_their_own_links(spark):
+    own = " ".join(f"t{i}" for i in range(60))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, own), (3, own + " more"), (3, own + " more")]
+    docs = documents(spark, rows).withColumn("said", F.sha2("text", 256))
+    got = partenum.near_duplicates(docs, 4, 85, keep=("said",)).join(docs.select("said", "text").distinct(), "said").collect()
+    assert sorted((r["doc_id"], r["text"] == own, r["component_id"]) for r in got) == [
+        (1, False, 1), (2, False, 1), (2, True, 2), (3, False, 2), (3, False, 2)]
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(10, 60)] + [(100, 5), (5, 101), (200, 200), (300, 299), (299, 300)]
     got = {r[0]: r[1] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
