@@ -135,8 +135,34 @@ def _same_columns(df: DataFrame, path: str) -> None:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return
         raise
+    same_columns(df, there)
+
+
+def same_columns(df: DataFrame, there: DataFrame) -> None:
+    """Refuse rows whose columns or types are not those of a table."""
     if sorted(there.dtypes) != sorted(df.dtypes):
-        raise ValueError(f"columns {df.dtypes} differ from those of {path}: {there.dtypes}")
+        raise ValueError(f"columns {df.dtypes} differ from those of the table: {there.dtypes}")
+
+
+def _folder(spark: SparkSession, path: str):
+    """A folder in whatever file system holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    at, store = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(at)) if store.exists(at) else []
+
+
+def move_parts(spark: SparkSession, source: str, names: list[str], target: str, prefix: str) -> None:
+    """Move files of one folder into another of the same file system, each in one step, under a prefix."""
+    at, store = _folder(spark, source)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        if not store.rename(make(f"{source}/{name}"), make(f"{target}/{prefix}{name}")):
+            raise OSError(f"{source}/{name} could not be moved to {target}")
 
 
 def append_record(spark: SparkSession, record: dict, schema: T.StructType, target: str) -> DataFrame:

@@ -267,3 +267,30 @@ def str1_stream(spark, sf_dir):
             load_id=run, max_files=1,
         ).awaitTermination()
     return readers.read_snapshot(spark, live)
+
+
+@query(
+    "str1_stream_equal_rows",
+    """WITH b AS (SELECT c_custkey AS "Chave", c_name AS name FROM customer, range(3)
+      WHERE c_custkey NOT IN (SELECT user_id FROM events))
+    SELECT *, 'load' AS carga_id FROM b, (VALUES ('one by one'), ('together')) AS f(files)""",
+)
+def str1_equal(spark, sf_dir):
+    """Three equal rows of every new customer, each in another file: all are loaded, however the files arrive, and once."""
+    batch = _batch(spark, sf_dir)
+    arrivals = scratch_path(spark, "arrivals")
+    for _ in range(3):
+        batch.coalesce(1).write.mode("append").parquet(arrivals)
+    seen = table(spark, sf_dir, "events").select(c("user_id").alias("Chave")).distinct()
+    known = stamp_load(batch.join(seen, "Chave", "left_semi"), "base")
+    tables = []
+    for files, most in (("one by one", 1), ("together", None)):
+        live = scratch_path(spark, "live")
+        known.write.parquet(live)
+        for replay in range(2):  # under the same id, from the start
+            stream_increments(
+                spark, arrivals, batch.schema, live, "Chave", scratch_path(spark, f"state{replay}"),
+                load_id="load", max_files=most,
+            ).awaitTermination()
+        tables.append(readers.read_snapshot(spark, live).where(c("carga_id") == "load").withColumn("files", F.lit(files)))
+    return tables[0].unionByName(tables[1])

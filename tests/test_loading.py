@@ -126,6 +126,50 @@ def test_half_written_increment_is_completed(spark):
     assert spark.read.parquet(live).groupBy("Chave").count().where("count > 1").count() == 0
 
 
+def test_a_failure_between_writing_and_moving_is_mended(spark, monkeypatch):
+    from riskframe.streaming import ingest
+
+    live = scratch_path(spark, "live")
+    spark.createDataFrame([("a", 1, "base")], "Chave string, v int, carga_id string").write.parquet(live)
+    batch = spark.createDataFrame([(f"k{i}", i) for i in range(40)] * 2, "Chave string, v int").repartition(4)
+
+    def fails(*args):
+        # The first file is moved, then the driver dies.
+        writers.move_parts(args[0], args[1], args[2][:1], *args[3:])
+        raise OSError("lost")
+
+    monkeypatch.setattr(ingest, "move_parts", fails)
+    with pytest.raises(OSError, match="lost"):
+        load_increment(batch, live, "Chave", "l1")
+    monkeypatch.undo()
+    half = spark.read.parquet(live).count()
+    assert 1 < half < 81
+    assert load_increment(batch, live, "Chave", "l1").added == 81 - half
+    assert load_increment(batch, live, "Chave", "l1").added == 0
+    assert spark.read.parquet(live).groupBy("Chave").count().where("count <> 2").count() == 1
+
+
+def test_a_replayed_micro_batch_adds_nothing(spark, tmp_path):
+    schema = T.StructType([T.StructField("Chave", T.StringType()), T.StructField("v", T.IntegerType())])
+    live, arrivals, state = (str(tmp_path / n) for n in ("live", "arrivals", "state"))
+    readers.bootstrap_live(spark, schema).write.parquet(live)
+    for _ in range(2):
+        spark.createDataFrame([("a", 1), ("b", 1)], schema).coalesce(1).write.mode("append").parquet(arrivals)
+
+    def run():
+        stream_increments(spark, arrivals, schema, live, "Chave", state, load_id="l", max_files=1).awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(live).collect()))
+
+    once = run()
+    assert once == [("a", 1, "l")] * 2 + [("b", 1, "l")] * 2
+    # The micro-batch was written, its number was not: the stream runs it again.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    assert run() == once
+    with pytest.raises(ValueError, match="another batch"):
+        load_increment(spark.createDataFrame([("c", 1)], schema), live, "Chave", "l", part=0)
+
+
 def test_stream_takes_late_files_once(spark):
     live, arrivals, state = (scratch_path(spark, n) for n in ("live", "arrivals", "state"))
     schema = T.StructType([T.StructField("Chave", T.StringType()), T.StructField("v", T.IntegerType())])
