@@ -43,6 +43,8 @@ SAMPLE, ROUNDS = 8192, 8
 CELL_ROWS, FEWEST, MOST = 64, 4, 256
 SHARD_ROWS = 1 << 14
 ANCHOR_BLOCK = 1 << 12
+#: Rows of cells in order scored at once: the first time, and at most.
+FIRST, AT_ONCE = 256, 4096
 EDGE = (1 << 62) - 1
 _WINDOWS = "array<struct<w:int,low:long,high:long,need:long>>"
 _FOUND = "aid long, w int, vec_id long, score long"
@@ -145,6 +147,7 @@ class Shard:
         cell = at1 * len(self.c2) + at2
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
         after = np.append(first[1:], len(cell))
+        self.places = np.arange(len(cell))
         self.cells = {int(cell[a]): (int(a), int(b)) for a, b in zip(first, after, strict=True)}
 
     def search(self, q, own_id: int, label: int, windows: list, same: bool, k: int, visited: list | None = None):
@@ -156,27 +159,43 @@ class Shard:
         need = [w.need for w in windows]
         top = max(w.high for w in windows)
         held = [(np.zeros(0, q.dtype), np.zeros(0, np.int64)) for _ in windows]
-        for bound, i, j in by_descending_bound(u1, u2):
-            if bound < min(need):
-                break
-            rows = self.cells.get(i * len(self.c2) + j)
-            if rows is None or l1[i] + l2[j] > top:
-                continue
-            if visited is not None:
-                visited.append(rows)
-            a, b = rows
-            scores = np.clip(self.x[a:b] @ q, -EDGE, EDGE)
-            open_to = (self.labels[a:b] == label) == same
-            open_to &= self.ids[a:b] != own_id
+
+        def look(cells: list[tuple[int, int]]) -> None:
+            """Score the rows of some cells at once and keep each window's best."""
+            scores = np.clip(np.concatenate([self.x[a:b] @ q for a, b in cells]), -EDGE, EDGE)
+            at = np.concatenate([self.places[a:b] for a, b in cells])
+            some = np.flatnonzero((scores >= min(need)) & (scores <= top))
+            scores, at = scores[some], at[some]
+            some = ((self.labels[at] == label) == same) & (self.ids[at] != own_id)
+            scores, ids = scores[some], self.ids[at[some]]
             for n, w in enumerate(windows):
-                good = open_to & (scores >= need[n]) & (scores <= w.high)
+                good = (scores >= need[n]) & (scores <= w.high)
                 if not good.any():
                     continue
-                s, ids = np.append(held[n][0], scores[good]), np.append(held[n][1], self.ids[a:b][good])
-                best = np.lexsort((ids, -s))[:k]
-                held[n] = s[best], ids[best]
+                s, i = np.append(held[n][0], scores[good]), np.append(held[n][1], ids[good])
+                best = np.lexsort((i, -s))[:k]
+                held[n] = s[best], i[best]
                 if len(best) == k:
                     need[n] = max(need[n], int(s[best].min()))
+
+        waiting, rows, enough = [], 0, FIRST
+        for bound, i, j in by_descending_bound(u1, u2):
+            if bound < min(need):
+                break
+            cell = self.cells.get(i * len(self.c2) + j)
+            if cell is None or l1[i] + l2[j] > top:
+                continue
+            waiting.append(cell)
+            rows += cell[1] - cell[0]
+            if rows >= enough:
+                look(waiting)
+                if visited is not None:
+                    visited += waiting
+                waiting, rows, enough = [], 0, min(2 * enough, AT_ONCE)
+        if waiting:
+            look(waiting)
+            if visited is not None:
+                visited += waiting
         for w, (s, ids) in zip(windows, held, strict=True):
             for score, i in zip(s, ids, strict=True):
                 yield w.w, int(i), int(score)
