@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.numbers import ratio
-from riskframe.operators.ranking import running_totals
+from riskframe.operators.ranking import running_totals, totals_of_cells
+from riskframe.session import durable
 
 
 def score_curve(
@@ -27,7 +30,11 @@ def score_curve(
             score, F.col(y).cast("double").alias("_y")
         )
         measures = {"n": "count(*)", "n1": "sum(_y)"}
-    return running_totals(rows, "score", measures, descending=True).withColumns(
+    return _with_non_events(running_totals(rows, "score", measures, descending=True))
+
+
+def _with_non_events(curve: DataFrame) -> DataFrame:
+    return curve.withColumns(
         {
             "n0": F.col("n") - F.col("n1"),
             "n0_run": F.col("n_run") - F.col("n1_run"),
@@ -192,30 +199,59 @@ def class_metrics(cells: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(
+@dataclass(frozen=True)
+class Sample:
+    """A score to measure: its column, its cutoff, and which rows it is measured on."""
+
+    name: str
+    p: str
+    cut: float
+    strict: bool = True
+    where: Column | None = None
+
+
+def evaluate_all(
     df: DataFrame,
     y: str,
-    p: str,
-    cut: float,
-    name: str,
-    strict: bool = True,
+    samples: list[Sample],
     counts=None,
     groups: int = 10,
     auto_direction: bool = False,
 ) -> DataFrame:
-    """One comparison row for a scored sample: discrimination and class metrics.
+    """One comparison row per sample: discrimination and class metrics.
 
     KS is given exactly and read at ``groups`` equal-size score groups.
 
-    The cells are read off the score curve, so the sample is grouped once.
+    All samples and scores are collapsed to cells (sample, score) in one scan;
+    curves, confusion cells and unscored rows are read off these.
     """
-    score = F.col("score")
-    hit = score > float(cut) if strict else score >= float(cut)
+    names = [F.struct(F.lit(i).alias("_sample"), F.col(s.p).cast("double").alias("score")) for i, s in enumerate(samples)]
+    taken = [n if s.where is None else F.when(s.where, n) for n, s in zip(names, samples)]
+    if counts:
+        n, n1 = (F.col(c).cast("double") for c in counts)
+        known = F.lit(True)
+    else:
+        n, n1, known = F.lit(1.0), F.coalesce(F.col(y).cast("double"), F.lit(0.0)), F.col(y).isNotNull()
+    rows = df.select(n.alias("n"), n1.alias("n1"), known.alias("_known"), F.explode(F.array(*taken)).alias("s")).where("s IS NOT NULL")
+    score = F.when(F.col("_known") & ~F.isnan("s.score"), F.col("s.score"))
+    cells = durable(
+        rows.select(F.col("s._sample").alias("_sample"), score.alias("score"), "n", "n1")
+        .groupBy("_sample", "score").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    )
+    curve = _with_non_events(
+        totals_of_cells(cells.where(F.col("score").isNotNull()), "score", ["n", "n1"], descending=True, by=("_sample",))
+    )
+
+    def of_sample(values) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_sample"))
 
-    def cell(counts, cond):
-        return F.sum(F.when(cond, F.col(counts)).otherwise(0.0)).cast("long")
+    cut = of_sample([float(s.cut) for s in samples])
+    hit = F.when(of_sample([s.strict for s in samples]), F.col("score") > cut).otherwise(F.col("score") >= cut)
 
-    scored = score_curve(df, y, p, counts).agg(
+    def cell(column, cond):
+        return F.sum(F.when(cond, F.col(column)).otherwise(0.0)).cast("long")
+
+    scored = curve.groupBy("_sample").agg(
         F.max(_gap()).alias("ks"),
         F.max(_grouped_gap(groups)).alias("ks_grouped"),
         _auc(auto_direction).alias("auc"),
@@ -224,20 +260,33 @@ def evaluate(
         cell("n1", ~hit).alias("fn"),
         cell("n0", ~hit).alias("tn"),
     )
-    if counts:
-        missing = F.coalesce(F.sum(F.when(F.col(p).isNull(), F.col(counts[0]))), F.lit(0))
-        left_out = df.agg(missing.cast("long").alias("unscored"))
-    else:
-        left_out = df.agg(F.count_if(F.col(y).isNull() | F.col(p).isNull()).alias("unscored"))
-    both = scored.unionByName(left_out, allowMissingColumns=True)
-    merged = both.agg(
-        F.lit(name).alias("sample"),
-        F.lit(float(cut)).alias("cutoff"),
-        *[F.max(c).alias(c) for c in both.columns],
+    missing = F.coalesce(F.sum(F.when(F.col("score").isNull(), F.col("n"))), F.lit(0.0)).cast("long")
+    left_out = cells.groupBy("_sample").agg(missing.alias("unscored"))
+    every = df.sparkSession.createDataFrame([(i,) for i in range(len(samples))], "_sample int")
+    merged = F.broadcast(every).join(left_out, "_sample", "left").join(scored, "_sample", "left").select(
+        of_sample([s.name for s in samples]).alias("sample"),
+        cut.alias("cutoff"),
+        "ks", "ks_grouped", "auc", "tp", "fp", "fn", "tn",
+        F.coalesce("unscored", F.lit(0)).alias("unscored"),
     )
     return class_metrics(merged)
 
 
+def evaluate(
+    df: DataFrame,
+    y: str,
+    p: str,
+    cut: float,
+    name: str,
+    strict: bool = True,
+    counts=None,
+    groups: int = 10,
+    auto_direction: bool = False,
+) -> DataFrame:
+    """One comparison row for a scored sample: discrimination and class metrics."""
+    return evaluate_all(df, y, [Sample(name, p, cut, strict)], counts, groups, auto_direction)
+
+
 def compare(*samples: DataFrame) -> DataFrame:
     """Comparison table of metric rows."""
     out = samples[0]

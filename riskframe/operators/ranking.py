@@ -1,9 +1,10 @@
 """Order statistics and running totals that never put all rows in one task.
 
 A running total over a sorted column is built in two levels: rows collapse to
-one cell per distinct value, cells are cut into value ranges of similar weight,
-running sums run inside each range in parallel, and the (few) range totals give
-each range its starting offset.
+one cell per distinct value, in the only scan of the source; the cells, kept in
+the shared folder, are cut into value ranges of similar size, running sums run
+inside each range in parallel, and the (few) range totals give each range its
+starting offset.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskframe.session import durable
+
 MAX_RANGES = 8192
 SKETCH_ACCURACY = 10_000
 
@@ -49,49 +52,66 @@ def running_totals(
     measures: dict[str, str],
     descending: bool = False,
     ranges: int | None = None,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per distinct value: each measure, its running total and its grand total.
 
     ``measures`` maps an output name to an aggregate expression that adds up
     over rows.  Adds ``<name>_run`` (inclusive) and ``<name>_all``.  Missing
-    values of the sort column are left out.
+    values of the sort column are left out.  ``by`` names columns of which
+    every combination has running totals of its own, all from one scan.
     """
     rows = df.withColumn(value, _number(value)).where(F.col(value).isNotNull())
-    edges = range_edges(rows, value, ranges)
+    added = [F.expr(e).cast("double").alias(n) for n, e in measures.items()]
+    return totals_of_cells(
+        durable(rows.groupBy(*by, value).agg(*added)), value, list(measures), descending, ranges, by
+    )
+
+
+def totals_of_cells(
+    cells: DataFrame,
+    value: str,
+    measures: list[str],
+    descending: bool = False,
+    ranges: int | None = None,
+    by: tuple[str, ...] = (),
+) -> DataFrame:
+    """``running_totals`` of a kept table that has one row per value (and combination of ``by``)."""
+    edges = range_edges(cells, value, ranges)
     if edges:
         splits = [-math.inf, *edges, math.inf]
         ranged = Bucketizer(
             splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep"
-        ).transform(rows)
+        ).transform(cells)
     else:
-        ranged = rows.withColumn("_range", F.lit(0.0))
-    added = [F.expr(e).cast("double").alias(n) for n, e in measures.items()]
-    cells = ranged.groupBy("_range", value).agg(*added)
+        ranged = cells.withColumn("_range", F.lit(0.0))
 
     def ordered(c):
         return F.desc(c) if descending else F.asc(c)
 
+    # The ranges are those of all cells together, so no combination of ``by``
+    # has more cells in one of them than a range is meant to hold.
     inside = (
-        Window.partitionBy("_range")
+        Window.partitionBy(*by, "_range")
         .orderBy(ordered(value))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # One row per range, MAX_RANGES + 2 at most, so neither the unpartitioned
-    # window nor the broadcast grows with the data.  Taken from the rows, where
-    # they merge map-side, rather than from a second copy of the cells.
-    totals = ranged.groupBy("_range").agg(*added)
-    over = Window.orderBy(ordered("_range"))
+    # One row per combination and range, MAX_RANGES + 2 of each at most.
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(n).alias(n) for n in measures])
+    over = Window.partitionBy(*by).orderBy(ordered("_range"))
     before = over.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(ordered("_range")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    everything = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
+        *by,
         "_range",
         *[F.coalesce(F.sum(n).over(before), F.lit(0.0)).alias(f"_{n}_before") for n in measures],
         *[F.sum(n).over(everything).alias(f"{n}_all") for n in measures],
     )
-    running = cells.withColumns({f"_{n}_in": F.sum(n).over(inside) for n in measures})
-    return running.join(F.broadcast(offsets), "_range").select(
+    running = ranged.withColumns({f"_{n}_in": F.sum(n).over(inside) for n in measures})
+    if not by:  # the number of combinations has no bound
+        offsets = F.broadcast(offsets)
+    return running.join(offsets, [*by, "_range"]).select(
+        *by,
         value,
         *measures,
         *[(F.col(f"_{n}_in") + F.col(f"_{n}_before")).alias(f"{n}_run") for n in measures],

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import chaid, glm
-from riskframe.operators.metrics import best_cutoff, compare, evaluate
+from riskframe.operators.metrics import Sample, best_cutoff, evaluate_all
 from riskframe.operators.split import exact_split
 from riskframe.session import durable
 from riskframe.spec import FeatureSpec
@@ -52,23 +52,22 @@ def run_study(
     def scored(df):
         return chaid.tree_score(logit.score(df), tree, p0="tree_p0", p1="tree_p1")
 
-    on_train, on_test = (
-        durable(scored(part).select(*counts, "probability", "tree_p1"))
-        for part in (grouped_train, grouped_test)
-    )
+    parts = {"train": grouped_train, "test": grouped_test}
+    labelled = [
+        scored(part).select(*counts, "probability", "tree_p1", F.lit(name).alias("_part")) for name, part in parts.items()
+    ]
+    both = durable(labelled[0].unionByName(labelled[1]))
+    on_train = both.where(F.col("_part") == "train")
     criteria = ("abs_d_sens_spec", "accuracy", "f1", "youden")
     # Four rows, kept so the cutoff in use and the report are the same numbers.
     cutoffs = durable(best_cutoff(on_train, y, "probability", *criteria, counts=counts))
     logit_cut = cutoffs.where(F.col("metric") == criterion).first().cutoff
     tree_cut = tree.root.n1 / tree.root.n
 
-    def row(part, score, cut, name, strict=True):
-        return evaluate(part, y, score, cut, name, strict, counts=counts)
-
-    comparison = compare(
-        row(on_train, "probability", logit_cut, "logit/train"),
-        row(on_test, "probability", logit_cut, "logit/test"),
-        row(on_train, "tree_p1", tree_cut, "chaid/train", strict=False),
-        row(on_test, "tree_p1", tree_cut, "chaid/test", strict=False),
-    )
+    samples = [
+        Sample(f"{model}/{name}", score, cut, strict, F.col("_part") == name)
+        for model, score, cut, strict in (("logit", "probability", logit_cut, True), ("chaid", "tree_p1", tree_cut, False))
+        for name in parts
+    ]
+    comparison = evaluate_all(both, y, samples, counts=counts)
     return Study(logit, tree, cutoffs, comparison, scored(train), scored(test))

@@ -535,12 +535,11 @@ def evl5(spark, sf_dir):
 )
 def evl6(spark, sf_dir):
     rows = scored(spark, sf_dir)
-    return rounded(
-        metrics.compare(
-            metrics.evaluate(rows.where(c("l_linestatus") == "F"), "y", "p", 0.5, "train"),
-            metrics.evaluate(rows.where(c("l_linestatus") == "O"), "y", "p", 0.5, "test"),
-        )
-    )
+    samples = [
+        metrics.Sample(name, "p", 0.5, where=c("l_linestatus") == status)
+        for name, status in (("train", "F"), ("test", "O"))
+    ]
+    return rounded(metrics.evaluate_all(rows, "y", samples))
 
 
 @query(
