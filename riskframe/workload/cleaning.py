@@ -349,13 +349,13 @@ def prj15(spark, sf_dir):
     return records.select("Horario", clock.daypart(c("HorarioPadrao")).alias("daypart"))
 
 
-_KEY_SQL = (
+KEY_SQL = (
     "coalesce(Concessionaria, 'NA') || '_' || coalesce(Trecho, 'NA') || '_' || "
     "coalesce(Num_Ocorrencia, 'NA') || '_' || coalesce(CAST(DataRef AS VARCHAR), 'NA')"
 )
 
 
-@query("prj16_composite_key", f"WITH {sq.RECORDS} SELECT {_KEY_SQL} AS Chave FROM records")
+@query("prj16_composite_key", f"WITH {sq.RECORDS} SELECT {KEY_SQL} AS Chave FROM records")
 def prj16(spark, sf_dir):
     records = plan.add_time(plan.distinct_records(feed(spark, sf_dir)))
     parts = [c(n) for n in ("Concessionaria", "Trecho", "Num_Ocorrencia", "DataRef")]
@@ -381,7 +381,7 @@ def _double(n):
     "prj18_cast_roles",
     f"WITH {sq.FEATURES} SELECT Chave, "
     + ", ".join(_double(n) for n in cs.VEHICLES)
-    + f", {_double(cs.SEVERE)}, Periodo FROM (SELECT *, {_KEY_SQL} AS Chave FROM features)",
+    + f", {_double(cs.SEVERE)}, Periodo FROM (SELECT *, {KEY_SQL} AS Chave FROM features)",
 )
 def prj18(spark, sf_dir):
     typed = cols.cast_roles(
