@@ -14,6 +14,7 @@ from riskframe.functions.numbers import ratio
 from riskframe.functions.text import visible_length
 from riskframe.operators.columns import unpivot
 from riskframe.operators.ranking import exact_quantiles
+from riskframe.session import durable
 
 
 def row_counts(df: DataFrame, name: str) -> DataFrame:
@@ -105,20 +106,51 @@ def freq_pct(df: DataFrame, name: str, nulls: bool = False) -> DataFrame:
     return freq_many(df, [name], nulls).select(F.col("level").cast(kind).alias(name), "n", "pct")
 
 
-def crosstab(df: DataFrame, a: str, b: str, columns, pct: str | None = None) -> DataFrame:
-    """Two-way table with the given values of ``b`` as columns.
+def crosstab(
+    df: DataFrame,
+    a: str,
+    b: str,
+    columns=None,
+    pct: str | None = None,
+    nulls: bool = False,
+    most: int = 200,
+) -> DataFrame:
+    """Two-way table: values of ``a`` as rows, values of ``b`` as columns named ``b_value``.
 
+    Without ``columns`` every value of ``b`` has one, in order, up to ``most`` (the
+    most frequent, ties to the smaller value); with them, these have. All
+    other values are counted in ``b_other``, which is there only if there are any, so
+    the cells of a row always add up to its rows. ``nulls`` makes missing
+    values a row and a column (``b_NA``) of their own instead of leaving them out.
     ``pct='row'`` shows each cell as a percentage of its row.
+
+    Rows collapse to one cell per pair in the only scan; the values are read
+    off the cells, and no more than ``most`` of them reach the driver.
     """
-    cells = {f"{b}_{v}": F.count_if(F.col(b) == F.lit(v)) for v in columns}
-    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    table = rows.groupBy(a).agg(*[e.alias(name) for name, e in cells.items()])
-    if pct is None:
-        return table
-    if pct != "row":
+    if pct not in (None, "row"):
         raise ValueError("pct must be None or 'row'")
-    total = sum((F.col(name) for name in cells), F.lit(0))
-    return table.select(a, *[(ratio(F.col(name), total) * 100).alias(name) for name in cells])
+    rows = df if nulls else df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    cells = durable(rows.groupBy(F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count("*").alias("_n")))
+    values = cells.where(F.col("_b").isNotNull()).groupBy("_b").agg(F.sum("_n").alias("_n"))
+    if columns is None:
+        shown = sorted(r["_b"] for r in values.orderBy(F.desc("_n"), "_b").limit(most).collect())
+    else:
+        shown = list(columns)
+    other = ~F.col("_b").isin(shown) if shown else F.lit(True)
+    left = cells.agg(F.max(F.col("_b").isNull()).alias("null"), F.max(F.col("_b").isNotNull() & other).alias("other")).first()
+    parts = {f"{b}_{v}": F.col("_b") == F.lit(v) for v in shown}
+    for name, there, test in (
+        (f"{b}_other", left["other"], F.col("_b").isNotNull() & other),
+        (f"{b}_NA", left["null"], F.col("_b").isNull()),
+    ):
+        if there:
+            while name in parts:  # a value of that name
+                name += "_"
+            parts[name] = test
+    sums = {name: F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0)) for name, test in parts.items()}
+    table = cells.groupBy("_a").agg(*[e.alias(name) for name, e in sums.items()], F.sum("_n").alias("_n"))
+    shares = {name: (ratio(F.col(name), F.col("_n")) * 100).alias(name) if pct else F.col(name) for name in parts}
+    return table.select(F.col("_a").alias(a), *shares.values())
 
 
 def count_where(df: DataFrame, **conditions: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from riskframe.operators.columns import stamp_load
-from riskframe.operators.joins import new_rows
+from riskframe.operators.joins import key_filters, new_rows
 from riskframe.session import durable
 from riskframe.sources.writers import list_names, move_parts, same_columns
 
@@ -81,7 +81,8 @@ def load_increment(
             repeats = every.count() - fresh.count()
         if not foreign.isEmpty():
             fresh = fresh.exceptAll(foreign)
-        fresh.write.mode("overwrite").parquet(staged)
+        # The next loads look their keys up here.
+        fresh.write.mode("overwrite").options(**key_filters(key)).parquet(staged)
     left = [n for n in list_names(spark, staged) if n.startswith("part-")]
     n = spark.read.parquet(*[f"{staged}/{f}" for f in left]).count() if left else 0
     move_parts(spark, staged, left, live_path, f"load-{name}-{number}-")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from riskframe.operators.columns import stamp_load
 from riskframe.operators import profile as prof
-from riskframe.operators.joins import new_rows
+from riskframe.operators.joins import key_filters, new_rows
 from riskframe.plans import crash_schema as cs
 from riskframe.session import scratch_path
 from riskframe.sources import readers, writers
@@ -221,6 +221,21 @@ def jn1(spark, sf_dir):
     return new_rows(_batch(spark, sf_dir), live, "Chave")
 
 
+@query(
+    "jn1_new_rows_small_batch",
+    """SELECT c_custkey AS "Chave", c_name AS name FROM customer
+    WHERE c_nationkey = 7 AND c_custkey % 3 = 0 AND c_custkey NOT IN (SELECT user_id FROM events)""",
+)
+def jn1_small(spark, sf_dir):
+    """A batch of few keys is looked up through the filters of a live table written with them."""
+    path = scratch_path(spark, "live")
+    seen = table(spark, sf_dir, "events").select(c("user_id").alias("Chave"), "event_type")
+    seen.write.options(**key_filters("Chave")).parquet(path)
+    customers = table(spark, sf_dir, "customer").where((c("c_nationkey") == 7) & (c("c_custkey") % 3 == 0))
+    batch = customers.select(c("c_custkey").alias("Chave"), c("c_name").alias("name"))
+    return new_rows(batch, readers.read_snapshot(spark, path), "Chave")
+
+
 _LOADED = """SELECT c_custkey AS "Chave", c_name AS name,
   CASE WHEN c_custkey IN (SELECT user_id FROM events) THEN 'base' ELSE '{load}' END AS carga_id
 FROM customer"""

@@ -211,6 +211,50 @@ def agg16(spark, sf_dir):
     return rounded(prof.crosstab(scored(spark, sf_dir), "l_returnflag", "y", [0, 1], pct="row"))
 
 
+@query(
+    "agg15_crosstab_all_values",
+    """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "o_orderstatus_F",
+    count(*) FILTER (o_orderstatus = 'O') AS "o_orderstatus_O", count(*) FILTER (o_orderstatus = 'P') AS "o_orderstatus_P"
+    FROM orders GROUP BY o_orderpriority""",
+)
+def agg15_all(spark, sf_dir):
+    """No values are listed: those that are there become the columns."""
+    return prof.crosstab(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
+
+
+_CUSTOMERS = """WITH t AS (SELECT c_mktsegment, CASE WHEN c_custkey % 9 > 0 THEN c_nationkey END AS nation FROM customer)"""
+
+
+def _customers(spark, sf_dir):
+    nation = F.when(c("c_custkey") % 9 > 0, c("c_nationkey")).alias("nation")
+    return table(spark, sf_dir, "customer").select("c_mktsegment", nation)
+
+
+@query(
+    "agg15_crosstab_listed",
+    f"""{_CUSTOMERS} SELECT c_mktsegment, count(*) FILTER (nation = 3) AS "nation_3", count(*) FILTER (nation = 99) AS "nation_99",
+    count(*) FILTER (nation <> 3) AS "nation_other", count(*) FILTER (nation IS NULL) AS "nation_NA" FROM t GROUP BY c_mktsegment""",
+)
+def agg15_listed(spark, sf_dir):
+    """Fewer values are listed than there are, and one that is not there: all rows are in some cell."""
+    return prof.crosstab(_customers(spark, sf_dir), "c_mktsegment", "nation", [3, 99], nulls=True)
+
+
+@query(
+    "agg16_crosstab_row_pct_most",
+    f"""{_CUSTOMERS}, v AS (SELECT nation, row_number() OVER (ORDER BY count(*) DESC, nation) AS r FROM t WHERE nation IS NOT NULL GROUP BY 1),
+    p AS (SELECT c_mktsegment, r, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM t JOIN v USING (nation))
+    SELECT c_mktsegment, round(100.0 * count(*) FILTER (r <= 4) / any_value(n), 6) AS shown,
+      round(100.0 * count(*) FILTER (r > 4) / any_value(n), 6) AS nation_other FROM p GROUP BY c_mktsegment""",
+)
+def agg16_most(spark, sf_dir):
+    """The four most frequent of 25 values have columns; the row shares still add up to 100."""
+    shares = prof.crosstab(_customers(spark, sf_dir), "c_mktsegment", "nation", pct="row", most=4)
+    shown = [n for n in shares.columns if n not in ("c_mktsegment", "nation_other")]
+    assert len(shown) == 4
+    return rounded(shares.select("c_mktsegment", sum(c(n) for n in shown).alias("shown"), "nation_other"))
+
+
 @query(
     "agg17_count_where",
     f"""WITH {sq.SCORED} SELECT count(*) FILTER (y = 1 AND p > 0.5) AS high_events,

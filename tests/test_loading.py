@@ -126,6 +126,31 @@ def test_half_written_increment_is_completed(spark):
     assert spark.read.parquet(live).groupBy("Chave").count().where("count > 1").count() == 0
 
 
+def test_a_small_batch_reads_a_fraction_of_the_live_table(spark):
+    from riskframe.operators import joins
+
+    live = scratch_path(spark, "live")
+    rows = spark.range(40_000).select(F.md5(c("id").cast("string")).alias("Chave"), c("id").alias("v"))
+    # Random keys: every file spans the whole range, so only the Bloom filters tell them apart.
+    rows.repartition(20).write.options(**joins.key_filters("Chave")).parquet(live)
+    batch = spark.range(39_999, 40_200).select(F.md5(c("id").cast("string")).alias("Chave"))
+
+    def rows_read(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        leaves = (plan.executedPlan() if "Adaptive" in plan.nodeName() else plan).collectLeaves()
+        return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+    table = spark.read.parquet(live)
+    keys = joins.pushed_keys(batch, "Chave")
+    assert len(keys) == 201
+    assert rows_read(table.where(joins._any_of(c("Chave"), keys)).select("Chave")) <= 3 * 2_000
+    assert joins.new_rows(batch, table, "Chave").count() == 200
+    some = spark.createDataFrame([(None,), ("x",)], "Chave string")
+    assert [r[0] for r in joins.new_rows(some, table, "Chave").collect()] in ([None, "x"], ["x", None])
+    assert joins.new_rows(batch.limit(0), table, "Chave").count() == 0
+
+
 def test_a_failure_between_writing_and_moving_is_mended(spark, monkeypatch):
     from riskframe.streaming import ingest
 

@@ -20,6 +20,7 @@ from riskframe.operators.ranking import exact_quantiles, running_totals
 from riskframe.operators.split import exact_split, simulate_batch
 from riskframe.plans import cleaning as plan
 from riskframe.plans import crash_schema as cs
+from riskframe.session import durable
 from riskframe.spec import FeatureSpec
 from riskframe.workload.registry import feed, planted, scored, table
 
@@ -443,6 +444,33 @@ def test_road_filter_and_columns_reach_the_scan(spark):
     assert "In(Trecho" in plan_text(plan.cleaned_table(raw))
 
 
+def test_crosstab_cells_add_up_to_the_rows(spark):
+    rows = spark.createDataFrame(
+        [("a", "x"), ("a", "other"), ("a", "NA"), ("b", "y"), ("b", "z"), ("b", None), (None, "x")], "r string, k string"
+    )
+    for listed, nulls in ((None, False), (None, True), (["x"], False), (["other", "q"], True), ([], True)):
+        table = prof.crosstab(rows, "r", "k", listed, nulls=nulls).collect()
+        n = 7 if nulls else 5
+        assert sum(sum(v for v in r[1:]) for r in table) == n
+        shares = prof.crosstab(rows, "r", "k", listed, pct="row", nulls=nulls).collect()
+        assert all(abs(sum(r[1:]) - 100) < 1e-9 for r in shares)
+    assert prof.crosstab(rows, "r", "k").columns == ["r", "k_NA", "k_other", "k_x", "k_y", "k_z"]
+    assert "k_other_" in prof.crosstab(rows, "r", "k", ["other"]).columns
+    assert prof.crosstab(rows.limit(0), "r", "k").count() == 0
+
+
+def test_a_comparison_scans_its_source_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(metrics, "durable", lambda df: kept.append(plan_text(df)) or durable(df))
+    rows = scored(spark, SF001)
+    samples = [metrics.Sample(f"{s}{k}", "p", 0.5, where=c("l_linestatus") == s) for s in "FO" for k in range(2)]
+    got = metrics.evaluate_all(rows, "y", samples)
+    assert len(kept) == 1 and kept[0].count("Scan parquet") == 1
+    text = plan_text(got)
+    assert "Scan parquet" not in text and text.count("SinglePartition") == 0
+    assert {r["sample"] for r in got.collect()} == {"F0", "F1", "O0", "O1"}
+
+
 def test_no_cartesian_products(spark):
     rows = scored(spark, SF01)
     frames = [
