@@ -30,18 +30,19 @@ def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     """The first row of each key group in ``order_by`` order (nulls first).
 
     The remaining columns break ties, so the survivor never depends on how the
-    input was partitioned.  Exact copies go first, in a hash aggregate, so that
-    the ordered minimum, which Spark computes over sorted keys, sees one row of
-    each; both share one shuffle by the keys.
+    input was partitioned.  Exact copies go first, in a hash aggregate.  Spark
+    computes the ordered minimum over sorted groups; a 64-bit hash of the keys
+    leads their order and their shuffle, so rows are placed by one fixed-width
+    number and the wide keys are compared only where it is equal.
     """
     order = list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order]
     payload = [c for c in (*order, *rest) if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    # Distinct rows merge map-side in hash tables and are then dealt by the keys.
-    rows = df.select(*keys, *payload).distinct().repartition(*[F.col(k) for k in keys])
-    best = rows.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_first"))
+    # Distinct rows merge map-side in hash tables and are then dealt by the hash of the keys.
+    rows = df.select(F.xxhash64(*keys).alias("_hash"), *keys, *payload).distinct().repartition("_hash")
+    best = rows.groupBy("_hash", *keys).agg(F.min(F.struct(*payload)).alias("_first"))
     return best.select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 

@@ -13,6 +13,21 @@ from riskframe.operators.binning import cut, quantile_breaks
 MISSING = "NA"
 
 
+def _binned(df, y, categorical, numeric, bins, breaks) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows with a target, and the bin of each variable; null for a missing value."""
+    rows = df.where(F.col(y).isNotNull())
+    given = dict(breaks or {})
+    unknown = [c for c in numeric if c not in given]
+    if unknown:
+        given |= quantile_breaks(rows, unknown, [i / bins for i in range(bins + 1)])
+    labelled = {c: F.col(c).cast("string") for c in categorical}
+    for c in numeric:
+        edges = given[c]
+        one_bin = F.when(F.col(c).isNotNull(), F.lit("all"))
+        labelled[c] = cut(F.col(c), edges) if len(edges) > 1 else one_bin
+    return rows, labelled
+
+
 def woe_table(
     df: DataFrame,
     y: str,
@@ -30,16 +45,7 @@ def woe_table(
     event or no non-event has an undefined WOE: it contributes 0 and is flagged,
     unless ``smoothing`` adds that many rows to each cell.
     """
-    rows = df.where(F.col(y).isNotNull())
-    given = dict(breaks or {})
-    unknown = [c for c in numeric if c not in given]
-    if unknown:
-        given |= quantile_breaks(rows, unknown, [i / bins for i in range(bins + 1)])
-    labelled = {c: F.col(c).cast("string") for c in categorical}
-    for c in numeric:
-        edges = given[c]
-        one_bin = F.when(F.col(c).isNotNull(), F.lit("all"))
-        labelled[c] = cut(F.col(c), edges) if len(edges) > 1 else one_bin
+    rows, labelled = _binned(df, y, categorical, numeric, bins, breaks)
     pairs = F.array(
         *[
             F.struct(
@@ -88,6 +94,43 @@ def iv_summary(table: DataFrame) -> DataFrame:
     )
 
 
+def information_classes(
+    df: DataFrame,
+    y: str,
+    categorical=(),
+    numeric=(),
+    bins: int = 10,
+    breaks: dict[str, list] | None = None,
+) -> dict[str, str]:
+    """For each variable, the first by name of those that carry the same information.
+
+    Two variables do if each one's bin determines the other's: they have as many
+    bins, and there are no more pairs of bins than that.  Only variables whose
+    bins have the same numbers of rows and events can; their pairs are
+    counted in one more scan.  Variables of equal information value by chance
+    stay apart.
+    """
+    cells = woe_table(df, y, categorical, numeric, bins, breaks)
+    marks = cells.groupBy("variable").agg(
+        F.count("*").alias("bins"), F.sum(F.xxhash64("n", "n1").cast("decimal(38,0)")).alias("mark")
+    ).orderBy("variable").collect()  # one row per variable
+    first = {r["variable"]: r["variable"] for r in marks}
+    pairs = [
+        (a["variable"], b["variable"], a["bins"])
+        for i, a in enumerate(marks) for b in marks[i + 1 :] if (a["bins"], a["mark"]) == (b["bins"], b["mark"])
+    ]
+    if not pairs:
+        return first
+    rows, labelled = _binned(df, y, categorical, numeric, bins, breaks)
+    met = F.array(*[F.struct(F.lit(k).alias("k"), labelled[a].alias("a"), labelled[b].alias("b")) for k, (a, b, _) in enumerate(pairs)])
+    joint = rows.select(F.inline(met)).distinct().groupBy("k").agg(F.count("*").alias("n"))
+    found = {r["k"]: r["n"] for r in joint.collect()}
+    for k, (a, b, n) in enumerate(pairs):
+        if found.get(k) == n:
+            first[b] = min(first[a], first[b])
+    return first
+
+
 def select_features(
     iv: DataFrame,
     roles: dict[str, str],
@@ -95,12 +138,15 @@ def select_features(
     keep=(),
     weak: float = 0.1,
     suspicious: float = 0.5,
+    classes: dict[str, str] | None = None,
 ) -> DataFrame:
     """Decision per variable: leakage, duplicate information, weak, suspicious or kept.
 
-    Variables with the same information value carry the same information; the
-    numeric form outranks the categorical, and that the binary one.  ``keep``
-    names business overrides of the weak and suspicious rules.
+    Of variables with the same information the numeric form outranks the
+    categorical, and that the binary one.  ``classes`` tells which these are
+    (``information_classes``); without it, equal information values are taken
+    for the same information.  ``keep`` names business overrides of the weak
+    and suspicious rules.
     """
     ranks = {"numeric": 0, "categorical": 1, "binary": 2}
     name = F.col("variable")
@@ -108,7 +154,12 @@ def select_features(
     for variable, role in roles.items():
         rank = F.when(name == variable, ranks[role]).otherwise(rank)
     leaking = name.isin(*leakage) if leakage else F.lit(False)
-    same = Window.partitionBy(F.round("iv", 8), leaking).orderBy(rank, "variable")
+    told: Column = F.round("iv", 8)
+    if classes is not None:
+        told = name
+        for variable, first in classes.items():
+            told = F.when(name == variable, first).otherwise(told)
+    same = Window.partitionBy(told, leaking).orderBy(rank, "variable")
     override = name.isin(*keep) if keep else F.lit(False)
     rule = (
         F.when(leaking, "leakage")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from riskframe.operators.collinearity import vif
 from riskframe.operators.columns import complete_cases, drop_report
-from riskframe.operators.woe import iv_summary, select_features, woe_table
+from riskframe.operators.woe import information_classes, iv_summary, select_features, woe_table
 from riskframe.session import durable
 from riskframe.spec import FeatureSpec
 
@@ -49,9 +49,14 @@ def screen(
     roles = (
         {c: "numeric" for c in spec.numeric} | {c: "categorical" for c in spec.levels} | {c: "binary" for c in spec.binary}
     )
+    classes = information_classes(
+        rows, spec.target, (*spec.levels, *spec.binary), spec.numeric, bins=bins, breaks=breaks
+    )
     # One row per predictor.
     decisions = durable(
-        select_features(iv_summary(evidence), roles, leakage=leakage, keep=keep, weak=weak, suspicious=suspicious)
+        select_features(
+            iv_summary(evidence), roles, leakage=leakage, keep=keep, weak=weak, suspicious=suspicious, classes=classes
+        )
     )
     gone = [r["variable"] for r in decisions.where("kept = 0").collect()]
     chosen = spec.without(*gone)

@@ -154,11 +154,8 @@ def sca15(spark, sf_dir):
     SELECT raw, CAST({sq.clock("x")} AS DOUBLE) AS seconds FROM u""",
 )
 def sca16(spark, sf_dir):
-    return (
-        feed(spark, sf_dir)
-        .select(text.strip_invisible(c("Horario")).alias("raw"))
-        .withColumn("seconds", clock.parse_clock(c("raw")).cast("double"))
-    )
+    rows = feed(spark, sf_dir).select(text.strip_invisible(c("Horario")).alias("raw"))
+    return clock.add_clock(rows, "raw", "seconds").withColumn("seconds", c("seconds").cast("double"))
 
 
 on_feed(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskframe.functions import flags
 from riskframe.operators import binning, metrics, woe
@@ -12,6 +13,7 @@ from riskframe.operators.columns import align_levels
 from riskframe.operators.split import exact_split, hash_share, simulate_batch
 from riskframe.plans import cleaning as plan
 from riskframe.plans import crash_schema as cs
+from riskframe.session import durable
 from riskframe.spec import FeatureSpec
 from riskframe.workload import sqltext as sq
 from riskframe.workload.registry import feed, planted, query, rounded, scored, table
@@ -318,6 +320,35 @@ def sel1(spark, sf_dir):
     )
 
 
+_SHIFTED = """coalesce(lag(l_returnflag) OVER w, last_value(l_returnflag) OVER (PARTITION BY l_orderkey, y ORDER BY l_linenumber
+  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+_TWINS = {"l_returnflag": "l_returnflag", "mirrored": "mirrored", "shifted": "shifted", "l_linestatus": "l_linestatus"}
+
+
+@query(
+    "sel1_true_duplicate",
+    f"""WITH {sq.PLANTED}, t AS (SELECT *, 'is ' || lower(l_returnflag) AS mirrored, {_SHIFTED} AS shifted FROM planted
+      WINDOW w AS (PARTITION BY l_orderkey, y ORDER BY l_linenumber)),
+    {_evidence("t", "y", _TWINS)}, iv AS (SELECT variable, sum(iv) AS iv FROM evidence GROUP BY variable)
+    SELECT variable, round(iv, 6) AS iv, CASE WHEN variable = 'mirrored' THEN 'duplicate'
+        WHEN iv < 0.1 THEN 'weak' WHEN iv > 0.5 THEN 'suspicious' ELSE 'kept' END AS rule,
+      CASE WHEN variable = 'mirrored' OR iv < 0.1 OR iv > 0.5 THEN 0 ELSE 1 END AS kept FROM iv""",
+)
+def sel1_duplicate(spark, sf_dir):
+    """A renamed copy of a variable is a duplicate; one of equal information value, dealt to other rows, is not."""
+    rows = planted(spark, sf_dir)
+    within = Window.partitionBy("l_orderkey", "y").orderBy("l_linenumber")
+    ends = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({
+        "mirrored": F.concat(F.lit("is "), F.lower("l_returnflag")),
+        "shifted": F.coalesce(F.lag("l_returnflag").over(within), F.last_value("l_returnflag").over(ends)),
+    })
+    rows = durable(rows.select("y", *_TWINS))
+    classes = woe.information_classes(rows, "y", categorical=_TWINS)
+    found = woe.iv_summary(woe.woe_table(rows, "y", categorical=_TWINS))
+    return rounded(woe.select_features(found, {v: "categorical" for v in _TWINS}, classes=classes))
+
+
 _FEW = (0, 0.5, 1.5, 100)
 _CRASH_VARIABLES = {v: _cut_sql(v, _FEW, binning.break_labels(_FEW)) for v in cs.VEHICLES} | {"Periodo": "Periodo", "Km_cat": "Km_cat"}
 

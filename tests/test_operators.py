@@ -226,6 +226,21 @@ def test_selection_rules(spark):
     }
 
 
+def test_information_classes_tell_duplicates_from_coincidence(spark):
+    rows = spark.createDataFrame(
+        [(i % 2, i % 4 // 2, "no yes".split()[i % 4 // 2], i % 4 // 2 if i % 8 < 4 else 1 - i % 4 // 2, None if i % 5 else i % 3)
+         for i in range(80)],
+        "y int, count int, flag string, other int, gaps int",
+    )
+    names = ("flag", "other", "gaps")
+    classes = woe.information_classes(rows, "y", names, ("count",), breaks={"count": [-1, 0.5, 2]})
+    assert classes == {"count": "count", "flag": "count", "other": "other", "gaps": "gaps"}
+    iv = woe.iv_summary(woe.woe_table(rows, "y", names, ("count",), breaks={"count": [-1, 0.5, 2]}))
+    picked = woe.select_features(iv, {"count": "numeric", "flag": "binary"}, weak=0, classes=classes)
+    assert {r.variable: r.rule == "duplicate" for r in picked.collect()} == {
+        "count": False, "flag": True, "other": False, "gaps": False}
+
+
 def test_drop_report_shows_informative_loss(spark):
     rows = spark.createDataFrame([(None, 1)] * 5 + [(1, 0)] * 10 + [(1, 1)], "x int, y int")
     report = {r.part: (r.n, r.events, round(r.rate, 3)) for r in cols.drop_report(rows, ["x"], "y").collect()}
@@ -549,4 +564,6 @@ def test_feature_dedupe_hashes_before_it_sorts(spark):
     plan = plan_text(keep_first(rows, ["k"], ["t", "v"]))
     lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
     assert "HashAggregate" in lowest
-    assert sum("Exchange hashpartitioning(k" in line for line in plan.splitlines()) == 1
+    # Groups are dealt and ordered by one fixed-width number first.
+    assert sum("Exchange hashpartitioning(_hash" in line for line in plan.splitlines()) == 1
+    assert "Sort [_hash" in plan
