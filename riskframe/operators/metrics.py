@@ -61,12 +61,31 @@ def _grouped_gap(groups: int) -> Column:
     return F.when(first <= last, F.array_max(F.transform(F.sequence(first, F.greatest(first, last)), gap)))
 
 
-def _auc(flip: bool) -> Column:
-    """Share of (event, non-event) pairs ranked right, ties counting half."""
+def _median(run: str, every: str) -> Column:
+    """Exact median score of the rows a running count counts, from the highest score down."""
+    def at(rank: Column) -> Column:
+        return F.max(F.when(F.col(run) >= rank, F.col("score")))
+
+    n = F.col(every)
+    return (at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2
+
+
+def _auc(direction: bool | str) -> Column:
+    """Share of (event, non-event) pairs ranked right, ties counting half.
+
+    ``direction=True`` counts low scores as events where the median of the events is below
+    that of the non-events; ``'half'`` takes whichever direction gives at least one half.
+    """
     below = F.col("n0_all") - F.col("n0_run")
     pairs = F.sum(F.col("n1") * (below + F.col("n0") / 2))
     value = ratio(pairs, F.max(F.col("n1_all") * F.col("n0_all")))
-    return F.greatest(value, 1 - value) if flip else value
+    if direction not in (True, False, "half"):
+        raise ValueError("the direction must be True, False or 'half'")
+    if direction == "half":
+        return F.greatest(value, 1 - value)
+    if direction:
+        return F.when(_median("n1_run", "n1_all") < _median("n0_run", "n0_all"), 1 - value).otherwise(value)
+    return value
 
 
 def ks(df: DataFrame, y: str, p: str, groups: int | None = None, counts=None) -> DataFrame:
@@ -80,9 +99,14 @@ def ks(df: DataFrame, y: str, p: str, groups: int | None = None, counts=None) ->
 
 
 def auc(
-    df: DataFrame, y: str, p: str, auto_direction: bool = False, counts=None
+    df: DataFrame, y: str, p: str, auto_direction: bool | str = False, counts=None
 ) -> DataFrame:
-    """Area under the ROC curve, one row; optionally flipped to at least one half."""
+    """Area under the ROC curve, one row.
+
+    ``auto_direction`` lets the exact medians of events and non-events decide
+    which scores speak for an event, so a curve near the diagonal may stay below
+    one half; ``'half'`` flips to at least one half.
+    """
     return score_curve(df, y, p, counts).agg(_auc(auto_direction).alias("auc"))
 
 
@@ -216,7 +240,7 @@ def evaluate_all(
     samples: list[Sample],
     counts=None,
     groups: int = 10,
-    auto_direction: bool = False,
+    auto_direction: bool | str = False,
 ) -> DataFrame:
     """One comparison row per sample: discrimination and class metrics.
 
@@ -281,7 +305,7 @@ def evaluate(
     strict: bool = True,
     counts=None,
     groups: int = 10,
-    auto_direction: bool = False,
+    auto_direction: bool | str = False,
 ) -> DataFrame:
     """One comparison row for a scored sample: discrimination and class metrics."""
     return evaluate_all(df, y, [Sample(name, p, cut, strict)], counts, groups, auto_direction)

@@ -45,7 +45,7 @@ def monitor(
     run_at: datetime | None = None,
     collapse: bool = True,
     stored_ks: str = "ks",
-    auto_direction: bool = False,
+    auto_direction: bool | str = False,
 ) -> MonitorRun:
     """Refit on the whole live table and measure it there at the baseline cutoff.
 

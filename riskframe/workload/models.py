@@ -162,6 +162,20 @@ def vif1(spark, sf_dir):
     return rounded(report, 4)
 
 
+@query(
+    "vif1_fitted_model",
+    f"""{_RATES}, l AS (SELECT level, v, base_v FROM m, a WHERE level <> 'A'),
+    shared AS (SELECT any_value(base_v) * any_value(base_v) / product(v + base_v) AS r2 FROM l)
+    SELECT 'l_returnflag' AS variable, 'l_returnflag' || level AS term, round(1 / (1 - r2), 4) AS vif, 2 AS df,
+      1.0::DOUBLE AS gvif, 1.0::DOUBLE AS gvif_root, round(sqrt(v + base_v), 4) AS std_error FROM l, shared""",
+)
+def vif1_fitted(spark, sf_dir):
+    """Collinearity of a fitted logit on one factor: its slopes share the reference level's variance."""
+    patterns = durable(glm.covariate_patterns(planted(spark, sf_dir), FLAG_SPEC))
+    fit = glm.fit_logit(patterns, FLAG_SPEC, counts=glm.PATTERN_COUNTS)
+    return rounded(vif(patterns, FLAG_SPEC, fit, glm.PATTERN_COUNTS), 4)
+
+
 # --- tree ----------------------------------------------------------------------------
 
 _TREE_VARIABLES = ("l_returnflag", "l_linestatus", "l_linenumber")

@@ -453,6 +453,41 @@ def evl2(spark, sf_dir):
     return rounded(metrics.auc(scored(spark, sf_dir), "y", "p"))
 
 
+# A score whose events have the lower median but still win more pairs, by a part of very high scores; and its reverse.
+_TILTED = """tilted AS (SELECT l_linenumber % 7 = 0 OR l_orderkey % 5 < 2 AS e, l_quantity + CASE
+    WHEN l_linenumber % 7 = 0 OR l_orderkey % 5 < 2 THEN CASE WHEN l_partkey % 20 < 9 THEN 60 ELSE -22 END ELSE 0 END AS p FROM lineitem)"""
+_TILTED_AUC = """r AS (SELECT CAST({y} AS DOUBLE) AS y, {p} AS p FROM tilted),
+  q AS (SELECT p, sum(y) AS n1, sum(1 - y) AS n0 FROM r GROUP BY p),
+  c AS (SELECT *, sum(n0) OVER (ORDER BY p) - n0 / 2 AS below FROM q),
+  a AS (SELECT sum(n1 * below) / (sum(n1) * sum(n0)) AS auc FROM c),
+  m AS (SELECT median(p) FILTER (y = 1) AS m1, median(p) FILTER (y = 0) AS m0 FROM r)
+  SELECT '{name}' AS score, round(auc, 6) AS as_scored, round(CASE WHEN m1 < m0 THEN 1 - auc ELSE auc END, 6) AS by_medians,
+    round(greatest(auc, 1 - auc), 6) AS at_least_half FROM a, m"""
+
+
+@query(
+    "evl2_auc_direction",
+    " UNION ALL ".join(
+        f"(WITH {_TILTED}, {_TILTED_AUC.format(y=y, p=p, name=n)})"
+        for n, y, p in (("tilted", "e", "p"), ("reversed", "e", "-p"))
+    ),
+)
+def evl2_direction(spark, sf_dir):
+    """Where the medians and the area disagree about the direction of a score."""
+    event = (c("l_linenumber") % 7 == 0) | (c("l_orderkey") % 5 < 2)
+    lift = F.when(event, F.when(c("l_partkey") % 20 < 9, 60).otherwise(-22)).otherwise(0)
+    rows = table(spark, sf_dir, "lineitem").select(event.cast("int").alias("y"), (c("l_quantity") + lift).alias("p"))
+    out = None
+    for name, sign in (("tilted", 1), ("reversed", -1)):
+        signed = rows.withColumn("p", c("p") * sign)
+        areas = {"as_scored": False, "by_medians": True, "at_least_half": "half"}
+        row = metrics.auc(signed, "y", "p").select(F.lit(name).alias("score"))
+        for label, direction in areas.items():
+            row = row.join(F.broadcast(metrics.auc(signed, "y", "p", direction).select(F.lit(name).alias("score"), c("auc").alias(label))), "score")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out)
+
+
 _ROC = f"""{_CURVE}, points AS (
   SELECT score AS cutoff, n1_run AS tp, n0_run AS fp, n1_all - n1_run AS fn, n0_all - n0_run AS tn
   FROM curve UNION ALL

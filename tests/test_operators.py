@@ -397,6 +397,39 @@ def test_vif_of_grouped_terms(spark):
     assert report["l_returnflagN"].gvif_root == pytest.approx(1, abs=0.05)
 
 
+def test_vif_of_a_fitted_model_equals_dense_algebra(spark):
+    rng = np.random.default_rng(4)
+    n = 3000
+    a, g = rng.normal(size=n), rng.integers(0, 3, n)
+    b = 0.7 * a + 0.5 * g + rng.normal(size=n)
+    y = (rng.random(n) < 1 / (1 + np.exp(1 - a - 0.3 * b + g))).astype(int)
+    rows = spark.createDataFrame(
+        [(int(y[i]), float(a[i]), float(b[i]), "uvw"[g[i]], 2.0) for i in range(n)] + [(1, None, 0.0, "u", 2.0)],
+        "y int, a double, b double, g string, same double",
+    )
+    spec = FeatureSpec(target="y", numeric=("a", "b"), levels={"g": ("u", "v", "w")})
+    fit = glm.fit_logit(rows.dropna(), spec, collapse=False)
+    x = np.column_stack([np.ones(n), a, b, g == 1, g == 2]).astype(float)
+    p = 1 / (1 + np.exp(-x @ np.array(fit.coefficients)))
+    cov = np.linalg.inv(x.T @ (x * (p * (1 - p))[:, None]))
+    error = np.sqrt(np.diag(cov))
+    corr = (cov / np.outer(error, error))[1:, 1:]
+    report = {r.term: r for r in vif(rows, spec, fit).collect()}
+    assert [report[t].std_error for t in ("a", "b", "gv", "gw")] == pytest.approx(error[1:].tolist())
+    assert report["a"].std_error == pytest.approx(fit.std_errors[1], rel=1e-4)
+    det = np.linalg.det
+    assert report["gv"].gvif == pytest.approx(det(corr[2:, 2:]) * det(corr[:2, :2]) / det(corr))
+    assert report["a"].gvif == report["a"].vif == pytest.approx(np.linalg.inv(corr)[0, 0])
+
+
+def test_direction_follows_the_medians(spark):
+    rows = spark.createDataFrame([(1, s) for s in (1.0, 2.0, 9.0)] + [(0, s) for s in (1.5, 3.0, 4.0, 0.5)], "y int, p double")
+    plain = metrics.auc(rows, "y", "p").first().auc
+    assert plain == pytest.approx(7 / 12)
+    assert metrics.auc(rows, "y", "p", auto_direction=True).first().auc == pytest.approx(1 - 7 / 12 if 2.0 < 2.25 else 7 / 12)
+    assert metrics.auc(rows, "y", "p", auto_direction="half").first().auc == pytest.approx(7 / 12)
+
+
 def test_chaid_recovers_planted_groups(spark):
     rng = random.Random(17)
     rates = {"a": 0.02, "b": 0.02, "c": 0.2}
