@@ -143,6 +143,9 @@ def _contingency(patterns: DataFrame, nodes: list[Node], variables) -> DataFrame
     )
 
 
+#: Categories of all open nodes and predictors together that are merged in place, without tasks of their own.
+FEW_CELLS = 2000
+
 _MERGED = (
     "_node int, variable string, log_p double, parts int, smallest long, "
     "groups array<struct<levels:array<string>,n:long,n1:long>>"
@@ -154,11 +157,12 @@ def _best_splits(
 ) -> dict[int, tuple]:
     """{node: (log p, variable, groups)} of the admissible split with the smallest p."""
 
+    few = counts.limit(FEW_CELLS + 1).toPandas()
+    if len(few) <= FEW_CELLS:
+        return _best_of_few(few, variables, alpha_merge, alpha_split, floor)
+
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("level")
-        groups, log_p = merge_categories(
-            rows["level"].tolist(), rows["n"].to_numpy(), rows["n1"].to_numpy(), alpha_merge
-        )
+        groups, log_p = _merged_rows(rows, alpha_merge)
         return pd.DataFrame(
             {
                 "_node": [rows["_node"].iloc[0]],
@@ -190,6 +194,26 @@ def _best_splits(
     }
 
 
+def _merged_rows(rows: pd.DataFrame, alpha_merge: float):
+    rows = rows.sort_values("level")
+    return merge_categories(rows["level"].tolist(), rows["n"].to_numpy(), rows["n1"].to_numpy(), alpha_merge)
+
+
+def _best_of_few(cells: pd.DataFrame, variables, alpha_merge: float, alpha_split: float, floor: float) -> dict[int, tuple]:
+    """The same choice over a table of at most ``FEW_CELLS`` categories, where starting tasks would cost more."""
+    best = {}
+    for node, own in cells.groupby("_node", sort=True):
+        found = []
+        for variable, rows in own.groupby("variable"):
+            groups, log_p = _merged_rows(rows, alpha_merge)
+            if len(groups) >= 2 and min(g[1] for g in groups) >= floor and log_p <= math.log(alpha_split):
+                found.append((log_p, variables.index(variable), variable, groups))
+        if found:
+            log_p, _, variable, groups = min(found)
+            best[int(node)] = (log_p, variable, groups)
+    return best
+
+
 def merge_categories(levels: list[str], n, n1, alpha: float):
     """Merge the least different pair of categories until all pairs differ.
 

@@ -236,18 +236,14 @@ def _gather(data: DataFrame, ranks: list[_Rank]) -> None:
     cells = (
         unpivot_doubles(data.select(*picks))
         .groupBy("variable", "level")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").cast("double").alias("n"))
     )
-    # At most ``gather_rows`` rows stand behind each variable here.
-    run = F.sum("n").over(Window.partitionBy("variable").orderBy("level"))
+    # Ranges of values, not whole columns, are sorted; all columns share one set of them.
+    running = totals_of_cells(durable(cells), "level", ["n"], by=("variable",))
     reached = [
-        (F.col("variable") == names[r.interval]) & (F.col("upto") > r.rank - r.below) for r in ranks
+        (F.col("variable") == names[r.interval]) & (F.col("n_run") > r.rank - r.below) for r in ranks
     ]
-    row = (
-        cells.withColumn("upto", run)
-        .agg(*[F.min(F.when(hit, F.col("level"))).alias(str(k)) for k, hit in enumerate(reached)])
-        .first()
-    )
+    row = running.agg(*[F.min(F.when(hit, F.col("level"))).alias(str(k)) for k, hit in enumerate(reached)]).first()
     for k, r in enumerate(ranks):
         r.value = row[str(k)]
 

@@ -397,6 +397,34 @@ def test_vif_of_grouped_terms(spark):
     assert report["l_returnflagN"].gvif_root == pytest.approx(1, abs=0.05)
 
 
+def test_the_tree_is_the_same_with_and_without_tasks(spark, monkeypatch):
+    rng = random.Random(23)
+    rows = [(int(rng.random() < 0.05 + 0.1 * (a % 3) + 0.2 * (b > 4)), f"a{a}", f"b{b}") for a, b in
+            ((rng.randrange(9), rng.randrange(8)) for _ in range(4000))]
+    df = spark.createDataFrame(rows, "y int, a string, b string")
+    found = []
+    for few in (2000, 0):
+        monkeypatch.setattr(chaid, "FEW_CELLS", few)
+        tree = chaid.fit_chaid(df, "y", ("a", "b"))
+        found.append([(n.rule, n.n, n.n1, n.split_on, n.log_p) for n in tree.nodes()])
+    assert found[0] == found[1] and len(found[0]) > 4
+
+
+def test_quantiles_sort_ranges_not_columns(spark, monkeypatch):
+    from riskframe.operators import ranking
+
+    made = []
+    totals = ranking.totals_of_cells
+    monkeypatch.setattr(ranking, "totals_of_cells", lambda *a, **k: made.append(totals(*a, **k)) or made[-1])
+    rows = spark.range(20_000).selectExpr("cast(id as double) a", "cast((id * 7919) % 20011 as double) b")
+    got = exact_quantiles(rows, ["a", "b"], [0, 0.25, 0.5, 1])
+    assert got["a"] == [0, 4999.75, 9999.5, 19999]
+    values = sorted((i * 7919) % 20011 for i in range(20_000))
+    assert got["b"][2] == (values[9999] + values[10000]) / 2
+    text = plan_text(made[0])
+    assert "Scan" in text and "windowspecdefinition(variable" in text and "_range" in text.split("windowspecdefinition(variable")[1]
+
+
 def test_vif_of_a_fitted_model_equals_dense_algebra(spark):
     rng = np.random.default_rng(4)
     n = 3000
