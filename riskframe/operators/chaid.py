@@ -218,12 +218,14 @@ def merge_categories(levels: list[str], n, n1, alpha: float):
     """Merge the least different pair of categories until all pairs differ.
 
     Returns the groups as (levels, n, n1) in order of their first level, and the
-    log of the adjusted p value.  Each group remembers its least different later
+    log of the adjusted p value.  Categories of one rate do not differ at all and
+    go together first, so the work grows with the square of the distinct
+    rates, not of the categories.  Each group then remembers its least different later
     group, so a merge compares the new group with all others and renews only
     those that had pointed at the merged two.
     """
-    size, events = np.array(n, dtype=float), np.array(n1, dtype=float)
-    names = [[v] for v in levels]
+    categories = len(levels)
+    size, events, names = _same_rates(levels, np.array(n, np.int64), np.array(n1, np.int64), alpha)
     start = len(names)
     alive = np.ones(start, dtype=bool)
 
@@ -271,7 +273,24 @@ def merge_categories(levels: list[str], n, n1, alpha: float):
     if len(groups) < 2:
         return groups, 0.0
     statistic = pearson(groups)
-    return groups, min(0.0, log_chi2_tail(statistic, len(groups) - 1) + _log_ways(start, len(groups)))
+    return groups, min(0.0, log_chi2_tail(statistic, len(groups) - 1) + _log_ways(categories, len(groups)))
+
+
+def _same_rates(levels: list[str], n: np.ndarray, n1: np.ndarray, alpha: float):
+    """Rows, events and names of the groups of categories with one rate, in order of their first level."""
+    if not len(n) or alpha >= 1:
+        return n.astype(float), n1.astype(float), [[v] for v in levels]
+    common = np.gcd(n, n1)
+    rates = np.stack([n // common, n1 // common], axis=1)
+    _, first, own = np.unique(rates, axis=0, return_index=True, return_inverse=True)
+    rank = np.empty(len(first), np.int64)
+    rank[np.argsort(first)] = np.arange(len(first))
+    own = rank[own.ravel()]
+    names: list[list[str]] = [[] for _ in first]
+    for level, group in zip(levels, own.tolist()):
+        names[group].append(level)
+    size, events = (np.bincount(own, weights=x, minlength=len(first)) for x in (n, n1))
+    return size, events, [sorted(v) for v in names]
 
 
 def pearson(groups) -> float:

@@ -615,6 +615,26 @@ def test_merging_equals_all_pairs_recomputed():
         assert chaid.merge_categories(levels, n, n1, 0.05)[0] == groups
 
 
+def test_equal_rates_merge_first_and_change_nothing(monkeypatch):
+    import time
+
+    def categories(seed, count):
+        rng = np.random.default_rng(seed)
+        n = rng.integers(1, 40, count)
+        return [f"c{i:06d}" for i in range(count)], n, rng.binomial(n, rng.choice([0.1, 0.3, 0.8], count))
+
+    for seed in range(4):
+        drawn = categories(seed, 400)
+        quick = chaid.merge_categories(*drawn, 0.05)
+        with monkeypatch.context() as plain:
+            plain.setattr(chaid, "_same_rates", lambda v, n, n1, alpha: (n.astype(float), n1.astype(float), [[x] for x in v]))
+            assert chaid.merge_categories(*drawn, 0.05) == quick
+    started = time.perf_counter()
+    groups, _ = chaid.merge_categories(*categories(9, 100_000), 0.05)
+    assert time.perf_counter() - started < 120
+    assert 1 < len(groups) < 200 and sum(len(g[0]) for g in groups) == 100_000
+
+
 def test_quantiles_between_infinities(spark):
     rows = spark.createDataFrame([(1.0,), (math.inf,), (math.inf,)], "x double")
     assert exact_quantiles(rows, ["x"], [0.5, 0.75, 1])["x"] == [math.inf] * 3
