@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -13,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A side is broadcast only when its counted rows stay under this.
-BROADCAST_ROWS = 1_000_000
+#: A side is broadcast only when its counted bytes stay under this.
+BROADCAST_BYTES = 64 << 20
 #: Entries of a summed table in one row.
 BLOCK = 4096
 #: Tasks whose tables are added in a first step.
@@ -26,9 +27,21 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
-def small_if_counted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` (narrow) rows; else left to a shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+def counted_bytes(df: DataFrame) -> int:
+    """About what the rows of ``df`` take: texts, binaries and arrays by their length, 8 bytes for any other value."""
+    width = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + 8 * F.greatest(F.size(F.col(f.name)), F.lit(0))
+        width = width + 8
+    return int(df.agg(F.sum(width.cast("long"))).first()[0] or 0)
+
+
+def small_if_counted(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (kept or cheap) with a broadcast hint if its counted bytes are at most ``most``; else left to a shuffle."""
+    return F.broadcast(df) if counted_bytes(df) <= most else df
 
 
 def released(spark: SparkSession) -> None:
@@ -40,6 +53,16 @@ def released(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trimmed() -> None:
+    """Give memory that a Python worker no longer uses back to the machine; an idle one would keep it from its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def renewed(df: DataFrame) -> DataFrame:
     """``df`` with columns of its own, for a cogroup with a frame of the same origin."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])
@@ -55,6 +78,8 @@ def map_column(df: DataFrame, column: str, keep: list[str], made: list[tuple[str
         for batch in batches:
             new = make(batch.column(0))
             yield pa.RecordBatch.from_arrays([batch.column(i + 1) for i in range(len(keep))] + new, names=names)
+            del new, batch
+        trimmed()
 
     return df.select(F.col(column), *[F.col(c) for c in keep]).mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from riskframe.llm import words
 from riskframe.llm.frames import (
-    TABLE_SCHEMA, fold, labelled_sample, logistic, map_column, platt, summed, table_rows,
+    TABLE_SCHEMA, fold, labelled_sample, logistic, map_column, platt, summed, table_rows, trimmed,
 )
 from riskframe.session import durable
 
@@ -45,6 +45,8 @@ COMMON = 1024
 NEIGHBOURS = 15
 EXAMPLES_IN_BLOCK = 64
 ROWS_AT_ONCE = 256
+#: The same for the examples themselves, in the driver.
+FEW_ROWS = 64
 POSTINGS_AT_ONCE = 1 << 21
 #: Documents (a power of two) that ask for the frequencies of their other words together.
 ASK_BITS = 12
@@ -182,6 +184,7 @@ def document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[n
                 count[:-1] += np.bincount(term, minlength=len(terms))
                 count[-1] += rows
         yield from table_rows(count)
+        trimmed()
 
     total = summed(docs.select(text).mapInArrow(run, TABLE_SCHEMA), len(terms) + 1)
     return total[:-1], int(total[-1])
@@ -198,47 +201,62 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLA
     texts = docs.select(doc_id, text).join(F.broadcast(durable(sample)), doc_id)
 
     def words_of(column: pa.Array) -> list:
-        out = []
+        keys, counts = [], []
         for t in words.tokens(column, words.WORDS_AND_MARKS):
-            out += [x.tobytes() for x in np.split(t.hashes, t.bounds[1:-1])]
-        return [pa.array(out, pa.binary())]
+            row, key, n = counted(t.row_of(), t.hashes)
+            cut = np.searchsorted(row, np.arange(1, t.rows))
+            keys += [x.tobytes() for x in np.split(key, cut)]
+            counts += [x.astype(np.int32).tobytes() for x in np.split(n, cut)]
+        return [pa.array(keys, pa.binary()), pa.array(counts, pa.binary())]
 
+    # Distinct words only, so that an example's size is that of its vocabulary.
     found = map_column(texts.withColumn(doc_id, F.col(doc_id).cast("long")), text, [doc_id, "label"],
-                       [("words", T.BinaryType())], words_of)
-    rows = sorted((r[0], r[1], bytes(r[2])) for r in found.toLocalIterator())
+                       [("words", T.BinaryType()), ("counts", T.BinaryType())], words_of)
+    rows = sorted((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in found.toLocalIterator())
     y, ids = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 0))
-    said = [np.frombuffer(r[2], np.uint64) for r in rows]
+    row = np.repeat(np.arange(len(y)), [len(r[2]) // 8 for r in rows])
+    said = np.frombuffer(b"".join(r[2] for r in rows), np.uint64)
+    count = np.frombuffer(b"".join(r[3] for r in rows), np.int32)
+    del rows
     total = sum(all_labels.values())
     share = all_labels[1] / total if total else 0.5
-    terms, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *said]), return_inverse=True)
+    terms, term = np.unique(said, return_inverse=True)
+    del said
     if len(set(y)) < 2 or not len(terms):
         return Index(terms[:0], np.zeros(0), [], np.zeros((0, 0)), np.zeros(0, np.int64), ids[:0], 0.0, 0.0, share)
     df, n = document_frequency(docs, text, terms)
     idf = inverse(df, n)
-    row, term, count = counted(np.repeat(np.arange(len(y)), [len(x) for x in said]), at)
     weight = (1 + np.log(count)) * idf[term]
     weight /= np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(y)))[row]
     held = np.bincount(term, minlength=len(terms))
     common = np.lexsort((terms, -held))[:COMMON]
     column = np.full(len(terms), -1)
     column[common] = np.arange(len(common))
-    x = np.zeros((len(y), len(common)))
     dense = column[term] >= 0
-    x[row[dense], column[term[dense]]] = weight[dense]
     # Examples with the same leading common word share blocks, which keeps the maxima low.
-    order = np.lexsort((y, x.argmax(axis=1)))
+    lead = np.zeros(len(y), np.int64)
+    at = np.lexsort((column[term[dense]], -weight[dense], row[dense]))
+    own, first = np.unique(row[dense][at], return_index=True)
+    lead[own] = column[term[dense]][at][first]
+    order = np.lexsort((y, lead))
     place = np.argsort(order)
-    x, y, ids, row = x[order], y[order], ids[order], place[row]
+    y, ids, row = y[order], ids[order], place[row]
+    by_row = np.argsort(row, kind="stable")
+    row, term, weight, dense = row[by_row], term[by_row], weight[by_row], dense[by_row]
+    blocks = []
+    for low in range(0, len(y), EXAMPLES_IN_BLOCK):
+        own = slice(*np.searchsorted(row, [low, low + EXAMPLES_IN_BLOCK]))
+        some = dense[own]
+        block = np.zeros((len(common), min(EXAMPLES_IN_BLOCK, len(y) - low)))
+        block[column[term[own][some]], row[own][some] - low] = weight[own][some]
+        blocks.append(block)
     by_term = np.lexsort((row[~dense], term[~dense]))
     starts = np.searchsorted(term[~dense][by_term], np.arange(len(terms) + 1))
-    blocks = [x[i : i + EXAMPLES_IN_BLOCK].T.copy() for i in range(0, len(x), EXAMPLES_IN_BLOCK)]
     index = Index(terms, idf, blocks, np.stack([b.max(axis=1) for b in blocks]), y, ids, 0.0, 0.0, share,
                   column, starts, row[~dense][by_term].astype(np.int32), weight[~dense][by_term])
-    by_row = np.argsort(row, kind="stable")
-    row, term, weight = row[by_row], term[by_row], weight[by_row]
     best, which = np.zeros((len(y), k)), np.full((len(y), k), -1)
-    for low in range(0, len(y), ROWS_AT_ONCE):
-        high = min(low + ROWS_AT_ONCE, len(y))
+    for low in range(0, len(y), FEW_ROWS):
+        high = min(low + FEW_ROWS, len(y))
         own = slice(*np.searchsorted(row, [low, high]))
         q, rest = index.parts(high - low, row[own] - low, term[own], weight[own])
         best[low:high], which[low:high] = index.nearest(q, k, np.arange(low, high), rest)
@@ -280,6 +298,7 @@ def other_lengths(found: DataFrame) -> DataFrame:
                  pa.array([count[a:b].astype(np.int64).tobytes() for a, b in spans], pa.binary())],
                 names=["bucket", "block", "keys", "counts"],
             )
+        trimmed()
 
     def answer(asked: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(b, np.uint64) for b in asked["keys"]]
@@ -352,6 +371,7 @@ def score(docs: DataFrame, index: Index, keep: list[str], k: int = NEIGHBOURS, t
             yield pa.RecordBatch.from_arrays(
                 batch.columns[3:] + [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(fields))], names=[*keep, *out],
             )
+        trimmed()
 
     made = [("best", T.BinaryType()), ("which", T.BinaryType()), ("length", T.DoubleType()), ("other", T.BinaryType())]
     plain = [f"kept_{i}" for i in range(len(keep))]
