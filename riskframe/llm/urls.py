@@ -101,9 +101,12 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, page_id: str = "pa
         pages.select(F.col(page_id), rest.alias("rest"), host.alias("host"), path.alias("path"))
         .withColumn("r", longest_rule(rules)).select("*", "r.rule", F.col("r.verdict").alias("ruled")).drop("r")
     )
+    # Few bytes of urls make many pieces, so they are dealt over all tasks before they are cut.
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     urls = durable(
         rows.groupBy("rest").agg(F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"),
                                  F.count(F.when(F.col("ruled") == "block", 1)).alias("bad"))
+        .repartition(tasks, "rest")
     )
     ratios = small_if_counted(durable(piece_ratios(urls)))
     scored = durable(
