@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.llm import words
-from riskframe.llm.frames import released, renewed, small_if_counted
+from riskframe.llm.frames import released, renewed, small_if_counted, trimmed
 from riskframe.llm.graph import components
 from riskframe.session import durable
 
@@ -328,12 +328,15 @@ def candidates(base: DataFrame, docs: DataFrame, text: str, size: int, percent:
                     held_s, held_m, n = [], [], 0
         if n:
             yield sent(held_s, held_m)
+        del held_s, held_m, seen
+        trimmed()
 
     def met(rows: pd.DataFrame) -> pd.DataFrame:
         """Of a bucket: the groups of classes under one signature, by their places among the distinct names."""
         members, bounds = shared(np.concatenate([thickened(b) for b in rows["x"]]),
                                  np.concatenate([looked_up(b) for b in rows["y"]]))
         names, places = np.unique(members, return_inverse=True)
+        trimmed()
         return pd.DataFrame({"bucket": rows["bucket"].iloc[:1], "names": [names.view(np.int64)],
                              "places": [places.astype(np.int32).tobytes()], "bounds": [bounds.astype(np.int64).tobytes()]})
 
@@ -356,6 +359,7 @@ def candidates(base: DataFrame, docs: DataFrame, text: str, size: int, percent:
             found = passing(members, np.frombuffer(row["bounds"], np.int64), known["sketch"].tolist(),
                             known["n_shingles"].to_numpy(), percent)
             pairs = names[found]
+        trimmed()
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).astype("int64")
 
     held = groups.select("bucket", F.lit(0).cast("long").alias("class"), "names", "places", "bounds")
@@ -380,7 +384,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tup
     column = (np.cumsum(both) - 1)[place[keep]]
     owner, total = owner[keep], int(both.sum())
     common = np.zeros((len(left), len(right)), np.float32)
-    wide = 4096
+    wide = 2048
     for low in range(0, total, wide):
         some = slice(*np.searchsorted(column, [low, low + wide]))
         m = np.zeros((len(left) + len(right), min(wide, total - low)), np.float32)
@@ -427,6 +431,8 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
     def inside(rows: pd.DataFrame) -> pd.DataFrame:
         names, sets = _unpacked(rows.drop_duplicates("class"))
         i, j = linked(sets, sets, percent)
+        del sets
+        trimmed()
         return _spanning(names, names, i[i < j], j[i < j])
 
     large = members.where(F.col("n_coarse") > BLOCK)
@@ -510,6 +516,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
                  pa.array(packed, pa.binary())],
                 names=["doc_id", *kept, "n_shingles", "class", "sketch"],
             )
+        trimmed()
 
     base = durable(rows.mapInArrow(sized, schema))
     total = base.agg(F.sum("n_shingles")).first()[0] or 0
@@ -533,6 +540,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
                 names=["class", "coarse", "n_coarse", "features"],
             )
             yield made.filter(pa.array(own))
+        trimmed()
 
     members = durable(
         rows.select(text, "doc_id").join(small_if_counted(wanted), "doc_id").select(text, "wanted", "coarse", "n_coarse")
