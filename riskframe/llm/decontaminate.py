@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import words
+from riskframe.llm.frames import trimmed
 
 SHINGLE = 5
 LEAST = 0.8
@@ -56,6 +57,8 @@ def item_sets(items: DataFrame, item_id: str, text: str, size: int) -> DataFrame
                  pa.array([sets[i].view(np.int64) for i in some], pa.list_(pa.int64()))],
                 names=["item_id", "shingles"],
             )
+        batch = t = made = bounds = None
+        trimmed()
 
     rows = items.where(F.col(item_id).isNotNull()).select(text, F.col(item_id).cast("long"))
     return rows.mapInArrow(run, "item_id long, shingles array<long>")
@@ -169,6 +172,8 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", i
                     schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_shingles", pa.int64()),
                                       ("n_found", pa.int64()), ("containment", pa.float64())]),
                 )
+            batch = t = made = bounds = None
+            trimmed()
 
         return rows.mapInArrow(run, schema)
 

@@ -45,12 +45,16 @@ def small_if_counted(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files and checkpoints of frames that are no longer used.
+    """Let Spark delete shuffle files and checkpoints of frames that are no longer used, and executors give memory back.
 
-    It does so once the JVM has collected them, which a driver with a large heap seldom does by itself.
+    It deletes them once the JVM has collected them, which a driver with a large heap seldom does by itself. An
+    executor's heap, once grown, is given back only by a full collection; one task a core asks for it. Tasks are
+    dealt over idle executors evenly, so each gets some.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).collect()
 
 
 def trimmed() -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from test_texts import lines_left
 
 from riskframe.llm import toxicity, workload
-from riskframe.llm.frames import platt
+from riskframe.llm.frames import platt, released
 from tools.check import compare, connect
 
 SF001 = "/root/testdata/sf0.001"
@@ -43,6 +43,22 @@ def test_stages_in_order_keep_the_columns(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard", "decontamination", "byte_bpe"]
 
 
+def test_executors_give_memory_back_before_each_stage(spark, monkeypatch):
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("given-back", "released")
+    released(spark)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("given-back") for s in tracker.getJobInfo(j).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) == context.defaultParallelism
+    said = []
+    monkeypatch.setattr(corpus_pipeline, "released", lambda _: said.append("released"))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(20)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF001)
+        said.append(name)
+    assert said == [x for name, _ in corpus_pipeline.STAGES for x in ("released", name)]
+
+
 def test_stages_equal_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     bench = [r["text"] for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
