@@ -106,6 +106,31 @@ def test_query_neighbours_equal_brute_force_over_all_words(spark, monkeypatch, c
     assert not got[174]["evidence"]
 
 
+def test_a_few_telling_words_in_long_texts_are_found(spark):
+    rng = np.random.default_rng(21)
+    bad = ["vile", "scum", "vermin", "idiot", "moron", "loser"]
+    rows, marks = [], []
+    for i in range(600):
+        words = [f"w{int(n)}" for n in rng.zipf(1.2, 150) if n < 100_000]
+        toxic = i % 5 == 0
+        rows.append((i, " ".join(words + [str(w) for w in rng.choice(bad, 3, replace=False)] * toxic)))
+        marks.append((i, int(toxic)))
+    got = toxicity.classify(documents(spark, rows), labels(spark, marks, "toxic")).where("held_out").collect()
+    assert np.mean([r["predicted"] for r in got if r["doc_id"] % 5 == 0]) > 0.8
+    assert np.mean([r["predicted"] for r in got if r["doc_id"] % 5]) < 0.02
+
+
+def test_factors_of_telling_words():
+    # Word 0: in all of class 1 only; word 1: in every text; word 2: in one text; word 3: in class 0 alone.
+    y = np.array([0] * 60 + [1] * 30)
+    pairs = [(i, 0) for i in range(60, 90)] + [(i, 1) for i in range(90)] + [(70, 2)] + [(i, 3) for i in range(60)]
+    row, term = np.array(pairs).T
+    got = toxicity.telling(row, term, y, 4)
+    assert got[1] == got[2] == 1
+    assert np.isclose(got[0], 1 + np.log(30.5 / 31) - np.log(0.5 / 61))
+    assert np.isclose(got[3], 1 + np.log(60.5 / 61) - np.log(0.5 / 31))
+
+
 def test_dual_descent_reaches_the_hinge_loss_optimum():
     rng = np.random.default_rng(2)
     rows = [np.unique(rng.integers(100, 140, 12)) for _ in range(120)]
