@@ -97,7 +97,8 @@ def vif(df: DataFrame, spec: FeatureSpec, fit: LogitFit | None = None, counts: t
             rest = [j for j in live if owner[j] != owner[i]]
             _, inner = np.linalg.slogdet(corr[np.ix_(own, own)])
             outer = np.linalg.slogdet(corr[np.ix_(rest, rest)])[1] if rest else 0.0
-            gvif = math.exp(inner + outer - logdet)
+            # Of one term the two are the same number, to the last digit only if taken once.
+            gvif = term_vif[i] if size == 1 else math.exp(inner + outer - logdet)
         root = None if gvif is None else gvif ** (1 / (2 * size))
         rows.append((owner[i], name, term_vif.get(i), size, gvif, root))
     schema = "variable string, term string, vif double, df int, gvif double, gvif_root double"
